@@ -12,17 +12,19 @@ def fixed(x: Column, digits: int, point: str = ",") -> Column:
     """Decimal text of a non-negative double with 1 or 2 digits.
 
     Rounds on the exact binary value of the double, ties upwards. The SQL
-    formatters round its shortest decimal form instead (16.35 or 0.35 come out
-    differently), hence the integer arithmetic on the fraction times 2^53.
+    formatters round its shortest decimal form instead (0.35 and 16.35 come out
+    differently), hence the exact arithmetic on the fraction times 2^61.
     """
+    def exact(n: int) -> Column:
+        return F.lit(n).cast("decimal(20,0)")
+
     scale = 10 ** digits
-    whole = F.floor(x).cast("bigint")
-    fraction = F.floor((x - F.floor(x)) * F.lit(float(2 ** 53))).cast("bigint")
-    part = F.shiftright(fraction * F.lit(2 * scale) + F.lit(2 ** 53), 54)
-    total = whole * scale + part
+    fraction = F.floor((x - F.floor(x)) * F.lit(2.0 ** 61)).cast("bigint").cast("decimal(20,0)")
+    part = F.call_function("div", fraction * exact(2 * scale) + exact(2 ** 61), exact(2 ** 62))
+    total = F.floor(x).cast("bigint") * scale + part
     return F.format_string(
-        f"%d{point}%0{digits}d", F.floor(total / scale).cast("bigint"), F.pmod(total, F.lit(scale))
-    )
+        f"%d{point}%0{digits}d", F.call_function("div", total, F.lit(scale)),
+        F.pmod(total, F.lit(scale)))
 
 
 def percent_label(ratio: Column) -> Column:

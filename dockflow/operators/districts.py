@@ -5,11 +5,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from dockflow.functions import numbers, station
 from dockflow.sources.documents import district_rings
 
-PLACES = 6  # of coordinates: about 0.1 m, and independent of the order of summation
+UNITS = 10_000_000  # per degree, about 1 cm
 
 
 def _centre(column: str):
-    return F.round(F.avg(column), PLACES).alias(column)
+    """Mean coordinate, from whole units so that it does not depend on task order."""
+    units = F.round(F.col(column) * F.lit(float(UNITS))).cast("bigint")
+    return (F.sum(units) / F.count("*") / F.lit(float(UNITS))).alias(column)
 
 
 def districts(snap: DataFrame) -> DataFrame:

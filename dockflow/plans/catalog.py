@@ -11,6 +11,7 @@ from dockflow.operators import activity, business, districts, history, indicator
 from dockflow.operators.readings import feed_summary
 from dockflow.plans import bindings
 from dockflow.plans.derived import Derived
+from dockflow.plans.streams import STREAMS
 from dockflow.session import new_dir
 from dockflow.sources import archive, documents, log
 
@@ -196,4 +197,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(plan: Plan):
         return lambda spark, sf_dir: plan(Derived(spark, sf_dir))
 
-    return {name: bound(plan) for name, plan in PLANS.items()}
+    return {name: bound(plan) for name, plan in {**PLANS, **STREAMS}.items()}

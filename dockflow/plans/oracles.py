@@ -9,6 +9,13 @@ from dockflow.plans.bindings import DAY, DISTRICT, NOW, PRICE, SEARCH
 DAY_START = 1705273200
 DAY_END = DAY_START + 86400
 
+
+
+def _centre(column: str) -> str:
+    return (f"sum(CAST(round({column} * 1e7) AS BIGINT))::DOUBLE / count(*) / 1e7::DOUBLE "
+            f"AS {column}")
+
+
 BASE = f"""
 WITH facts AS (
   SELECT event_id, user_id, event_type,
@@ -93,7 +100,7 @@ district AS (
     CAST(sum(docks_available) AS BIGINT) AS docks,
     count(*) FILTER (WHERE is_empty) AS empty, count(*) FILTER (WHERE is_full) AS "full",
     CAST(sum(taken) AS BIGINT) AS taken, CAST(sum(returned) AS BIGINT) AS returned,
-    round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
+    {_centre('lat')}, {_centre('lon')}
   FROM snap WHERE arr IS NOT NULL GROUP BY arr),
 daily AS (
   SELECT CAST(date AS VARCHAR) AS date, count(*) AS events, CAST(sum(taken) AS BIGINT) AS taken,
@@ -168,7 +175,7 @@ def _clusters(count: str) -> str:
                CAST(sum(bikes_available) AS BIGINT) AS bikes,
                CAST(sum(docks_available) AS BIGINT) AS docks,
                CAST(sum(capacity) AS BIGINT) AS capacity,
-               round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
+               {_centre('lat')}, {_centre('lon')}
         FROM snap GROUP BY 1, 2)"""
 
 
@@ -408,6 +415,25 @@ BODIES = {
           sum(CASE WHEN hour + 1 <= 18.5 THEN taken WHEN hour < 18.5 THEN taken * (18.5 - hour) ELSE 0 END)::DOUBLE
             / sum(taken) AS share
         FROM profile)""",
+    # streams: the batch results, but for what the push buffer keeps
+    "stream_changes": f'SELECT {EVENT}, "offset", publish_ts FROM changes',
+    "stream_log_source": f"""
+  SELECT {EVENT}, "offset", publish_ts FROM changes
+  WHERE "offset" % 20 NOT IN (1, 4, 7, 10, 13, 16)""",
+    "stream_latest_view": f"SELECT {EVENT} FROM latest",
+    "stream_flows": "SELECT * FROM flows",
+    "stream_activity": "SELECT * FROM minutes",
+    "stream_push": f"""
+  SELECT {EVENT}, "offset", publish_ts FROM changes ORDER BY "offset" LIMIT 1000""",
+    "stream_replay_live": f"""
+  SELECT m.*, coalesce(p.pushed, 0) AS pushed
+  FROM (SELECT ts // 60 * 60 AS t, count(*) AS events, CAST(sum(taken) AS BIGINT) AS taken,
+               CAST(sum(returned) AS BIGINT) AS returned
+        FROM today WHERE publish_ts >= {DAY_START} GROUP BY 1) m
+  LEFT JOIN (SELECT ts // 60 * 60 AS t, count(*) AS pushed
+             FROM (SELECT * FROM seen WHERE publish_ts >= {DAY_START + 43200}
+                   ORDER BY "offset" LIMIT 1000)
+             GROUP BY 1) p USING (t)""",
 }
 
 

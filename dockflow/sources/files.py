@@ -39,3 +39,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def newest_version(spark: SparkSession, base: str) -> int:
+    """Highest N of the finished `v=N` folders below `base`, -1 if there is none."""
+    fs, hadoop_path = _path(spark, base)
+    if not fs.exists(hadoop_path):
+        return -1
+    found = [int(s.getPath().getName()[2:]) for s in fs.listStatus(hadoop_path)
+             if s.getPath().getName().startswith("v=")
+             and exists(spark, f"{s.getPath().toString()}/_SUCCESS")]
+    return max(found, default=-1)
