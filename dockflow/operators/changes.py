@@ -8,7 +8,8 @@ still meets its true predecessor. Other stations are one chunk each.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from dockflow.schemas import EVENT_FIELDS, RECORD_FIELDS, TRACKED_FIELDS
+from dockflow.operators.readings import counters, describe
+from dockflow.schemas import TRACKED_FIELDS
 
 CHUNK_ROWS = 1_000_000
 ORDER = ["ts", "offset"]
@@ -57,7 +58,8 @@ def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
 
     `bikes_delta` is the difference in bikes to the previous reading, 0 for a
     first one. `previous` holds the last reading per station of earlier runs.
-    `busy` may be counted on a narrower source of the same readings.
+    `busy` may be counted on a narrower source of the same readings. All other
+    columns are kept as they are.
     """
     if busy is None:
         busy = busy_stations(readings)
@@ -75,4 +77,17 @@ def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
     events = compared.where(~F.col("is_seed") & (first | ~F.col("before").eqNullSafe(tracked)))
     delta = F.when(first, F.lit(0)).otherwise(
         F.col("bikes_available") - F.col("before.bikes_available"))
-    return events.withColumn("bikes_delta", delta).select(*EVENT_FIELDS, *RECORD_FIELDS)
+    return events.select(*readings.columns, delta.alias("bikes_delta"))
+
+
+def changes_of(status: DataFrame, info: DataFrame, previous: DataFrame | None = None,
+               busy: DataFrame | None = None) -> DataFrame:
+    """Change events with their station's context, from status entries.
+
+    Stations without information are dropped first by their id alone, and names
+    and places are joined to the emitted events only, so the shuffle of the
+    readings carries nothing but counters. The context is fixed per station, so
+    the result is that of detecting on fully joined readings.
+    """
+    known = counters(status).join(info.select("station_id"), "station_id", "left_semi")
+    return describe(detect_changes(known, previous, busy), info)

@@ -110,7 +110,7 @@ PLANS: dict[str, Plan] = {
     "readings": lambda d: d.readings(),
     "feed_summary": lambda d: feed_summary(d.info(), d.readings()),
     "detect_changes": lambda d: d.detected(),
-    "latest_state": lambda d: d.latest(),
+    "latest_state": lambda d: state.latest_state(d.changes_until_now()),
     "snapshot_retype": lambda d: state.retype(state.as_text_map(d.latest())),
     "known_stations": lambda d: state.known_stations(d.changes_until_now()),
     "freshness": lambda d: state.freshness(d.latest(), NOW),
@@ -145,8 +145,8 @@ PLANS: dict[str, Plan] = {
         "station_id",
         numbers.percent_label(F.col("bikes_available") / F.col("capacity")).alias("label")),
     # activity
-    "activity_minutes": lambda d: d.minutes(),
-    "station_flows": lambda d: d.flows(),
+    "activity_minutes": lambda d: activity.activity_minutes(d.changes_today(), d.day, d.tz),
+    "station_flows": lambda d: activity.station_flows(d.changes_today(), d.day, d.tz),
     "activity_series_60": _series(60),
     "activity_series_300": _series(300),
     "activity_series_900": _series(900),

@@ -2,7 +2,9 @@
 
 Change events feed almost every query, so they are written once per session to
 the shared folder, partitioned by publish date, instead of being detected again
-by each query. A table is rebuilt when its source files change.
+by each query. The same holds for the views a running system keeps up to date:
+latest states, today's flows and today's minute buckets. A table is rebuilt when
+its source files change.
 """
 
 from collections.abc import Callable
@@ -12,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dockflow.functions.clock import DEFAULT_TZ, local_date
 from dockflow.operators.activity import activity_minutes, station_flows
 from dockflow.operators.business import snapshot
-from dockflow.operators.changes import busy_stations, detect_changes
+from dockflow.operators.changes import busy_stations, changes_of
 from dockflow.operators.districts import districts
 from dockflow.operators.readings import readings
 from dockflow.operators.state import latest_state
 from dockflow.plans import bindings
+from dockflow.schemas import (ARCHIVE_EVENT_TYPES, EVENT_DDL, FLOWS_DDL, MINUTES_DDL, RECORD_DDL,
+                              ddl)
 from dockflow.session import new_dir
 from dockflow.sources import archive, documents, files
 
@@ -29,6 +33,7 @@ class Derived:
     def __init__(self, spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ,
                  day: str = bindings.DAY, now: int = bindings.NOW):
         self.spark, self.sf_dir, self.tz, self.day, self.now = spark, sf_dir, tz, day, now
+        self._sources: tuple | None = None
 
     # --- straight from the source -------------------------------------------
     def facts(self) -> DataFrame:
@@ -38,28 +43,32 @@ class Derived:
         return documents.station_info(
             bindings.information_documents(bindings.supplier(self.spark, self.sf_dir)))
 
+    def status(self) -> DataFrame:
+        return bindings.status_rows(self.facts())
+
     def readings(self) -> DataFrame:
-        return readings(bindings.status_rows(self.facts()), self.info())
+        return readings(self.status(), self.info())
 
     def detected(self) -> DataFrame:
         # Counting on the bare events reads two columns and needs no join.
         busy = busy_stations(self.facts().select(F.col("user_id").alias("station_id"), "ts"))
-        return detect_changes(self.readings(), busy=busy)
+        return changes_of(self.status(), self.info(), busy=busy)
 
     def weather(self) -> DataFrame:
         return documents.weather_hourly(bindings.weather_documents(self.facts()), self.tz)
 
     # --- written once ---------------------------------------------------------
-    def _table(self, name: str, write: Callable[[str], None]) -> str:
-        # One key per session and state of the source files.
-        sources = tuple(files.fingerprint(self.spark, f"{self.sf_dir}/{t}.parquet")
-                        for t in ("events", "supplier"))
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, name, sources)
+    def _table(self, name: str, schema: str, write: Callable[[str], None]) -> DataFrame:
+        if self._sources is None:
+            self._sources = tuple(files.fingerprint(self.spark, f"{self.sf_dir}/{t}.parquet")
+                                  for t in ("events", "supplier"))
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
+               name, self._sources)
         if key not in _written:
             path = new_dir(self.spark, name)
             write(path)
             _written[key] = path
-        return _written[key]
+        return self.spark.read.schema(schema).parquet(_written[key])
 
     def changes(self) -> DataFrame:
         """All change events, with `date` (local publish date) as partition."""
@@ -67,14 +76,35 @@ class Derived:
             rows = self.detected().withColumn("date", local_date(F.col("publish_ts"), self.tz))
             archive.write_partitions(rows, path)
 
-        return self.spark.read.parquet(self._table("changes", write))
+        return self._table("changes", f"{RECORD_DDL}, date date", write)
 
     def archive(self) -> DataFrame:
         """The event archive of every publish date."""
         def write(path: str) -> None:
             archive.archive_events(self.changes(), path, self.tz)
 
-        return archive.read_event_archive(self.spark, self._table("archive", write))
+        return self._table("archive", ddl(ARCHIVE_EVENT_TYPES), write)
+
+    def latest(self) -> DataFrame:
+        """The view of latest states: one row per station."""
+        def write(path: str) -> None:
+            latest_state(self.changes_until_now()).write.parquet(path)
+
+        return self._table("latest", EVENT_DDL, write)
+
+    def flows(self) -> DataFrame:
+        """Today's flows per station."""
+        def write(path: str) -> None:
+            station_flows(self.changes_today(), self.day, self.tz).write.parquet(path)
+
+        return self._table("flows", FLOWS_DDL, write)
+
+    def minutes(self) -> DataFrame:
+        """Today's minute buckets, at most 1,500 rows."""
+        def write(path: str) -> None:
+            activity_minutes(self.changes_today(), self.day, self.tz).coalesce(1).write.parquet(path)
+
+        return self._table("minutes", MINUTES_DDL, write)
 
     # --- as of the reference moment -------------------------------------------
     def changes_until_now(self) -> DataFrame:
@@ -84,15 +114,6 @@ class Derived:
         """Events are published after they happen, so older partitions are skipped."""
         return self.changes_until_now().where(F.col("date") >= F.lit(self.day).cast("date"))
 
-    def latest(self) -> DataFrame:
-        return latest_state(self.changes_until_now())
-
-    def flows(self) -> DataFrame:
-        return station_flows(self.changes_today(), self.day, self.tz)
-
-    def minutes(self) -> DataFrame:
-        return activity_minutes(self.changes_today(), self.day, self.tz)
-
     def snapshot(self) -> DataFrame:
         return snapshot(self.latest(), self.flows())
 

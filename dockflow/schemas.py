@@ -117,3 +117,17 @@ ARCHIVE_WEATHER_TYPES = {
 def ddl(types: dict[str, str]) -> str:
     """Archive schema as DDL, with the `date` partition column last."""
     return ", ".join(f"{name} {kind}" for name, kind in types.items()) + ", date date"
+
+
+def _ddl_of(schema: T.StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
+# --- derived tables and views ---------------------------------------------------
+EVENT_DDL = _ddl_of(EVENT_SCHEMA)
+RECORD_DDL = f"{EVENT_DDL}, offset bigint, publish_ts bigint"
+LOG_DDL = _ddl_of(LOG_SCHEMA)
+REJECTED_DDL = f"{LOG_DDL}, reason string"
+STATE_DDL = _ddl_of(T.StructType([READING_SCHEMA[f] for f in ["station_id", *TRACKED_FIELDS]]))
+MINUTES_DDL = "t bigint, events bigint, taken bigint, returned bigint"
+FLOWS_DDL = "station_id bigint, taken bigint, returned bigint"

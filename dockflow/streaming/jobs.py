@@ -14,23 +14,15 @@ from dockflow.functions import station
 from dockflow.functions.clock import DEFAULT_TZ, day_bounds, local_day
 from dockflow.operators.activity import activity_minutes
 from dockflow.operators.changes import detect_changes
-from dockflow.operators.readings import readings
+from dockflow.operators.readings import counters, describe
 from dockflow.operators.state import latest_by
-from dockflow.schemas import EVENT_SCHEMA, LOG_SCHEMA, READING_SCHEMA, TRACKED_FIELDS
+from dockflow.schemas import (FLOWS_DDL, LOG_DDL, MINUTES_DDL, RECORD_DDL, REJECTED_DDL, STATE_DDL,
+                              TRACKED_FIELDS)
 from dockflow.sources import documents, files
-from dockflow.sources.log import decode_log, monitor_line
+from dockflow.sources.log import decode_log, encode_log, monitor_line
 from dockflow.streaming.queries import log_stream, poll_stream, start_query
 from dockflow.streaming.tables import BatchTable, VersionedView
 
-EVENT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA)
-RECORD_DDL = f"{EVENT_DDL}, offset bigint, publish_ts bigint"
-REJECTED_DDL = ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA) + ", reason string"
-STATE_DDL = ", ".join(
-    f"{f} {READING_SCHEMA[f].dataType.simpleString()}" for f in ["station_id", *TRACKED_FIELDS])
-MINUTES_DDL = "t bigint, events bigint, taken bigint, returned bigint"
-FLOWS_DDL = "station_id bigint, taken bigint, returned bigint"
-
 PUSH_CAPACITY = 1000
 POLL_INTERVAL = "60 seconds"
 WATERMARK = "25 hours"  # the longest local day
@@ -40,6 +32,8 @@ WATERMARK = "25 hours"  # the longest local day
 class ChangeJob:
     """Change events of landed polls, with the last reading per station as state.
 
+    Writes the typed events and the log records that other jobs read.
+
     The state is a table, so it outlives a restart and no station is reported
     again. Within a batch the readings are ordered by time; a busy station is
     split over tasks by `detect_changes`, which per-key state functions cannot do.
@@ -48,16 +42,23 @@ class ChangeJob:
     def __init__(self, spark: SparkSession, base: str, info: Callable[[], DataFrame]):
         self.spark, self.base, self.info = spark, base, info
         self.changes = BatchTable(spark, f"{base}/changes", RECORD_DDL)
+        self.log = BatchTable(spark, f"{base}/log", LOG_DDL)
         self.state = VersionedView(spark, f"{base}/state", STATE_DDL, "station_id")
 
     def handle(self, polls: DataFrame, batch_id: int) -> None:
         # Information is read anew for each batch; a broken document has no rows.
-        states = readings(documents.status_scan(polls), self.info()).persist()
+        info = self.info().persist()
+        states = counters(documents.status_scan(polls)).join(
+            info.select("station_id"), "station_id", "left_semi").persist()
         before = self.state.version(batch_id - 1)
-        self.changes.write(detect_changes(states, previous=before), batch_id)
-        last = latest_by(states, "station_id", ["ts", "offset"])
+        events = describe(detect_changes(states, previous=before), info)
+        self.changes.write(events, batch_id)
+        self.log.write(encode_log(self.changes.batch(batch_id)), batch_id)
+        last = latest_by(states.select("station_id", *TRACKED_FIELDS, "ts", "offset"),
+                         "station_id", ["ts", "offset"])
         self.state.replace(last.select(*before.columns), batch_id)
         states.unpersist()
+        info.unpersist()
 
     def start(self, polls_path: str, interval: str | None = None,
               max_files: int | None = None) -> StreamingQuery:

@@ -20,8 +20,12 @@ def log_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     """The change log from its beginning, as a folder of records.
 
     `max_files` bounds a micro-batch; the position is kept in the checkpoint.
+    A batch the writer repeated has new files in place of old ones; those are
+    skipped, so a record may come twice but none is missing.
     """
-    return _limited(spark.readStream.schema(LOG_SCHEMA), max_files).parquet(path)
+    reader = spark.readStream.schema(LOG_SCHEMA).option("recursiveFileLookup", True).option(
+        "ignoreMissingFiles", True)
+    return _limited(reader, max_files).parquet(path)
 
 
 def poll_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

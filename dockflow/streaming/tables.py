@@ -22,6 +22,10 @@ class BatchTable:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(batch_id))
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of one batch."""
+        return files.read_or_empty(self.spark, self.path(batch_id), self.schema)
+
     def read(self) -> DataFrame:
         """All rows, with the batch that wrote them as `batch_id`."""
         return files.read_or_empty(self.spark, self.base, f"{self.schema}, batch_id bigint")

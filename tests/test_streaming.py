@@ -67,6 +67,24 @@ def test_stream_equals_batch(poller, make_readings):
     assert emitted(job) == rows(want, "station_id", "ts", "bikes_delta")
 
 
+def test_polls_to_log_to_views(spark, poller, tmp_path):
+    """The whole way: polls, change log, latest states and flows."""
+    poller("a", poll(START + 60, 1, (1, 5), (2, 5)))
+    job = poller("b", poll(START + 120, 2, (1, 3), (2, 5)))
+    log_path = job.log.base
+    views, latest = jobs.latest_view_job(spark, str(tmp_path / "latest"))
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), DAY)
+    for part in range(2):
+        views.start(log_path).awaitTermination()
+        flows.start(log_path).awaitTermination()
+        if part == 0:
+            job = poller("c", poll(START + 180, 3, (1, 4), (2, 5)))
+    assert rows(latest.read(), "station_id", "name", "ts", "bikes_available") == [
+        (1, "S1", START + 180, 4), (2, "S2", START + 60, 5)]
+    assert rows(flows.view.read()) == [(1, 2, 1)]
+    assert views.rejected.read().count() == 0
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path, make_readings):
     info = spark.createDataFrame(INFO, INFO_DDL)
     job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info)
