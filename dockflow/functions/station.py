@@ -24,12 +24,14 @@ def bike_types(types: Column) -> Column:
     Order does not matter, a missing key or list counts 0, the last object
     wins when a key is repeated.
     """
-    def count(key: str) -> Column:
-        found = F.filter(types, lambda m: F.map_contains_key(m, F.lit(key)))
-        last = F.try_element_at(found, F.lit(-1))
-        return F.coalesce(F.try_element_at(last, F.lit(key)), F.lit(0))
+    keys = ("mechanical", "ebike")
+    none = F.struct(*[F.lit(0).alias(k) for k in keys])
 
-    return F.struct(count("mechanical").alias("mechanical"), count("ebike").alias("ebike"))
+    def merge(counts: Column, entry: Column) -> Column:
+        return F.struct(*[
+            F.coalesce(F.try_element_at(entry, F.lit(k)), counts[k]).alias(k) for k in keys])
+
+    return F.coalesce(F.aggregate(types, none, merge), none)
 
 
 def flag(value: Column) -> Column:

@@ -33,25 +33,19 @@ def encode_log(changes: DataFrame, partitions: int = LOG_PARTITIONS) -> DataFram
     )
 
 
-def decode_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split records into typed events and rejected ones with a reason.
+def check_log(log: DataFrame) -> DataFrame:
+    """Records with their decoded `event` and the `reason` to reject it, if any.
 
     A record is good when its value is a JSON object with exactly the 16 fields,
     none of them null or of a wrong type. The key test is needed because
-    `from_json` fills missing fields with null instead of failing.
+    `from_json` fills missing fields with null instead of failing. The value is
+    parsed in a generator, so that later filters on the result do not repeat it.
     """
-    checked = _checked(log)
-    good = checked.where(F.col("reason").isNull()).select(
-        "event.*", "offset", "publish_ts")
-    rejected = checked.where(F.col("reason").isNotNull()).select(
-        "key", "value", "partition", "offset", "publish_ts", "reason")
-    return good, rejected
-
-
-def _checked(log: DataFrame) -> DataFrame:
     expected = F.array(*[F.lit(f) for f in sorted(EVENT_FIELDS)])
-    parsed = log.withColumn("event", F.from_json("value", EVENT_SCHEMA)).withColumn(
-        "fields", F.array_sort(F.array_distinct(F.json_object_keys("value"))))
+    decoded = F.struct(
+        F.from_json("value", EVENT_SCHEMA).alias("event"),
+        F.sort_array(F.array_distinct(F.json_object_keys("value"))).alias("fields"))
+    parsed = log.select("*", F.inline(F.array(decoded)))
     any_null = F.lit(False)
     for field in EVENT_FIELDS:
         any_null = any_null | F.col(f"event.{field}").isNull()
@@ -60,7 +54,21 @@ def _checked(log: DataFrame) -> DataFrame:
         F.when(F.col("fields").isNull(), F.lit("not_an_object"))
         .when(F.col("fields") != expected, F.lit("wrong_fields"))
         .when(any_null, F.lit("null_field")),
-    )
+    ).drop("fields")
+
+
+def good_events(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNull()).select("event.*", "offset", "publish_ts")
+
+
+def rejected_records(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNotNull()).drop("event")
+
+
+def decode_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split records into typed events and rejected ones with a reason."""
+    checked = check_log(log)
+    return good_events(checked), rejected_records(checked)
 
 
 def read_log_days(log: DataFrame, first_day: date | str, last_day: date | str | None = None,

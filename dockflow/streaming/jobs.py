@@ -19,7 +19,8 @@ from dockflow.operators.state import latest_by
 from dockflow.schemas import (FLOWS_DDL, LOG_DDL, MINUTES_DDL, RECORD_DDL, REJECTED_DDL, STATE_DDL,
                               TRACKED_FIELDS)
 from dockflow.sources import documents, files
-from dockflow.sources.log import decode_log, encode_log, monitor_line
+from dockflow.sources.log import (check_log, encode_log, good_events, monitor_line,
+                                  rejected_records)
 from dockflow.streaming.queries import log_stream, poll_stream, start_query
 from dockflow.streaming.tables import BatchTable, VersionedView
 
@@ -81,9 +82,10 @@ class LogJob:
         self.handler = handler or self.events.write
 
     def handle(self, records: DataFrame, batch_id: int) -> None:
-        good, rejected = decode_log(records)
-        self.handler(good, batch_id)
-        self.rejected.write(rejected, batch_id)
+        checked = check_log(records).persist()
+        self.handler(good_events(checked), batch_id)
+        self.rejected.write(rejected_records(checked), batch_id)
+        checked.unpersist()
 
     def start(self, log_path: str, interval: str | None = None,
               max_files: int | None = None) -> StreamingQuery:
@@ -103,7 +105,7 @@ def latest_view_job(spark: SparkSession, base: str) -> tuple[LogJob, VersionedVi
 
 def start_monitor(spark: SparkSession, log_path: str, checkpoint: str) -> StreamingQuery:
     """Prints one line per event on the console sink."""
-    good, _ = decode_log(log_stream(spark, log_path))
+    good = good_events(check_log(log_stream(spark, log_path)))
     return (monitor_line(good).writeStream.format("console").option("truncate", False)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
@@ -120,7 +122,7 @@ class FlowsJob:
         self.view.replace(updates, batch_id)
 
     def start(self, log_path: str, interval: str | None = None) -> StreamingQuery:
-        good, _ = decode_log(log_stream(self.spark, log_path))
+        good = good_events(check_log(log_stream(self.spark, log_path)))
         start, end = self.bounds
         delta = F.col("bikes_delta")
         moved = good.where((F.col("ts") >= start) & (F.col("ts") < end) & (delta != 0))
@@ -154,7 +156,7 @@ class ActivityJob:
         self.view.write(kept.unionByName(rows), batch_id)
 
     def start(self, log_path: str, interval: str | None = None) -> StreamingQuery:
-        good, _ = decode_log(log_stream(self.spark, log_path))
+        good = good_events(check_log(log_stream(self.spark, log_path)))
         delta = F.col("bikes_delta")
         timed = good.withColumn("event_time", F.timestamp_seconds("ts"))
         minutes = timed.withWatermark("event_time", WATERMARK).groupBy(
@@ -222,8 +224,9 @@ class RelayJob:
         start, _ = day_bounds(self.day, self.tz)
 
         def handle(records: DataFrame, batch_id: int) -> None:
-            good, _ = decode_log(records.where(F.col("publish_ts") >= start))
-            handler(good, batch_id)
+            events = good_events(check_log(records.where(F.col("publish_ts") >= start))).persist()
+            handler(events, batch_id)
+            events.unpersist()
 
         return start_query(log_stream(self.spark, log_path), handle, f"{self.base}/checkpoint",
                            interval)
