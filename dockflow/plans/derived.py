@@ -21,7 +21,7 @@ from dockflow.operators.state import latest_state
 from dockflow.plans import bindings
 from dockflow.schemas import (ARCHIVE_EVENT_TYPES, EVENT_DDL, FLOWS_DDL, MINUTES_DDL, RECORD_DDL,
                               ddl)
-from dockflow.session import new_dir
+from dockflow.session import fit_shuffles, new_dir
 from dockflow.sources import archive, documents, files
 
 _written: dict[tuple, str] = {}
@@ -62,6 +62,7 @@ class Derived:
         if self._sources is None:
             self._sources = tuple(files.fingerprint(self.spark, f"{self.sf_dir}/{t}.parquet")
                                   for t in ("events", "supplier"))
+            fit_shuffles(self.spark, sum(size for _, size, _ in self._sources))
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
                name, self._sources)
         if key not in _written:

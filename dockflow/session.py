@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import math
 import os
 import tempfile
 import uuid
@@ -8,6 +9,9 @@ from pyspark.sql import SparkSession
 
 _local_work: dict[str, str] = {}
 
+SHUFFLE_INPUT_BYTES = 256 * 1024 ** 2  # input per shuffle partition
+MAX_SHUFFLE_PARTITIONS = 50_000  # keeps the driver's shuffle bookkeeping small
+
 
 def build_session(master: str | None = None, app: str = "dockflow", **conf) -> SparkSession:
     """A session with the settings the jobs are written for.
@@ -34,6 +38,20 @@ def build_session(master: str | None = None, app: str = "dockflow", **conf) -> S
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, configured: int) -> int:
+    """Partitions for an input: enough that a partition fits in a task's memory."""
+    needed = math.ceil(input_bytes / SHUFFLE_INPUT_BYTES)
+    return max(configured, min(needed, MAX_SHUFFLE_PARTITIONS))
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the session's shuffle partitions to the input; AQE merges what is too many."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fitting = shuffle_partitions(input_bytes, configured)
+    if fitting > configured:
+        spark.conf.set("spark.sql.shuffle.partitions", fitting)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
