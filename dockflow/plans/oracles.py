@@ -134,9 +134,11 @@ wire AS (
 EVENT = ("station_id, station_code, name, lat, lon, capacity, ts, last_reported, mechanical, "
          "ebike, bikes_available, docks_available, is_installed, is_renting, is_returning, "
          "bikes_delta")
-ARCHIVE = ("ts, hour, station_id, station_code, name, lat, lon, capacity, last_reported, "
-           "mechanical, ebike, bikes_available, docks_available, is_installed, is_renting, "
-           "is_returning, bikes_delta, date")
+ARCHIVE = ("ts, hour, station_id, station_code, name, lat, lon, last_reported, is_installed, "
+           "is_renting, is_returning, date, " + ", ".join(
+               f"CAST({c} AS SMALLINT) AS {c}" for c in (
+                   "capacity", "mechanical", "ebike", "bikes_available", "docks_available",
+                   "bikes_delta")))
 
 
 def _percent(x: str) -> str:

@@ -27,6 +27,7 @@ from dockflow.streaming.tables import BatchTable, VersionedView
 PUSH_CAPACITY = 1000
 POLL_INTERVAL = "60 seconds"
 WATERMARK = "25 hours"  # the longest local day
+STATE_PARTITIONS = 8  # one row per station or minute: small beside the events
 
 
 # --- polls to change events -----------------------------------------------------
@@ -114,8 +115,10 @@ def start_monitor(spark: SparkSession, log_path: str, checkpoint: str) -> Stream
 class FlowsJob:
     """Bikes taken and returned per station, kept up to date from the stream."""
 
-    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ):
+    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ,
+                 state_partitions: int = STATE_PARTITIONS):
         self.spark, self.base, self.bounds = spark, base, day_bounds(day, tz)
+        self.state_partitions = state_partitions
         self.view = VersionedView(spark, f"{base}/flows", FLOWS_DDL, "station_id")
 
     def handle(self, updates: DataFrame, batch_id: int) -> None:
@@ -129,7 +132,8 @@ class FlowsJob:
         flows = moved.groupBy("station_id").agg(
             F.sum(station.taken(delta)).alias("taken"),
             F.sum(station.returned(delta)).alias("returned"))
-        return start_query(flows, self.handle, f"{self.base}/checkpoint", interval, "update")
+        return start_query(flows, self.handle, f"{self.base}/checkpoint", interval, "update",
+                           self.state_partitions)
 
 
 class ActivityJob:
@@ -139,8 +143,10 @@ class ActivityJob:
     when an event of the next local day arrives.
     """
 
-    def __init__(self, spark: SparkSession, base: str, tz: str = DEFAULT_TZ):
+    def __init__(self, spark: SparkSession, base: str, tz: str = DEFAULT_TZ,
+                 state_partitions: int = STATE_PARTITIONS):
         self.spark, self.base, self.tz = spark, base, tz
+        self.state_partitions = state_partitions
         self.view = VersionedView(spark, f"{base}/minutes", MINUTES_DDL, "t")
 
     def handle(self, updates: DataFrame, batch_id: int) -> None:
@@ -163,7 +169,8 @@ class ActivityJob:
             F.window("event_time", "1 minute")).agg(
             F.count("*").alias("events"), F.sum(station.taken(delta)).alias("taken"),
             F.sum(station.returned(delta)).alias("returned"))
-        return start_query(minutes, self.handle, f"{self.base}/checkpoint", interval, "update")
+        return start_query(minutes, self.handle, f"{self.base}/checkpoint", interval, "update",
+                           self.state_partitions)
 
     def minutes(self) -> DataFrame:
         return self.view.read()

@@ -34,14 +34,25 @@ def poll_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def start_query(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
-                interval: str | None = None, output_mode: str = "append") -> StreamingQuery:
+                interval: str | None = None, output_mode: str = "append",
+                state_partitions: int | None = None) -> StreamingQuery:
     """Run `handler` on every micro-batch, at least once, from the checkpointed position.
 
     Without an interval the query works off what is there and ends. Each query
-    has its own checkpoint and so its own position in the log.
+    has its own checkpoint and so its own position in the log. The partitions
+    of a running aggregate's state stay as they were at the first start, so
+    they are chosen here and not left to the session's default.
     """
     writer = (stream.writeStream.foreachBatch(handler).outputMode(output_mode)
               .option("checkpointLocation", checkpoint))
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(
+        processingTime=interval)
+    if state_partitions is None:
+        return writer.start()
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", state_partitions)
+    try:
+        return writer.start()  # the query keeps its own copy of the settings
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
