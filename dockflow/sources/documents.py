@@ -37,8 +37,11 @@ def station_info(docs: DataFrame) -> DataFrame:
 
     Of several entries for a station the last one counts. `max_by` combines
     before the shuffle, so a station listed in every document stays cheap.
+    An entry without id or coordinates is no station.
     """
-    entries = docs.select(_arrival(docs).alias("doc"), F.posexplode("data.stations").alias("pos", "s"))
+    entries = docs.select(
+        _arrival(docs).alias("doc"), F.posexplode("data.stations").alias("pos", "s")).where(
+        "s.station_id IS NOT NULL AND s.lat IS NOT NULL AND s.lon IS NOT NULL")
     fields = F.struct(
         F.coalesce("s.stationCode", F.lit("")).alias("station_code"),
         F.coalesce("s.name", F.lit("")).alias("name"),

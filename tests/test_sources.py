@@ -12,7 +12,8 @@ INFORMATION = {"data": {"stations": [
     {"station_id": 1, "stationCode": "16107", "name": "Old", "lat": 48.8, "lon": 2.2, "capacity": 9},
     {"station_id": 2, "stationCode": None, "name": None, "lat": 48.9, "lon": 2.3, "capacity": None},
     {"station_id": 1, "stationCode": "16107", "name": "Benjamin", "lat": 48.86, "lon": 2.27, "capacity": 35},
-    {"station_id": 4, "lat": 48.7, "lon": 2.4}]}}
+    {"station_id": 4, "lat": 48.7, "lon": 2.4},
+    {"station_id": 5, "name": "Nowhere"}]}}
 
 STATUS = {"lastUpdatedOther": 1784296000, "ttl": 3600, "data": {"stations": [
     {"station_id": 1, "num_bikes_available": 5, "num_bikes_available_types": [{"mechanical": 3}, {"ebike": 2}],
