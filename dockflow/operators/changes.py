@@ -69,6 +69,10 @@ def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
     seeds = _seeds(marked, previous, busy)
     rows = marked.drop("width").withColumn("is_seed", F.lit(False)).unionByName(
         seeds.withColumn("is_seed", F.lit(True)), allowMissingColumns=True)
+    # The one shuffle of the readings. It is spelled out because rows that come
+    # out of a join already partitioned by station would pass the window's own
+    # requirement, and a busy station's chunks would stay together.
+    rows = rows.repartition("station_id", "chunk")
 
     tracked = F.struct(*TRACKED_FIELDS)
     in_order = Window.partitionBy("station_id", "chunk").orderBy(F.desc("is_seed"), *ORDER)
