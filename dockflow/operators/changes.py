@@ -19,14 +19,17 @@ def busy_stations(readings: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFram
     """Stations above `chunk_rows` readings and the chunk width in seconds for them.
 
     The width follows the station's busiest hour, so that no chunk holds much
-    more than `chunk_rows`. At most (all readings / chunk_rows) stations result.
-    Both steps combine before their shuffle and read two columns.
+    more than `chunk_rows`. At most (all readings / chunk_rows) stations result,
+    so their list is safe to broadcast. The steps read two columns and combine
+    before their shuffles; without a busy station the hours are never counted.
     """
-    hourly = readings.groupBy("station_id", F.floor(F.col("ts") / 3600).alias("hour")).agg(
-        F.count("*").alias("n"))
-    totals = hourly.groupBy("station_id").agg(F.sum("n").alias("total"), F.max("n").alias("peak"))
-    width = F.greatest(F.lit(1), F.floor(F.lit(3600 * chunk_rows) / F.col("peak"))).cast("bigint")
-    return totals.where(F.col("total") > chunk_rows).select("station_id", width.alias("width"))
+    many = readings.groupBy("station_id").agg(F.count("*").alias("total")).where(
+        F.col("total") > chunk_rows)
+    hourly = (readings.join(F.broadcast(many), "station_id", "left_semi")
+              .groupBy("station_id", F.floor(F.col("ts") / 3600).alias("hour"))
+              .agg(F.count("*").alias("n")))
+    width = F.greatest(F.lit(1), F.floor(F.lit(3600 * chunk_rows) / F.max("n"))).cast("bigint")
+    return hourly.groupBy("station_id").agg(width.alias("width"))
 
 
 def _seeds(marked: DataFrame, previous: DataFrame | None, busy: DataFrame) -> DataFrame:
