@@ -27,6 +27,14 @@ def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
 
 
+def test_the_comparison_sees_differences(spark, con):
+    df = QUERIES["business_totals"](spark, SF_DIR)
+    sql = SQL["business_totals"]
+    assert difference(df, con, f"SELECT * REPLACE (to_move + 1 AS to_move) FROM ({sql})")
+    assert difference(df, con, f"SELECT * RENAME (to_move AS moved) FROM ({sql})")
+    assert difference(df, con, f"SELECT * FROM ({sql}) WHERE false")
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0 and "moves" in df.columns
