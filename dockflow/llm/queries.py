@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import chunk_dedup, feistel_shards, mixing, url_filter
+from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, rules_forest, url_filter
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -15,6 +15,15 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_rules_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules_forest.COUNTS, "base_failed", "anomaly", "kept")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans", "expressions")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.listed_under(pages, SPAM_HOSTS)).drop("possible")
@@ -32,4 +41,5 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_chunk_dedup, op6_url_filter, op7_feistel_shards, op8_pivotal_mix)}
+    return {f.__name__: f for f in (
+        op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter, op7_feistel_shards, op8_pivotal_mix)}
