@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, rules_forest, url_filter
+from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, quality_crf, rules_forest, url_filter
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -15,6 +15,12 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_crf.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", F.size("lines").alias("n_lines"),
+                         F.size(F.filter("lines", lambda p: p < 0.5)).alias("n_bad_lines"))
+
+
 def op3_rules_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules_forest.COUNTS, "base_failed", "anomaly", "kept")
@@ -42,4 +48,4 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter, op7_feistel_shards, op8_pivotal_mix)}
+        op1_quality_crf, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter, op7_feistel_shards, op8_pivotal_mix)}

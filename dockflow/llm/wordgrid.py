@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 2 ** 64)
@@ -43,6 +44,17 @@ def batches(frame: pd.DataFrame, column: str) -> Iterator[tuple[pd.DataFrame, li
             start, size = i + 1, 0
 
 
+def slices(rows: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """As `batches`, for Arrow rows, which keep every type and null."""
+    texts = [t or b"" for t in rows.column(column).cast(pa.binary()).to_pylist()]
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text) + 1
+        if size >= BATCH_BYTES or i == len(texts) - 1:
+            yield rows.slice(start, i + 1 - start), texts[start:i + 1]
+            start, size = i + 1, 0
+
+
 class Words:
     """The words of some texts: `start`, `end` (bytes in `buffer`), `text` (index), `hash`."""
 
