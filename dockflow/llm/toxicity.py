@@ -19,7 +19,7 @@ from dockflow.llm.wordgrid import ALNUM, Words, batches
 
 FOLDS, HELD, CURVE = 5, 0, 4  # number of folds, the one held out, the one that the curve is fitted on
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-PRIOR = 2.0  # texts of each kind that the Dirichlet prior adds to a word
+PRIOR = 3.0  # texts of each kind that the Dirichlet prior adds to a word
 SURE = 4.0  # standard errors that a word's log-odds is lowered by
 DRIFT = 0.05  # score of all other words, negative
 LEXICON = 50_000  # words in the model, at most: those with the highest scores
