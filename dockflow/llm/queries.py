@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, quality_crf, rules_forest, toxicity, url_filter
+from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, near_dedup, quality_crf, rules_forest, toxicity, url_filter
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -21,6 +21,10 @@ def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.size(F.filter("lines", lambda p: p < 0.5)).alias("n_bad_lines"))
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).drop("rk")
+
+
 def op3_rules_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules_forest.COUNTS, "base_failed", "anomaly", "kept")
@@ -53,5 +57,5 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_crf, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter, op7_feistel_shards, op8_pivotal_mix,
-        op10_toxic_segments)}
+        op1_quality_crf, op2_order_minhash, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter,
+        op7_feistel_shards, op8_pivotal_mix, op10_toxic_segments)}
