@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, near_dedup, quality_crf, rules_forest, toxicity, url_filter
+from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, near_dedup, pieces, quality_crf, rules_forest, toxicity, url_filter
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -50,6 +50,12 @@ def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                          F.md5(F.array_join("ids", ",")).alias("ids_md5"), "round_trip")
+
+
 def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.withColumn("n_passages", F.size("passages")).drop("passages")
@@ -58,4 +64,4 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_crf, op2_order_minhash, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter,
-        op7_feistel_shards, op8_pivotal_mix, op10_toxic_segments)}
+        op7_feistel_shards, op8_pivotal_mix, op9_piece_scan, op10_toxic_segments)}
