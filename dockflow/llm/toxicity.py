@@ -23,7 +23,7 @@ PRIOR = 3.0  # texts of each kind that the Dirichlet prior adds to a word
 SURE = 4.0  # standard errors that a word's log-odds is lowered by
 DRIFT = 0.05  # score of all other words, negative
 LEXICON = 50_000  # words in the model, at most: those with the highest scores
-CURVE_DOCS = 20_000  # labelled rows that the curve is fitted on, at most
+TRAIN_DOCS = 40_000  # labelled rows that are fitted on, at most
 SIGNIFICANT = 0.01  # p-value of a passage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -155,19 +155,20 @@ def lexicon_of(words: list[str], scores: list[float]) -> tuple[np.ndarray, np.nd
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
-    """Word scores from all labelled rows outside the held-out fold.
+    """Word scores from the TRAIN_DOCS labelled rows outside the held-out fold with the smallest hashes of their id.
 
-    The curve is fitted on one fold, with word scores that do not know it. None where the rows lack one of
+    Their ids are broadcast, so that no other text moves. The curve is fitted on one fold, with word scores that do not know it. None where the rows lack one of
     the two labels.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").withColumn("fold", fold("doc_id", FOLDS)).filter(
         F.col("fold") != HELD).dropDuplicates(["doc_id"])
-    texts = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(known, "doc_id"))
+    chosen = settle(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS))
+    texts = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
+        F.broadcast(chosen), "doc_id"))
     top = word_scores(texts).orderBy(F.desc(F.greatest("score", "inner")), "word").limit(LEXICON).collect()
     lexicon = lexicon_of([r["word"] for r in top if r["score"] > 0], [r["score"] for r in top if r["score"] > 0])
     inner = lexicon_of([r["word"] for r in top if r["inner"] > 0], [r["inner"] for r in top if r["inner"] > 0])
-    chosen = texts.filter(F.col("fold") == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_DOCS)
     held = docs.sparkSession.sparkContext.broadcast(inner)  # LEXICON words at most
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pd.DataFrame({"label": part["label"].to_numpy(), "n": n,
                                     "best": [max((s[2] for s in f), default=0.0) for f in found]})
 
-    seen = chosen.mapInPandas(work, "label int, n long, best double").toPandas()
+    seen = texts.filter(F.col("fold") == CURVE).mapInPandas(work, "label int, n long, best double").toPandas()
     if seen["label"].nunique() < 2:
         return None
     return calibrate(seen["n"].to_numpy(), seen["best"].to_numpy(), seen["label"].to_numpy()) | {"lexicon": lexicon}
