@@ -1,24 +1,52 @@
 """Helpers that the operators of this package share."""
 
+import atexit
+import contextlib
+import uuid
+
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from dockflow.session import shared_dir
+from dockflow.session import new_dir
+from dockflow.sources import files
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_folders: dict[str, str] = {}  # by application: where its settled tables lie
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the folder that all executors share.
+    """The rows, computed once and written as a table in the folder that all executors share.
 
-    A later read does not depend on an executor's own files, and the plan that led here is
-    cut off. The files go when the result is no longer referred to, if the session's
-    `spark.cleaner.referenceTracking.cleanCheckpoints` says so.
+    A later read does not depend on an executor's own files, the plan that led here is cut off, and the
+    table's size is known. (A checkpoint would keep the size estimated before it, which grows with each
+    join of an iteration until the number itself is too long to handle.) Tables go when the
+    application ends, or with `release`.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = new_dir(spark, "settled")
+        atexit.register(_clean, spark, _folders[app])
+    path = f"{_folders[app]}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.settled_path = path
+    return kept
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Py4JError, ConnectionError):  # the JVM may have ended before
+        files.delete(spark, path)
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Remove settled tables that nothing will read again."""
+    for table in tables:
+        if table is not None:
+            files.delete(table.sparkSession, table.settled_path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from dockflow.llm.common import packed, row_key, settle, unpacked
+from dockflow.llm.common import packed, release, row_key, settle, unpacked
 from dockflow.llm.links import components
 from dockflow.llm.numbering import numbered
 from dockflow.llm.wordgrid import ALNUM, Words, batches, mix
@@ -32,7 +32,7 @@ SKETCHES = 20
 SHARED = 2  # sketches that candidates share; a pair at 0.8 does so with probability 0.9996
 LONG, SHORT = (4, 64), (2, 80)  # elements of a sketch, for texts of at least 64 and at most 80 shingles
 # A pair at 0.8 or more with one text outside a range lies in the other range with both texts.
-GROWTH = 8  # hubs of a bucket grow by this factor each round
+GROWTH = 64  # hubs of a bucket grow by this factor each round
 
 _draw = np.random.default_rng(20)
 _flip = _draw.integers(0, 2 ** 64, SKETCHES, np.uint64, endpoint=False)
@@ -173,13 +173,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                           F.first("sketches").alias("sketches"))
     distinct = settle(distinct)
     nodes = settle(numbered(distinct, ["digest"], distinct.count(), out="node"))
-    links = _links(nodes, narrow)
-    label = components(links).withColumnRenamed("label", "class") if links is not None else None
-    named = nodes.select("digest", "node")
-    if label is not None:
-        named = named.join(label, "node", "left").select("digest", F.coalesce("class", "node").alias("class"))
-    else:
-        named = named.withColumnRenamed("node", "class")
+    label = _labels(nodes, narrow)
+    named = nodes.join(label, "node", "left").select("digest", F.coalesce("label", "node").alias("class"))
     texts = base.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"))
     sizes = texts.join(named, "digest").groupBy("class").agg(
         F.sum("copies").alias("class_size"), F.min("low").alias("class_id"))
@@ -193,35 +188,34 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return each.select("doc_id", "rk", "class_id", "class_size", kept.alias("kept"))
 
 
-def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
-    """All links that are needed to connect the classes: x, y. None without any candidate."""
+def _labels(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, label: the smallest node of its class, for nodes that are linked to others."""
+    label = nodes.select("node", F.col("node").alias("label")).limit(0)
     placed = nodes.select("node", "n", F.explode("sketches").alias("s"))
     shared = placed.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1")
-    members = settle(placed.join(shared, "s"))
-    if members.isEmpty():
-        return None
+    sized = settle(placed.join(shared, "s"))
+    if sized.isEmpty():
+        return label
     # A text in the middle of a group shares most sketches with others, and makes the best hub.
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = settle(members.drop("size").join(weight, "node"))
+    weight = settle(sized.groupBy("node").agg(F.sum("size").alias("weight")))
+    members = settle(sized.drop("size").join(weight, "node"))
+    release(sized)
     needed = weight.join(nodes.select("node", "tk"), "node").select("node", "tk")
     by_text = docs.select("tk", "text").join(needed, "tk").groupBy("node").agg(F.first("text").alias("text"))
     texts = settle(by_text.join(nodes.select("node", "sketches"), "node"))
-    links, tried, hubs_each, label = None, None, 1, None
+    links, tried, hubs_each = None, None, 1
     while True:
-        known = members
-        if label is not None:
-            known = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        else:
-            known = members.withColumn("label", F.col("node"))
+        # Buckets that hold more than one class, with each member's class.
+        known = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = known.groupBy("s").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("s")
         known = settle(known.join(mixed, "s"))
+        release(members)
         if known.isEmpty():
-            return links
+            return label
         slot = F.pmod(F.xxhash64("node", F.lit(hubs_each)), F.lit(hubs_each))
-        hubs = known.withColumn("slot", slot).groupBy("s", "slot").agg(
+        hubs = settle(known.withColumn("slot", slot).groupBy("s", "slot").agg(
             F.max(F.struct("weight", "node", "n", "label")).alias("hub")).select(
-            "s", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label"))
-        hubs = settle(hubs)
+            "s", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label")))
         met = known.join(hubs, "s").filter(
             (F.col("label") != F.col("hub_label")) & (5 * F.least("n", "hub_n") >= 4 * F.greatest("n", "hub_n")))
         pairs = met.select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")).distinct()
@@ -229,18 +223,26 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame | None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = settle(pairs)
         tried = pairs if tried is None else settle(tried.unionByName(pairs))
-        left = texts.select(F.col("node").alias("x"), F.col("text").alias("text_x"), F.col("sketches").alias("sketches_x"))
-        right = texts.select(F.col("node").alias("y"), F.col("text").alias("text_y"), F.col("sketches").alias("sketches_y"))
-        sides = pairs.join(left.select("x", "sketches_x"), "x").join(right.select("y", "sketches_y"), "y")
-        chosen = sides.filter(F.size(F.array_intersect("sketches_x", "sketches_y")) >= SHARED).select("x", "y")
-        found = settle(_verified(chosen.join(right.drop("sketches_y"), "y").join(left.drop("sketches_x"), "x")))
-        links = found if links is None else settle(links.unionByName(found))
-        label = settle(components(links))
+        found = settle(_verified(_with_texts(pairs, texts)))
+        if not found.isEmpty():
+            links = found if links is None else settle(links.unionByName(found))
+            label = components(links)
         gone = hubs.select("s", F.col("hub").alias("node"))
         members = settle(known.drop("label").join(gone, ["s", "node"], "left_anti"))
+        release(known, hubs)
         hubs_each *= GROWTH
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The candidates among pairs x, y, with the texts of both."""
+    def side(name: str, column: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col(column).alias(f"{column}_{name}"))
+
+    both = pairs.join(side("x", "sketches"), "x").join(side("y", "sketches"), "y")
+    chosen = both.filter(F.size(F.array_intersect("sketches_x", "sketches_y")) >= SHARED).select("x", "y")
+    return chosen.join(side("y", "text"), "y").join(side("x", "text"), "x")
+
+
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, one of each class, with all their columns."""
     stay = classes(docs).filter("kept").select(F.col("doc_id").alias("id"), "rk", F.lit(1).cast("long").alias("copies"))
