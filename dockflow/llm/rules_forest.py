@@ -18,6 +18,7 @@ SYMBOLS = b"#*$%&|<>"  # fixed value
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50  # fixed values
 
 TREES, SAMPLE = 100, 256  # the forest is fitted on at most TREES * SAMPLE labelled rows
+GOOD_FOR_BAD = 25  # rows labelled 1 in the sample for each one labelled 0, so that bad rows stay rare
 BINS = 1000  # of scores, for the threshold
 MAX_GOOD_LOST = 0.01  # share of rows labelled good that the threshold may reject
 
@@ -186,8 +187,8 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 0, id_col: str = "doc_
           label_col: str = "quality") -> DataFrame:
     """Per document: doc_id, statistics, base_failed, anomaly, threshold, kept.
 
-    The forest is fitted on the TREES * SAMPLE labelled rows with the smallest hashes of their id
-    (all, if there are fewer); the threshold comes from all labelled rows that pass the base
+    The forest is fitted on the TREES * SAMPLE rows labelled 1 with the smallest hashes of their id (all,
+    if there are fewer) and one row labelled 0 for each GOOD_FOR_BAD of them; the threshold comes from all labelled rows that pass the base
     rules. Null and empty texts have no words and fail them. Rows that tie score alike, repeated rows
     are judged each, without labels only the base rules decide, an empty table gives no rows. Other
     columns of docs and labels are not read.
@@ -197,7 +198,10 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 0, id_col: str = "doc_
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
     labelled = settle(stats.filter("not base_failed").join(known, "doc_id"))
-    sample = labelled.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(TREES * SAMPLE).toPandas()
+    drawn = labelled.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    good = drawn.filter("label = 1").limit(TREES * SAMPLE).toPandas()
+    bad = drawn.filter("label = 0").limit(-(-len(good) // GOOD_FOR_BAD)).toPandas()
+    sample = pd.concat([good, bad], ignore_index=True)
     forest = grow(ratios(sample), seed) if len(sample) > 1 else []
     bins = _scored(labelled, forest, len(sample)).groupBy(
         F.floor(F.col("anomaly") * BINS).cast("int").alias("bin"), "label").agg(F.count("*").alias("n"))
