@@ -102,16 +102,22 @@ def calibrate(n_words: np.ndarray, best: np.ndarray, label: np.ndarray) -> dict:
     x = evidence(n_words, best, model)
     model["floor"] = float(x[some].min() - 1) if some.any() else -5.0
     x = evidence(n_words, best, model)
-    a, b = 0.1, 0.0
-    for _ in range(100):  # Newton steps of a ridge logistic regression
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((label - p) * x).sum() - 1e-2 * a, (label - p).sum() - 1e-3 * b])
-        h = np.array([[(w * x * x).sum() + 1e-2, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-3]])
-        move = np.clip(np.linalg.solve(h, g), -1, 1)
-        a, b = a + move[0], b + move[1]
+    middle, scale = x.mean(), max(x.std(), 1e-6)
+    z = np.column_stack([(x - middle) / scale, np.ones(len(x))])
+    w = np.zeros(2)
+
+    def loss(v: np.ndarray) -> float:
+        return float(np.logaddexp(0, z @ v).sum() - label @ (z @ v) + 0.01 * v @ v)
+
+    for _ in range(100):  # Newton steps of a ridge logistic regression, halved until they help
+        p = 1 / (1 + np.exp(-z @ w))
+        move = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 0.02 * np.eye(2), (label - p) @ z - 0.02 * w)
+        while np.abs(move).max() > 1e-9 and loss(w + move) > loss(w):
+            move = move / 2
+        w = w + move
         if np.abs(move).max() < 1e-9:
             break
+    a, b = w[0] / scale, w[1] - w[0] * middle / scale
     model["a"], model["b"] = max(float(a), 1e-6), float(b)
     return model
 

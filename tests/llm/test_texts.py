@@ -89,7 +89,8 @@ def test_paths_isolate():
     x = np.vstack([draw.normal(0, 1, (400, 2)), [[9.0, 9.0]]])
     score = rules_forest.anomaly(rules_forest.grow(x, 1), x, len(x))
     assert score.argmax() == 400 and (score > 0).all() and (score < 1).all()
-    assert rules_forest.anomaly(rules_forest.grow(x[:1].repeat(5, 0), 1), x, 5).std() == 0  # ties cannot be split
+    tied = rules_forest.anomaly(rules_forest.grow(x[:1].repeat(5, 0), 1), x, 5)
+    assert len(set(tied.tolist())) == 1  # rows that tie cannot be split
 
 
 # --- CRF -------------------------------------------------------------------------------------
@@ -346,7 +347,7 @@ def test_odd_rows(spark, name):
 def test_odd_rows_near(spark):
     got = near_dedup.classes(documents(spark)).collect()
     of = {r.doc_id: r for r in got if r.doc_id}
-    assert of[1].class_id == of[2].class_id == of[9].class_id == 1 and of[10].class_id == 10
+    assert of[1].class_id == of[2].class_id == of[9].class_id == of[10].class_id == 1
     assert of[3].class_id == of[4].class_id == of[5].class_id == 3
     assert Counter(r.class_id for r in got if r.kept) == Counter({r.class_id for r in got})
     kept = near_dedup.kept_rows(with_clashes(spark))
