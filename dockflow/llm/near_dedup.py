@@ -3,15 +3,19 @@
 A text is the sequence of its five-word shingles, each labelled with how often it has occurred before, so
 no element repeats. A sketch takes the few elements with the smallest values of one hash function
 and keeps them in text order: two texts share it if they share these elements *in that order*. Texts
-that share at least two of their sketches are candidates. A candidate pair is verified by the
+that share a sketch are candidates. A candidate pair is verified by the
 longest common subsequence L of the two sequences of n and m elements, within a band around the
 diagonal that no qualifying alignment leaves: they are linked if L / (n + m - L) is 0.8 or
 more. Linked texts form classes.
 
-Texts under one sketch are not compared all with all. Each round gives every bucket a few hubs,
-which are compared with those members that are not yet known to be in the hub's class; a
-hub then leaves the bucket. The rounds end when each bucket holds one class, so every candidate pair has
-been verified, or lies in one class anyway.
+Texts under one sketch are not compared all with all. First each bucket's hub is compared with its
+members, which settles groups of near copies. Where a bucket still holds several classes, its texts may
+only have a passage in common. A pair at 0.8 or more also shares one of the rarest fifth (and one more) of
+each text's elements, whatever the order of rarity, so these texts get new buckets by
+those elements, and passages, being common, fall away. Further rounds give every bucket hubs, which are
+compared with all members that are not known to be in their class; a hub then leaves the bucket. The
+rounds end when each bucket holds one class: every candidate pair has been verified, lies in one class
+anyway, or cannot reach 0.8.
 """
 
 import hashlib
@@ -20,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from dockflow.llm.common import packed, release, row_key, settle, unpacked
 from dockflow.llm.links import components
@@ -28,11 +32,10 @@ from dockflow.llm.numbering import numbered
 from dockflow.llm.wordgrid import ALNUM, Words, batches, mix
 
 SHINGLE = 5  # words
-SKETCHES = 20
-SHARED = 2  # sketches that candidates share; a pair at 0.8 does so with probability 0.9996
-LONG, SHORT = (4, 64), (2, 80)  # elements of a sketch, for texts of at least 64 and at most 80 shingles
+SKETCHES = 20  # a pair at 0.8 shares none of them with a probability of 0.00003
+LONG, SHORT = (4, 64), (3, 80)  # elements of a sketch, for texts of at least 64 and at most 80 shingles
 # A pair at 0.8 or more with one text outside a range lies in the other range with both texts.
-GROWTH = 64  # hubs of a bucket grow by this factor each round
+HUBS = 64  # of a bucket in a round after the first; the number grows by this factor each round
 
 _draw = np.random.default_rng(20)
 _flip = _draw.integers(0, 2 ** 64, SKETCHES, np.uint64, endpoint=False)
@@ -168,11 +171,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), row_key(docs).alias("rk"), _text_key(text_col).alias("tk"),
                          F.col(text_col).alias("text"))
-    base = settle(_sketched(narrow))
-    distinct = base.groupBy("digest").agg(F.min("tk").alias("tk"), F.first("n").alias("n"),
-                                          F.first("sketches").alias("sketches"))
-    distinct = settle(distinct)
+    wide = settle(_sketched(narrow))
+    base = settle(wide.select("doc_id", "rk", "digest"))
+    distinct = settle(wide.groupBy("digest").agg(F.min("tk").alias("tk"), F.first("n").alias("n"),
+                                                 F.first("sketches").alias("sketches")))
+    release(wide)
     nodes = settle(numbered(distinct, ["digest"], distinct.count(), out="node"))
+    release(distinct)
     label = _labels(nodes, narrow)
     named = nodes.join(label, "node", "left").select("digest", F.coalesce("label", "node").alias("class"))
     texts = base.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"))
@@ -191,7 +196,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _labels(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """node, label: the smallest node of its class, for nodes that are linked to others."""
     label = nodes.select("node", F.col("node").alias("label")).limit(0)
-    placed = nodes.select("node", "n", F.explode("sketches").alias("s"))
+    placed = nodes.select("node", "n", F.col("n").alias("left"), F.explode("sketches").alias("s"))
     shared = placed.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1")
     sized = settle(placed.join(shared, "s"))
     if sized.isEmpty():
@@ -201,8 +206,7 @@ def _labels(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     members = settle(sized.drop("size").join(weight, "node"))
     release(sized)
     needed = weight.join(nodes.select("node", "tk"), "node").select("node", "tk")
-    by_text = docs.select("tk", "text").join(needed, "tk").groupBy("node").agg(F.first("text").alias("text"))
-    texts = settle(by_text.join(nodes.select("node", "sketches"), "node"))
+    texts = settle(docs.select("tk", "text").join(needed, "tk").groupBy("node").agg(F.first("text").alias("text")))
     links, tried, hubs_each = None, None, 1
     while True:
         # Buckets that hold more than one class, with each member's class.
@@ -212,12 +216,17 @@ def _labels(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         release(members)
         if known.isEmpty():
             return label
+        if hubs_each == HUBS:
+            known, sketched = settle(_rare_buckets(known, texts)), known
+            release(sketched)
         slot = F.pmod(F.xxhash64("node", F.lit(hubs_each)), F.lit(hubs_each))
         hubs = settle(known.withColumn("slot", slot).groupBy("s", "slot").agg(
-            F.max(F.struct("weight", "node", "n", "label")).alias("hub")).select(
-            "s", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.label").alias("hub_label")))
-        met = known.join(hubs, "s").filter(
-            (F.col("label") != F.col("hub_label")) & (5 * F.least("n", "hub_n") >= 4 * F.greatest("n", "hub_n")))
+            F.max(F.struct("weight", "node", "n", "left", "label")).alias("hub")).select(
+            "s", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.left").alias("hub_left"),
+            F.col("hub.label").alias("hub_label")))
+        # Two texts have no more than the smaller `left` in common from their first common element on.
+        met = known.join(hubs, "s").filter((F.col("label") != F.col("hub_label")) & (
+            9 * F.least("left", "hub_left") >= 4 * (F.col("n") + F.col("hub_n"))))
         pairs = met.select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
@@ -230,17 +239,40 @@ def _labels(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         gone = hubs.select("s", F.col("hub").alias("node"))
         members = settle(known.drop("label").join(gone, ["s", "node"], "left_anti"))
         release(known, hubs)
-        hubs_each *= GROWTH
+        hubs_each *= HUBS
+
+
+def _rare_buckets(known: DataFrame, texts: DataFrame) -> DataFrame:
+    """Buckets of the members' rarest elements: s, node, n, left, weight, label.
+
+    An element that no other of these texts has makes no bucket, but takes one of its text's places. `left`
+    counts the text's elements from this one on, in order of rarity.
+    """
+    members = settle(known.select("node", "n", "weight", "label").distinct())
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for part, raw in batches(frame, "text"):
+                found = sequences(raw)[0]
+                yield pd.DataFrame({"node": part["node"].to_numpy().repeat([len(s) for s in found]),
+                                    "s": np.concatenate(found).view(np.int64)})
+
+    elements = settle(texts.join(members.select("node"), "node").mapInPandas(work, "node long, s long"))
+    texts_of = elements.groupBy("s").agg(F.count("*").alias("texts")).filter("texts > 1")
+    shared = elements.join(texts_of, "s")
+    by_text = Window.partitionBy("node")
+    alone = F.col("n") - F.count("*").over(by_text)
+    rank = F.row_number().over(by_text.orderBy("texts", "s"))
+    rare = shared.join(members, "node").withColumn("place", alone + rank).filter("place <= n div 5 + 1")
+    return rare.select("s", "node", "n", (F.col("n") - F.col("place") + 1).alias("left"), "weight", "label")
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidates among pairs x, y, with the texts of both."""
-    def side(name: str, column: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col(column).alias(f"{column}_{name}"))
+    """Pairs x, y with the texts of both."""
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
 
-    both = pairs.join(side("x", "sketches"), "x").join(side("y", "sketches"), "y")
-    chosen = both.filter(F.size(F.array_intersect("sketches_x", "sketches_y")) >= SHARED).select("x", "y")
-    return chosen.join(side("y", "text"), "y").join(side("x", "text"), "x")
+    return pairs.join(side("y"), "y").join(side("x"), "x")
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
