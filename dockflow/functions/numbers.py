@@ -32,10 +32,18 @@ def percent_label(ratio: Column) -> Column:
     return F.concat(fixed(F.lit(100.0) * ratio, 1), F.lit(" %"))
 
 
+GROUPING = "\u202f"  # fixed value: French groups of thousands
+
+
+def grouped(n: Column) -> Column:
+    """Whole number with groups of three digits."""
+    return F.replace(F.format_number(n.cast("bigint"), 0), F.lit(","), F.lit(GROUPING))
+
+
 def signed_label(n: Column) -> Column:
-    """`+n` above zero, else the plain number; missing counts as 0."""
+    """`+n` above zero, else the plain number, grouped; missing counts as 0."""
     value = F.coalesce(n, F.lit(0))
-    return F.concat(F.when(value > 0, F.lit("+")).otherwise(F.lit("")), value.cast("string"))
+    return F.concat(F.when(value > 0, F.lit("+")).otherwise(F.lit("")), grouped(value))
 
 
 def ratio(part: Column, whole: Column, otherwise=None) -> Column:

@@ -44,7 +44,7 @@ def station_flows(changes: DataFrame, day: date | str, tz: str = DEFAULT_TZ) ->
 
 
 def activity_series(minutes: DataFrame, step: int, since: int, until: int) -> DataFrame:
-    """Continuous series from `since` (floored to the step) to `until`, both included.
+    """Continuous series in time order from `since` (floored to the step) to `until`, both included.
 
     Buckets are tested by their minute start; missing points are 0.
     """
@@ -54,7 +54,7 @@ def activity_series(minutes: DataFrame, step: int, since: int, until: int) -> Da
         bucket(F.col("t"), step).alias("t")).agg(*[F.sum(c).alias(c) for c in COUNTS])
     spine = minutes.sparkSession.range(since, until + 1, step, 1).toDF("t")
     return spine.join(points, "t", "left").select(
-        "t", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS])
+        "t", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS]).orderBy("t")
 
 
 def trimmed(series: DataFrame) -> DataFrame:
@@ -66,14 +66,15 @@ def trimmed(series: DataFrame) -> DataFrame:
     moving = F.when((F.col("taken") != 0) | (F.col("returned") != 0), F.col("t"))
     marked = series.withColumn("first", F.min(moving).over(everything)).withColumn(
         "last", F.max(moving).over(everything))
-    return marked.where(F.col("t").between(F.col("first"), F.col("last"))).drop("first", "last")
+    inside = marked.where(F.col("t").between(F.col("first"), F.col("last")))
+    return inside.drop("first", "last").orderBy("t")
 
 
 def sparkline(minutes: DataFrame, now: int) -> DataFrame:
     """Movements of the last 60 minutes, one point each, ending at the current one."""
     end = now // 60 * 60
     points = activity_series(minutes, 60, end - 59 * 60, end)
-    return points.select("t", (F.col("taken") + F.col("returned")).alias("moves"))
+    return points.select("t", (F.col("taken") + F.col("returned")).alias("moves")).orderBy("t")
 
 
 def top_stations(flows: DataFrame, n: int = 8) -> DataFrame:
@@ -82,7 +83,13 @@ def top_stations(flows: DataFrame, n: int = 8) -> DataFrame:
 
 
 def activity_top(flows: DataFrame, latest: DataFrame, n: int = 8) -> DataFrame:
-    """Top stations with their names, or the id where there is no name."""
-    names = latest.select("station_id", "name")
-    return top_stations(flows, n).join(names, "station_id", "left").select(
-        "station_id", display_name(F.col("name"), F.col("station_id")).alias("name"), "moves")
+    """Top stations in order, with their names, or the id where there is no name.
+
+    The `n` ids at most are broadcast to pick their names.
+    """
+    top = top_stations(flows, n)
+    names = latest.select("station_id", "name").join(
+        F.broadcast(top.select("station_id")), "station_id", "left_semi")
+    return top.join(names, "station_id", "left").select(
+        "station_id", display_name(F.col("name"), F.col("station_id")).alias("name"), "moves",
+    ).orderBy(F.desc("moves"), "station_id")

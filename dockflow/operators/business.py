@@ -8,10 +8,7 @@ LIST_FIELDS = ["station_id", "name", "net", "taken", "returned", "lat", "lon"]
 
 
 def snapshot(latest: DataFrame, flows: DataFrame) -> DataFrame:
-    """Latest state with today's flows, 0 where a station did not move.
-
-    Both sides are grouped by station already, so the join adds no shuffle.
-    """
+    """Latest state with today's flows, 0 where a station did not move."""
     return latest.join(flows, "station_id", "left").withColumns({
         "taken": F.coalesce("taken", F.lit(0)),
         "returned": F.coalesce("returned", F.lit(0)),

@@ -1,9 +1,9 @@
 """Change detection: each reading against the station's previous one.
 
-A window per station would put a station that holds most of the readings into
-one task. Such busy stations are cut into time chunks; the last reading of a
-chunk is handed to the station's next chunk as a seed row, so every reading
-still meets its true predecessor. Other stations are one chunk each.
+A window per station would put a station that holds most of the readings into one task. So
+every station is cut into days; the last reading of a day is handed to the station's next
+day with readings as a seed row, and every reading still meets its true predecessor. A task's
+share is a station's day, however long the history and whatever the station.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -11,74 +11,50 @@ from pyspark.sql import DataFrame, Window, functions as F
 from dockflow.operators.readings import counters, describe
 from dockflow.schemas import TRACKED_FIELDS
 
-CHUNK_ROWS = 1_000_000
+CHUNK_SECONDS = 86_400
 ORDER = ["ts", "offset"]
 
 
-def busy_stations(readings: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Stations above `chunk_rows` readings and the chunk width in seconds for them.
+def _seeds(marked: DataFrame, previous: DataFrame | None) -> DataFrame:
+    """Tracked fields that precede a chunk: (station_id, chunk, tracked...).
 
-    The width follows the station's busiest hour, so that no chunk holds much
-    more than `chunk_rows`. At most (all readings / chunk_rows) stations result,
-    so their list is safe to broadcast. The steps read two columns and combine
-    before their shuffles; without a busy station the hours are never counted.
+    The last state of each chunk is combined before its shuffle: one row per station and day.
     """
-    many = readings.groupBy("station_id").agg(F.count("*").alias("total")).where(
-        F.col("total") > chunk_rows)
-    hourly = (readings.join(F.broadcast(many), "station_id", "left_semi")
-              .groupBy("station_id", F.floor(F.col("ts") / 3600).alias("hour"))
-              .agg(F.count("*").alias("n")))
-    width = F.greatest(F.lit(1), F.floor(F.lit(3600 * chunk_rows) / F.max("n"))).cast("bigint")
-    return hourly.groupBy("station_id").agg(width.alias("width"))
-
-
-def _seeds(marked: DataFrame, previous: DataFrame | None, busy: DataFrame) -> DataFrame:
-    """Tracked fields that precede a chunk: (station_id, chunk, tracked...)."""
     tracked = F.struct(*TRACKED_FIELDS)
-    lasts = (marked.where(F.col("width").isNotNull())
-             .groupBy("station_id", "chunk")
-             .agg(F.max_by(tracked, F.struct(*ORDER)).alias("state")))
-    known = None
+    lasts = marked.groupBy("station_id", "chunk").agg(
+        F.max_by(tracked, F.struct(*ORDER)).alias("state"))
     if previous is not None:
-        known = previous.select("station_id", tracked.alias("state")).join(
-            F.broadcast(busy), "station_id", "left")
         before_all = F.lit(-(2 ** 62)).cast("bigint")
-        lasts = lasts.unionByName(known.where(F.col("width").isNotNull()).select(
-            "station_id", before_all.alias("chunk"), "state"))
-    # One row per chunk of a busy station: small next to its readings.
+        lasts = lasts.unionByName(
+            previous.select("station_id", before_all.alias("chunk"), tracked.alias("state")))
     by_chunk = Window.partitionBy("station_id").orderBy("chunk")
-    seeds = (lasts.withColumn("chunk", F.lead("chunk").over(by_chunk))
-             .where(F.col("chunk").isNotNull()))
-    if known is not None:
-        seeds = seeds.unionByName(known.where(F.col("width").isNull()).select(
-            "station_id", F.lit(0).cast("bigint").alias("chunk"), "state"))
+    seeds = lasts.withColumn("chunk", F.lead("chunk").over(by_chunk)).where(
+        F.col("chunk").isNotNull())
     return seeds.select("station_id", "chunk", "state.*")
 
 
 def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
-                   busy: DataFrame | None = None) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Events: a station's first reading, and each one whose tracked fields differ.
 
     `bikes_delta` is the difference in bikes to the previous reading, 0 for a
     first one. `previous` holds the last reading per station of earlier runs.
-    `busy` may be counted on a narrower source of the same readings. All other
-    columns are kept as they are.
+    `partitions` sizes the shuffle of the readings (`session.shuffle_partitions`); without it
+    the session's setting holds. All other columns are kept as they are.
     """
-    if busy is None:
-        busy = busy_stations(readings)
-    # Broadcast is safe: its rows are bounded by readings / chunk_rows.
-    marked = readings.join(F.broadcast(busy), "station_id", "left").withColumn(
-        "chunk", F.coalesce(F.floor(F.col("ts") / F.col("width")), F.lit(0)).cast("bigint"))
-    seeds = _seeds(marked, previous, busy)
-    rows = marked.drop("width").withColumn("is_seed", F.lit(False)).unionByName(
+    marked = readings.withColumn(
+        "chunk", F.floor(F.col("ts") / CHUNK_SECONDS).cast("bigint"))
+    seeds = _seeds(marked, previous)
+    rows = marked.withColumn("is_seed", F.lit(False)).unionByName(
         seeds.withColumn("is_seed", F.lit(True)), allowMissingColumns=True)
     # The one shuffle of the readings. It is spelled out because rows that come
     # out of a join already partitioned by station would pass the window's own
-    # requirement, and a busy station's chunks would stay together.
-    rows = rows.repartition("station_id", "chunk")
+    # requirement, and a station's days would stay together.
+    keys = ["station_id", "chunk"]
+    rows = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
 
     tracked = F.struct(*TRACKED_FIELDS)
-    in_order = Window.partitionBy("station_id", "chunk").orderBy(F.desc("is_seed"), *ORDER)
+    in_order = Window.partitionBy(*keys).orderBy(F.desc("is_seed"), *ORDER)
     compared = rows.withColumn("before", F.lag(tracked).over(in_order))
     first = F.col("before").isNull()
     events = compared.where(~F.col("is_seed") & (first | ~F.col("before").eqNullSafe(tracked)))
@@ -88,7 +64,7 @@ def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
 
 
 def changes_of(status: DataFrame, info: DataFrame, previous: DataFrame | None = None,
-               busy: DataFrame | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Change events with their station's context, from status entries.
 
     Stations without information are dropped first by their id alone, and names
@@ -97,4 +73,4 @@ def changes_of(status: DataFrame, info: DataFrame, previous: DataFrame | None =
     the result is that of detecting on fully joined readings.
     """
     known = counters(status).join(info.select("station_id"), "station_id", "left_semi")
-    return describe(detect_changes(known, previous, busy), info)
+    return describe(detect_changes(known, previous, partitions), info)

@@ -15,7 +15,7 @@ def _centre(column: str):
 
 
 def districts(snap: DataFrame) -> DataFrame:
-    """State, flows and centroid per district 1 to 20; suburbs are left out."""
+    """State, flows and centroid per district 1 to 20, in their order; suburbs are left out."""
     rows = snap.withColumn("arr", station.district(F.col("station_code"))).where(
         F.col("arr").isNotNull())
     return rows.groupBy("arr").agg(
@@ -29,7 +29,7 @@ def districts(snap: DataFrame) -> DataFrame:
         F.sum("taken").alias("taken"),
         F.sum("returned").alias("returned"),
         _centre("lat"), _centre("lon"),
-    )
+    ).orderBy("arr")
 
 
 def heat(by_district: DataFrame) -> DataFrame:

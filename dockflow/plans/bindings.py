@@ -13,8 +13,8 @@ from dockflow.functions.clock import epoch_seconds
 from dockflow.functions.station import district
 
 # Parameters of the reference moment (fixed values).
-DAY = "2024-01-15"
-NOW = 1705339800  # 18:30 in Paris
+DAY = "2024-01-30"  # the last whole local day of the data
+NOW = 1706654700  # 23:45 in Paris
 PRICE = 1.00
 SEARCH = "republique"
 DISTRICT = 16
@@ -145,7 +145,7 @@ def damaged_log(log: DataFrame) -> DataFrame:
     broken = (
         F.when(slot == 1, F.lit('{"broken": '))
         .when(slot == 4, F.concat(F.lit("["), value, F.lit("]")))
-        .when(slot == 7, F.lit('{"pas": "un event"}'))
+        .when(slot == 7, F.lit('{"shape": "unknown"}'))
         .when(slot == 10, F.regexp_replace(value, ',"bikes_delta":[-0-9]+', ""))
         .when(slot == 13, F.regexp_replace(value, "}$", ',"extra":1}'))
         .when(slot == 16, F.regexp_replace(value, '"capacity":[0-9]+', '"capacity":null'))

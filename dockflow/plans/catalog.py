@@ -15,8 +15,7 @@ from dockflow.plans.streams import STREAMS
 from dockflow.session import new_dir
 from dockflow.sources import archive, documents, log
 
-NOW, DAY = bindings.NOW, bindings.DAY
-MIRROR_DAYS = ("2024-01-10", DAY)
+BACKFILL_DAYS = ("2024-01-10", "2024-01-15")  # the range asked for
 
 Plan = Callable[[Derived], DataFrame]
 
@@ -67,12 +66,18 @@ def _weather_daily(d: Derived) -> DataFrame:
 
 def _archive_mirror(d: Derived) -> DataFrame:
     base, mirror = new_dir(d.spark, "archive"), new_dir(d.spark, "mirror")
-    archive.archive_events(d.changes(), base, d.tz, *MIRROR_DAYS, mirror_base=mirror)
+    archive.archive_events(d.changes(), base, d.tz, mirror_base=mirror)
     return archive.read_event_archive(d.spark, mirror)
 
 
+def _archive_backfill(d: Derived) -> DataFrame:
+    base = new_dir(d.spark, "backfill")
+    archive.archive_events(d.changes(), base, d.tz, *BACKFILL_DAYS, partitioned=True)
+    return archive.read_event_archive(d.spark, base)
+
+
 def _log_day_read(d: Derived) -> DataFrame:
-    return log.read_log_days(d.changes(), DAY, tz=d.tz).drop("date")
+    return log.read_log_days(d.changes(), d.day, tz=d.tz, partitioned=True).drop("date")
 
 
 def _damaged(d: Derived) -> DataFrame:
@@ -80,12 +85,12 @@ def _damaged(d: Derived) -> DataFrame:
 
 
 def _series(step: int) -> Plan:
-    return lambda d: activity.activity_series(d.minutes(), step, day_bounds(DAY, d.tz)[0], NOW)
+    return lambda d: activity.activity_series(d.minutes(), step, day_bounds(d.day, d.tz)[0], d.now)
 
 
 def _age(d: Derived) -> DataFrame:
     reported = F.coalesce(F.nullif("last_reported", F.lit(0)), F.col("ts"))
-    return d.latest().select("station_id", (F.lit(NOW) - reported).alias("age")).withColumn(
+    return d.changes().select("offset", (F.lit(d.now) - reported).alias("age")).withColumn(
         "label", numbers.age_label(F.col("age")))
 
 
@@ -104,16 +109,17 @@ PLANS: dict[str, Plan] = {
     "poison_rejected": lambda d: log.decode_log(_damaged(d))[1],
     "archive_events": _archive_events,
     "archive_mirror": _archive_mirror,
+    "archive_backfill": _archive_backfill,
     "monitor_line": lambda d: log.monitor_line(d.changes()),
     "geo_bbox": lambda d: documents.geo_bbox(d.features()),
     # readings, changes, state
     "readings": lambda d: d.readings(),
     "feed_summary": lambda d: feed_summary(d.info(), d.readings()),
     "detect_changes": lambda d: d.detected(),
-    "latest_state": lambda d: state.latest_state(d.changes_until_now()),
+    "latest_state": lambda d: state.latest_state(d.changes()),
     "snapshot_retype": lambda d: state.retype(state.as_text_map(d.latest())),
-    "known_stations": lambda d: state.known_stations(d.changes_until_now()),
-    "freshness": lambda d: state.freshness(d.latest(), NOW),
+    "known_stations": lambda d: state.known_stations(d.changes()),
+    "freshness": lambda d: state.freshness(d.latest(), d.now),
     "stations_snapshot": lambda d: d.snapshot(),
     # scalar rules
     "flow_split": lambda d: d.changes().select(
@@ -125,25 +131,23 @@ PLANS: dict[str, Plan] = {
     "time_label": lambda d: d.changes().select(
         "offset", clock_label(F.col("ts"), d.tz).alias("clock"),
         day_label(local_date(F.col("ts"), d.tz)).alias("day")),
-    "station_district": lambda d: d.latest().select(
-        "station_id", "station_code", station.district(F.col("station_code")).alias("arr")
-    ).where("arr IS NOT NULL"),
-    "station_flags": lambda d: d.latest().select(
-        "station_id", station.is_empty().alias("is_empty"), station.is_full().alias("is_full"),
+    "station_district": lambda d: d.changes().select(
+        "offset", "station_code", station.district(F.col("station_code")).alias("arr")),
+    "station_flags": lambda d: d.changes().select(
+        "offset", station.is_empty().alias("is_empty"), station.is_full().alias("is_full"),
         station.is_out_of_order().alias("out_of_order")),
-    "fill_class": lambda d: d.latest().select(
-        "station_id", station.fill_class("bikes").alias("bikes_class"),
+    "fill_class": lambda d: d.changes().select(
+        "offset", station.fill_class("bikes").alias("bikes_class"),
         station.fill_class("docks").alias("docks_class")),
-    "status_label": lambda d: d.latest().select(
-        "station_id", station.status_label().alias("status")),
+    "status_label": lambda d: d.changes().select(
+        "offset", station.status_label().alias("status")),
     "age_label": _age,
-    "fill_percent": lambda d: d.latest().select(
-        "station_id", station.fill_percent().alias("percent")),
-    "delta_label": lambda d: d.latest().select(
-        "station_id", numbers.signed_label(F.col("bikes_delta")).alias("label")),
-    "percent_label": lambda d: d.latest().where("capacity > 0").select(
-        "station_id",
-        numbers.percent_label(F.col("bikes_available") / F.col("capacity")).alias("label")),
+    "fill_percent": lambda d: d.changes().select(
+        "offset", station.fill_percent().alias("percent")),
+    "delta_label": lambda d: d.changes().select(
+        "offset", numbers.signed_label(F.col("bikes_delta")).alias("label")),
+    "percent_label": lambda d: d.changes().select("offset", numbers.percent_label(numbers.ratio(
+        F.col("bikes_available"), F.col("capacity"), 0.0)).alias("label")),
     # activity
     "activity_minutes": lambda d: activity.activity_minutes(d.changes_today(), d.day, d.tz),
     "station_flows": lambda d: activity.station_flows(d.changes_today(), d.day, d.tz),
@@ -165,6 +169,11 @@ PLANS: dict[str, Plan] = {
     "bottom_active": lambda d: business.most_active(d.snapshot(), least=True),
     "top_active_district": lambda d: business.most_active(
         d.snapshot(), district=bindings.DISTRICT),
+    "bottom_active_district": lambda d: business.most_active(
+        d.snapshot(), district=bindings.DISTRICT, least=True),
+    "top_fill_district": lambda d: business.fullest(d.latest(), district=bindings.DISTRICT),
+    "bottom_fill_district": lambda d: business.fullest(
+        d.latest(), district=bindings.DISTRICT, emptiest=True),
     "top_fill": lambda d: business.fullest(d.latest()),
     "bottom_fill": lambda d: business.fullest(d.latest(), emptiest=True),
     "station_search": lambda d: search.station_search(d.latest(), bindings.SEARCH),
@@ -183,16 +192,26 @@ PLANS: dict[str, Plan] = {
     # indicators
     "header_stats": lambda d: indicators.header_stats(d.latest()),
     "kpi_instant": lambda d: indicators.kpi_instant(d.latest()),
-    "kpi_day": lambda d: indicators.kpi_day(d.minutes(), NOW),
+    "kpi_day": lambda d: indicators.kpi_day(d.minutes(), d.now),
     "kpi_peak_hour": lambda d: indicators.kpi_peak_hour(d.minutes(), d.tz),
-    "kpi_sparkline": lambda d: activity.sparkline(d.minutes(), NOW),
+    "kpi_sparkline": lambda d: activity.sparkline(d.minutes(), d.now),
     "today_vs_average": lambda d: indicators.today_vs_average(
-        d.minutes(), history.history_daily(d.archive())),
+        d.minutes(), history.history_daily(d.archive_before())),
     "day_projection": lambda d: indicators.day_projection(
-        history.history_profile(d.archive()), d.flows(), NOW, d.tz),
+        history.history_profile(d.archive_before()), d.flows(), d.now, d.tz),
 }
 
 
+# Plans that are made from the driver's own tables; all others serve any landed documents.
+_BOUND = {"info_scan", "status_scan", "bike_types", "poison_good", "poison_rejected"}
+VIEWS = sorted(set(PLANS) - _BOUND)
+
+
+def view(name: str, derived: Derived) -> DataFrame:
+    """One of the VIEWS over the given tables."""
+    return PLANS[name](derived)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(plan: Plan):
         return lambda spark, sf_dir: plan(Derived(spark, sf_dir))

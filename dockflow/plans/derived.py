@@ -12,17 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockflow.functions.clock import DEFAULT_TZ, local_date
-from dockflow.operators.activity import activity_minutes, station_flows
+from dockflow.operators.activity import activity_minutes, of_day, station_flows
 from dockflow.operators.business import snapshot
-from dockflow.operators.changes import busy_stations, changes_of
+from dockflow.operators.changes import changes_of
 from dockflow.operators.districts import districts
 from dockflow.operators.readings import readings
 from dockflow.operators.state import latest_state
 from dockflow.plans import bindings
-from dockflow.schemas import (ARCHIVE_EVENT_TYPES, EVENT_DDL, FLOWS_DDL, MINUTES_DDL, RECORD_DDL,
-                              ddl)
-from dockflow.session import fit_shuffles, new_dir
+from dockflow.schemas import (ARCHIVE_EVENT_TYPES, EVENT_DDL, FLOWS_DDL, INFORMATION_SCHEMA,
+                              MINUTES_DDL, RECORD_DDL, WEATHER_DOCUMENT_SCHEMA, ddl)
+from dockflow.session import fit_shuffles, new_dir, shuffle_partitions
 from dockflow.sources import archive, documents, files
+from dockflow.streaming.queries import parse_polls
 
 _written: dict[tuple, str] = {}
 
@@ -35,7 +36,7 @@ class Derived:
         self.spark, self.sf_dir, self.tz, self.day, self.now = spark, sf_dir, tz, day, now
         self._sources: tuple | None = None
 
-    # --- straight from the source -------------------------------------------
+    # --- straight from the driver's tables ----------------------------------
     def facts(self) -> DataFrame:
         return bindings.events(self.spark, self.sf_dir)
 
@@ -50,19 +51,25 @@ class Derived:
         return readings(self.status(), self.info())
 
     def detected(self) -> DataFrame:
-        # Counting on the bare events reads two columns and needs no join.
-        busy = busy_stations(self.facts().select(F.col("user_id").alias("station_id"), "ts"))
-        return changes_of(self.status(), self.info(), busy=busy)
+        configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return changes_of(self.status(), self.info(),
+                          partitions=shuffle_partitions(self.source_bytes(), configured))
+
+    def paths(self) -> list[str]:
+        """What the change events follow from."""
+        return [f"{self.sf_dir}/{t}.parquet" for t in ("events", "supplier")]
+
+    def source_bytes(self) -> int:
+        if self._sources is None:
+            self._sources = tuple(files.fingerprint(self.spark, path) for path in self.paths())
+        return sum(size for _, size, _ in self._sources)
 
     def weather(self) -> DataFrame:
         return documents.weather_hourly(bindings.weather_documents(self.facts()), self.tz)
 
     # --- written once ---------------------------------------------------------
     def _table(self, name: str, schema: str, write: Callable[[str], None]) -> DataFrame:
-        if self._sources is None:
-            self._sources = tuple(files.fingerprint(self.spark, f"{self.sf_dir}/{t}.parquet")
-                                  for t in ("events", "supplier"))
-            fit_shuffles(self.spark, sum(size for _, size, _ in self._sources))
+        fit_shuffles(self.spark, self.source_bytes())
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
                name, self._sources)
         if key not in _written:
@@ -89,7 +96,7 @@ class Derived:
     def latest(self) -> DataFrame:
         """The view of latest states: one row per station."""
         def write(path: str) -> None:
-            latest_state(self.changes_until_now()).write.parquet(path)
+            latest_state(self.changes()).write.parquet(path)
 
         return self._table("latest", EVENT_DDL, write)
 
@@ -103,17 +110,23 @@ class Derived:
     def minutes(self) -> DataFrame:
         """Today's minute buckets, at most 1,500 rows."""
         def write(path: str) -> None:
-            activity_minutes(self.changes_today(), self.day, self.tz).coalesce(1).write.parquet(path)
+            activity_minutes(self.changes_today(), self.day, self.tz).write.parquet(path)
 
         return self._table("minutes", MINUTES_DDL, write)
 
-    # --- as of the reference moment -------------------------------------------
-    def changes_until_now(self) -> DataFrame:
-        return self.changes().where(F.col("ts") <= self.now)
-
+    # --- of the day -----------------------------------------------------------
     def changes_today(self) -> DataFrame:
-        """Events are published after they happen, so older partitions are skipped."""
-        return self.changes_until_now().where(F.col("date") >= F.lit(self.day).cast("date"))
+        """The day's events among the records since its start, where a replay begins.
+
+        A record older than that is no part of the day even if its event time is, so older
+        partitions are skipped.
+        """
+        since = self.changes().where(F.col("date") >= F.lit(self.day).cast("date"))
+        return of_day(since, self.day, self.tz)
+
+    def archive_before(self) -> DataFrame:
+        """The archive of the days before the day."""
+        return self.archive().where(F.col("date") < F.lit(self.day).cast("date"))
 
     def snapshot(self) -> DataFrame:
         return snapshot(self.latest(), self.flows())
@@ -123,3 +136,30 @@ class Derived:
 
     def features(self) -> DataFrame:
         return bindings.district_features(self.info())
+
+
+class Landed(Derived):
+    """The same views of landed documents: polls, station information, weather, districts."""
+
+    def __init__(self, spark: SparkSession, polls: str, info: str, weather: str | None, districts: str | None,
+                 tz: str, day: str, now: int):
+        super().__init__(spark, polls, tz, day, now)
+        self.info_path, self.weather_path, self.districts_path = info, weather, districts
+
+    def paths(self) -> list[str]:
+        return [self.sf_dir, self.info_path]
+
+    def info(self) -> DataFrame:
+        return documents.station_info(
+            documents.read_documents(self.spark, self.info_path, INFORMATION_SCHEMA))
+
+    def status(self) -> DataFrame:
+        texts = documents.split_documents(self.spark.read.text(self.sf_dir, wholetext=True))
+        return documents.status_scan(parse_polls(texts).where("data.stations is not null"))
+
+    def weather(self) -> DataFrame:
+        docs = documents.read_documents(self.spark, self.weather_path, WEATHER_DOCUMENT_SCHEMA)
+        return documents.weather_hourly(docs, self.tz)
+
+    def features(self) -> DataFrame:
+        return documents.read_features(self.spark, self.districts_path)

@@ -6,7 +6,7 @@ January in Paris is UTC+1, so local times add 3600 s here.
 
 from dockflow.plans.bindings import DAY, DISTRICT, NOW, PRICE, SEARCH
 
-DAY_START = 1705273200
+DAY_START = 1706569200
 DAY_END = DAY_START + 86400
 
 
@@ -71,10 +71,10 @@ changes AS (
     greatest(-(CASE WHEN nth = 1 THEN 0 ELSE bikes_available - bikes_before END), 0) AS taken,
     greatest(CASE WHEN nth = 1 THEN 0 ELSE bikes_available - bikes_before END, 0) AS returned
   FROM compared WHERE nth = 1 OR NOT same),
-seen AS (SELECT * FROM changes WHERE ts <= {NOW}),
-today AS (SELECT * FROM seen WHERE ts >= {DAY_START} AND ts < {DAY_END}),
+today AS (  -- of the records since the day's start, where a replay begins
+  SELECT * FROM changes WHERE ts >= {DAY_START} AND ts < {DAY_END} AND publish_ts >= {DAY_START}),
 latest AS (
-  SELECT * FROM seen
+  SELECT * FROM changes
   QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY ts DESC, "offset" DESC) = 1),
 flows AS (
   SELECT station_id, CAST(sum(taken) AS BIGINT) AS taken, CAST(sum(returned) AS BIGINT) AS returned
@@ -106,11 +106,25 @@ daily AS (
   SELECT CAST(date AS VARCHAR) AS date, count(*) AS events, CAST(sum(taken) AS BIGINT) AS taken,
          CAST(sum(returned) AS BIGINT) AS returned
   FROM changes GROUP BY 1),
+daily_before AS (SELECT * FROM daily WHERE date < '{DAY}'),
 profile AS (
   SELECT hour, CAST(avg(taken) AS BIGINT) AS taken, CAST(avg(returned) AS BIGINT) AS returned
   FROM (SELECT date, hour, sum(taken) AS taken, sum(returned) AS returned
         FROM changes WHERE bikes_delta <> 0 GROUP BY date, hour)
   GROUP BY hour),
+profile_before AS (
+  SELECT hour, CAST(avg(taken) AS BIGINT) AS taken, CAST(avg(returned) AS BIGINT) AS returned
+  FROM (SELECT date, hour, sum(taken) AS taken, sum(returned) AS returned
+        FROM changes WHERE bikes_delta <> 0 AND date < DATE '{DAY}' GROUP BY date, hour)
+  GROUP BY hour),
+marks AS (
+  SELECT *,
+    CASE WHEN TRY_CAST(station_code AS BIGINT) BETWEEN 1000 AND 20999
+         THEN CAST(TRY_CAST(station_code AS BIGINT) // 1000 AS INTEGER) END AS arr,
+    is_installed AND is_renting AND bikes_available = 0 AS is_empty,
+    is_installed AND is_returning AND docks_available = 0 AS is_full,
+    NOT is_installed OR NOT (is_renting OR is_returning) AS out_of_order
+  FROM changes),
 weather AS (
   SELECT h AS ts, CAST(((h + 3600) // 3600) % 24 AS TINYINT) AS hour, errors / 10 AS precipitation,
     (k_sum % 300) / 10 AS temperature, n * 1.5::DOUBLE AS wind_speed,
@@ -149,6 +163,11 @@ def _percent(x: str) -> str:
             f"|| ' %'")
 
 
+def _signed(n: str) -> str:
+    """With a plus above zero and French groups of thousands."""
+    return f"CASE WHEN {n} > 0 THEN '+' ELSE '' END || replace(format('{{:,}}', {n}), ',', chr(8239))"
+
+
 def _series(step: int) -> str:
     since = DAY_START // step * step
     return f"""
@@ -184,7 +203,7 @@ def _clusters(count: str) -> str:
 def _broken(column: str) -> str:
     return f"""CASE "offset" % 20
       WHEN 1 THEN '{{"broken": ' WHEN 4 THEN '[' || {column} || ']'
-      WHEN 7 THEN '{{"pas": "un event"}}'
+      WHEN 7 THEN '{{"shape": "unknown"}}'
       WHEN 10 THEN regexp_replace({column}, ',"bikes_delta":[-0-9]+', '')
       WHEN 13 THEN regexp_replace({column}, '}}$', ',"extra":1}}')
       WHEN 16 THEN regexp_replace({column}, '"capacity":[0-9]+', '"capacity":null')
@@ -223,8 +242,9 @@ BODIES = {
               WHEN "offset" % 20 = 16 THEN 'null_field' ELSE 'wrong_fields' END AS reason
   FROM wire WHERE "offset" % 20 IN (1, 4, 7, 10, 13, 16)""",
     "archive_events": f"SELECT {ARCHIVE} FROM changes",
-    "archive_mirror": f"""
-  SELECT {ARCHIVE} FROM changes WHERE date BETWEEN DATE '2024-01-10' AND DATE '{DAY}'""",
+    "archive_mirror": f"SELECT {ARCHIVE} FROM changes",
+    "archive_backfill": f"""
+  SELECT {ARCHIVE} FROM changes WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'""",
     "monitor_line": """
   SELECT "offset", printf('%-35s %3d vélos (%+d)', left(name, 35), bikes_available, bikes_delta) AS line
   FROM changes""",
@@ -242,7 +262,7 @@ BODIES = {
     "detect_changes": f'SELECT {EVENT}, "offset", publish_ts FROM changes',
     "latest_state": f"SELECT {EVENT} FROM latest",
     "snapshot_retype": f"SELECT {EVENT} FROM latest",
-    "known_stations": "SELECT DISTINCT station_id FROM seen",
+    "known_stations": "SELECT DISTINCT station_id FROM changes",
     "freshness": f"""
   SELECT {NOW}::BIGINT AS now, max(ts) AS last_ts, {NOW} - max(ts) AS age, {NOW} - max(ts) > 180 AS stale,
          CASE WHEN {NOW} - max(ts) > 180 THEN 'FLUX INTERROMPU' ELSE 'EN DIRECT' END AS label
@@ -254,29 +274,30 @@ BODIES = {
     "time_label": """
   SELECT "offset", strftime(make_timestamp((ts + 3600) * 1000000), '%H:%M') AS clock,
          strftime(make_timestamp((ts + 3600) * 1000000), '%d/%m') AS day FROM changes""",
-    "station_district": "SELECT station_id, station_code, arr FROM snap WHERE arr IS NOT NULL",
-    "station_flags": "SELECT station_id, is_empty, is_full, out_of_order FROM snap",
+    "station_district": 'SELECT "offset", station_code, arr FROM marks',
+    "station_flags": 'SELECT "offset", is_empty, is_full, out_of_order FROM marks',
     "fill_class": f"""
-  SELECT station_id, {_fill_class('bikes_available', 'is_renting')} AS bikes_class,
-         {_fill_class('docks_available', 'is_returning')} AS docks_class FROM snap""",
+  SELECT "offset", {_fill_class('bikes_available', 'is_renting')} AS bikes_class,
+         {_fill_class('docks_available', 'is_returning')} AS docks_class FROM marks""",
     "status_label": """
-  SELECT station_id, CASE WHEN NOT is_installed THEN '⛔ Hors service'
+  SELECT "offset", CASE WHEN NOT is_installed THEN '⛔ Hors service'
     WHEN NOT is_renting AND NOT is_returning THEN '⛔ Fermée (ni location ni retour)'
     WHEN NOT is_renting THEN '⚠️ Location suspendue' WHEN NOT is_returning THEN '⚠️ Retour suspendu'
-    ELSE '✅ En service' END AS status FROM snap""",
+    ELSE '✅ En service' END AS status FROM marks""",
     "age_label": f"""
-  SELECT station_id, age, CASE WHEN age < 60 THEN greatest(0, age) || ' s'
+  SELECT "offset", age, CASE WHEN age < 60 THEN greatest(0, age) || ' s'
     WHEN age < 3600 THEN CAST(floor(age / 60 + 0.5) AS BIGINT) || ' min'
     ELSE CAST(floor(age / 3600 + 0.5) AS BIGINT) || ' h' END AS label
-  FROM (SELECT station_id, {NOW} - CASE WHEN last_reported = 0 THEN ts ELSE last_reported END AS age
-        FROM snap)""",
+  FROM (SELECT "offset", {NOW} - CASE WHEN last_reported = 0 THEN ts ELSE last_reported END AS age
+        FROM marks)""",
     "fill_percent": """
-  SELECT station_id, CASE WHEN capacity = 0 THEN 0.0
-    ELSE 100.0::DOUBLE * bikes_available / capacity END AS percent FROM snap""",
-    "delta_label": """
-  SELECT station_id, CASE WHEN bikes_delta > 0 THEN '+' ELSE '' END || bikes_delta AS label FROM snap""",
+  SELECT "offset", CASE WHEN capacity = 0 THEN 0.0
+    ELSE 100.0::DOUBLE * bikes_available / capacity END AS percent FROM marks""",
+    "delta_label": f"""
+  SELECT "offset", {_signed('bikes_delta')} AS label FROM marks""",
     "percent_label": f"""
-  SELECT station_id, {_percent('bikes_available / capacity')} AS label FROM snap WHERE capacity > 0""",
+  SELECT "offset", {_percent('CASE WHEN capacity = 0 THEN 0 ELSE bikes_available / capacity END')} AS label
+  FROM marks""",
     # activity
     "activity_minutes": "SELECT * FROM minutes",
     "station_flows": "SELECT * FROM flows",
@@ -325,6 +346,16 @@ BODIES = {
     "top_active_district": f"""
   SELECT station_id, name, moves FROM snap WHERE arr = {DISTRICT}
   ORDER BY moves DESC, station_id LIMIT 5""",
+    "bottom_active_district": f"""
+  SELECT station_id, name, moves FROM snap WHERE arr = {DISTRICT} ORDER BY moves, station_id LIMIT 5""",
+    "top_fill_district": f"""
+  SELECT station_id, name, CAST(floor(100 * (bikes_available / capacity) + 0.5) AS BIGINT) AS percent
+  FROM snap WHERE capacity > 0 AND arr = {DISTRICT}
+  ORDER BY bikes_available / capacity DESC, station_id LIMIT 3""",
+    "bottom_fill_district": f"""
+  SELECT station_id, name, CAST(floor(100 * (bikes_available / capacity) + 0.5) AS BIGINT) AS percent
+  FROM snap WHERE capacity > 0 AND arr = {DISTRICT}
+  ORDER BY bikes_available / capacity, station_id LIMIT 3""",
     "top_fill": """
   SELECT station_id, name, CAST(floor(100 * (bikes_available / capacity) + 0.5) AS BIGINT) AS percent
   FROM snap WHERE capacity > 0 ORDER BY bikes_available / capacity DESC, station_id LIMIT 3""",
@@ -391,7 +422,7 @@ BODIES = {
         FROM latest WHERE is_installed AND is_renting)""",
     "kpi_day": f"""
   SELECT *, taken + returned AS rotations, returned - taken AS net,
-    CASE WHEN returned > taken THEN '+' ELSE '' END || (returned - taken) AS net_label,
+    {_signed('(returned - taken)')} AS net_label,
     replace(printf('%.1f', last_15_min / 15), '.', ',') AS rate
   FROM (SELECT coalesce(sum(events), 0)::BIGINT AS events, coalesce(sum(taken), 0)::BIGINT AS taken,
           coalesce(sum(returned), 0)::BIGINT AS returned,
@@ -408,34 +439,36 @@ BODIES = {
   SELECT rotations, days, CAST(floor(mean + 0.5) AS BIGINT) AS average,
     CASE WHEN mean = 0 THEN '–' ELSE {_percent('rotations / mean')} END AS vs_average
   FROM (SELECT (SELECT coalesce(sum(taken + returned), 0)::BIGINT FROM minutes) AS rotations,
-               count(*) AS days, avg(taken + returned) AS mean FROM daily)""",
+               count(*) AS days, avg(taken + returned) AS mean FROM daily_before)""",
     "day_projection": f"""
   SELECT today_taken, round(share, 6) AS share,
     CASE WHEN share > 0.05 THEN CAST(floor(today_taken / share + 0.5) AS BIGINT) END AS projected,
     CASE WHEN share > 0.05 THEN {_percent('share')} ELSE '–' END AS share_label
   FROM (SELECT (SELECT coalesce(sum(taken), 0)::BIGINT FROM flows) AS today_taken,
-          sum(CASE WHEN hour + 1 <= 18.5 THEN taken WHEN hour < 18.5 THEN taken * (18.5 - hour) ELSE 0 END)::DOUBLE
+          sum(CASE WHEN hour + 1 <= 23.75 THEN taken WHEN hour < 23.75 THEN taken * (23.75 - hour) ELSE 0 END)::DOUBLE
             / sum(taken) AS share
-        FROM profile)""",
-    # streams: the batch results, but for what the push buffer keeps
+        FROM profile_before)""",
+    # streams: the batch results; those of the day work on the log as it is when the day ends
     "stream_changes": f'SELECT {EVENT}, "offset", publish_ts FROM changes',
     "stream_log_source": f"""
   SELECT {EVENT}, "offset", publish_ts FROM changes
   WHERE "offset" % 20 NOT IN (1, 4, 7, 10, 13, 16)""",
     "stream_latest_view": f"SELECT {EVENT} FROM latest",
-    "stream_flows": "SELECT * FROM flows",
-    "stream_activity": "SELECT * FROM minutes",
+    "stream_flows": f"""
+  SELECT station_id, CAST(sum(taken) AS BIGINT) AS taken, CAST(sum(returned) AS BIGINT) AS returned
+  FROM today WHERE bikes_delta <> 0 AND publish_ts < {DAY_END} GROUP BY station_id""",
+    "stream_activity": f"""
+  SELECT ts // 60 * 60 AS t, count(*) AS events, CAST(sum(taken) AS BIGINT) AS taken,
+         CAST(sum(returned) AS BIGINT) AS returned
+  FROM today WHERE publish_ts < {DAY_END} GROUP BY 1""",
     "stream_push": f"""
-  SELECT {EVENT}, "offset", publish_ts FROM changes ORDER BY "offset" LIMIT 1000""",
+  SELECT CAST(station_id AS VARCHAR) AS key, value, CAST(station_id % 3 AS INTEGER) AS partition,
+         "offset", publish_ts FROM wire WHERE publish_ts >= {DAY_START}""",
     "stream_replay_live": f"""
   SELECT m.*, coalesce(p.pushed, 0) AS pushed
-  FROM (SELECT ts // 60 * 60 AS t, count(*) AS events, CAST(sum(taken) AS BIGINT) AS taken,
-               CAST(sum(returned) AS BIGINT) AS returned
-        FROM today WHERE publish_ts >= {DAY_START} GROUP BY 1) m
+  FROM minutes m
   LEFT JOIN (SELECT ts // 60 * 60 AS t, count(*) AS pushed
-             FROM (SELECT * FROM seen WHERE publish_ts >= {DAY_START + 43200}
-                   ORDER BY "offset" LIMIT 1000)
-             GROUP BY 1) p USING (t)""",
+             FROM changes WHERE publish_ts >= {DAY_START + 43200} GROUP BY 1) p USING (t)""",
 }
 
 

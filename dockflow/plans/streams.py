@@ -8,11 +8,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockflow.functions.clock import day_bounds
+from dockflow.functions.clock import day_bounds, local_date
 from dockflow.plans import bindings
 from dockflow.plans.derived import Derived
 from dockflow.session import new_dir
-from dockflow.sources.log import encode_log
+from dockflow.sources.log import decode_log, encode_log
 from dockflow.streaming import jobs
 
 _HOUR = 3600
@@ -45,13 +45,24 @@ def _slices(rows: DataFrame, column: str, cuts: list[int]) -> list[DataFrame]:
 
 def _run(slices: list[DataFrame], path: str, start: Callable[[str], object]) -> None:
     for rows in slices:
-        rows.write.mode("append").parquet(path)
+        writer = rows.write.mode("append")
+        (writer.partitionBy("date") if "date" in rows.columns else writer).parquet(path)
         start(path).awaitTermination()
 
 
+def _log_table(rows: DataFrame, d: Derived) -> DataFrame:
+    """Log records below their publish date, as the change job writes them."""
+    return rows.withColumn("date", local_date(F.col("publish_ts"), d.tz))
+
+
+def _of_the_day(d: Derived) -> DataFrame:
+    """The log as it is when the day ends."""
+    return _log_table(encode_log(d.changes()), d).where(F.col("publish_ts") < day_bounds(d.day, d.tz)[1])
+
+
 def stream_changes(d: Derived) -> DataFrame:
     path = new_dir(d.spark, "polls")
-    job = jobs.ChangeJob(d.spark, new_dir(d.spark, "stream-changes"), d.info)
+    job = jobs.ChangeJob(d.spark, new_dir(d.spark, "stream-changes"), d.info, d.tz)
     polls = bindings.status_documents(d.facts())
     for rows in _slices(polls, "lastUpdatedOther", _days(d)):
         rows.write.mode("append").json(path)
@@ -68,46 +79,45 @@ def stream_log_source(d: Derived) -> DataFrame:
 
 def stream_latest_view(d: Derived) -> DataFrame:
     job, view = jobs.latest_view_job(d.spark, new_dir(d.spark, "stream-latest"))
-    log = encode_log(d.changes_until_now())
-    _run(_slices(log, "publish_ts", _hours(d)), new_dir(d.spark, "log"), job.start)
+    _run(_slices(encode_log(d.changes()), "publish_ts", _hours(d)), new_dir(d.spark, "log"), job.start)
     return view.read().drop("offset", "publish_ts")
 
 
+def _day_job(d: Derived, kind: type[jobs.DayJob], name: str) -> jobs.DayJob:
+    job = kind(d.spark, new_dir(d.spark, name), d.tz, state_partitions=4)
+    _run(_slices(_of_the_day(d), "publish_ts", _hours(d)), new_dir(d.spark, "log"),
+         lambda path: job.start(path, since=d.day))
+    return job
+
+
 def stream_flows(d: Derived) -> DataFrame:
-    job = jobs.FlowsJob(d.spark, new_dir(d.spark, "stream-flows"), d.day, d.tz)
-    log = encode_log(d.changes_until_now())
-    _run(_slices(log, "publish_ts", _hours(d)), new_dir(d.spark, "log"), job.start)
-    return job.view.read()
+    return _day_job(d, jobs.FlowsJob, "stream-flows").flows()
 
 
 def stream_activity(d: Derived) -> DataFrame:
-    job = jobs.ActivityJob(d.spark, new_dir(d.spark, "stream-activity"), d.tz)
-    log = encode_log(d.changes_until_now())
-    _run(_slices(log, "publish_ts", _hours(d)), new_dir(d.spark, "log"), job.start)
-    return job.minutes()
+    return _day_job(d, jobs.ActivityJob, "stream-activity").minutes()
 
 
 def stream_push(d: Derived) -> DataFrame:
-    """The buffer of a subscriber that takes nothing."""
-    subscriber = jobs.Subscriber(d.spark, new_dir(d.spark, "subscriber"))
-    job = jobs.push_job(d.spark, new_dir(d.spark, "stream-push"), [subscriber])
-    log = encode_log(d.changes())
-    _run(_slices(log, "offset", [100, 2000]), new_dir(d.spark, "log"), job.start)
-    return subscriber.waiting()
+    """The live feed from the first record of the day on."""
+    job = jobs.RelayJob(d.spark, new_dir(d.spark, "stream-push"), d.day, d.tz)
+    _run(_slices(_log_table(encode_log(d.changes()), d), "publish_ts", _hours(d)),
+         new_dir(d.spark, "log"), job.follow)
+    return job.feed.read().drop("batch_id")
 
 
 def stream_replay_live(d: Derived) -> DataFrame:
-    """Minute buckets of the day, with how many of each minute's events were pushed."""
-    subscriber = jobs.Subscriber(d.spark, new_dir(d.spark, "subscriber"))
-    job = jobs.RelayJob(d.spark, new_dir(d.spark, "stream-relay"), d.day, d.tz, [subscriber])
-    past, live = _slices(encode_log(d.changes_until_now()), "publish_ts", _hours(d)[1:])
+    """Minute buckets of the day, with how many of each minute's events went to the live feed."""
+    job = jobs.RelayJob(d.spark, new_dir(d.spark, "stream-relay"), d.day, d.tz)
+    past, live = _slices(_log_table(encode_log(d.changes()), d), "publish_ts", _hours(d)[1:])
     path = new_dir(d.spark, "log")
-    past.write.parquet(path)
+    past.write.partitionBy("date").parquet(path)
     job.replay(path).awaitTermination()
-    live.write.mode("append").parquet(path)
+    live.write.mode("append").partitionBy("date").parquet(path)
     job.follow(path).awaitTermination()
     minute = (F.col("ts") - F.pmod("ts", F.lit(60))).alias("t")
-    pushed = subscriber.waiting().groupBy(minute).agg(F.count("*").alias("pushed"))
+    fed, _ = decode_log(job.feed.read())
+    pushed = fed.groupBy(minute).agg(F.count("*").alias("pushed"))
     return job.minutes().join(pushed, "t", "left").withColumn(
         "pushed", F.coalesce("pushed", F.lit(0)))
 

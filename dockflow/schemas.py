@@ -24,7 +24,7 @@ EVENT_SCHEMA = T.StructType([
 EVENT_FIELDS = EVENT_SCHEMA.fieldNames()
 READING_FIELDS = [f for f in EVENT_FIELDS if f != "bikes_delta"]
 
-# The fields whose change makes a new event; timestamps are left out on purpose.
+# The fields whose change makes a new event (fixed values); timestamps are left out on purpose.
 TRACKED_FIELDS = [
     "mechanical", "ebike", "bikes_available", "docks_available",
     "is_installed", "is_renting", "is_returning",
@@ -100,7 +100,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("publish_ts", T.LongType()),
 ])
 
-# --- archives (column types at rest) ------------------------------------------
+# --- archives: column types at rest (fixed values) ------------------------------------------
 ARCHIVE_EVENT_TYPES = {
     "ts": "bigint", "hour": "tinyint", "station_id": "bigint", "station_code": "string",
     "name": "string", "lat": "double", "lon": "double", "capacity": "smallint",
@@ -127,6 +127,8 @@ def _ddl_of(schema: T.StructType) -> str:
 EVENT_DDL = _ddl_of(EVENT_SCHEMA)
 RECORD_DDL = f"{EVENT_DDL}, offset bigint, publish_ts bigint"
 LOG_DDL = _ddl_of(LOG_SCHEMA)
+LOG_TABLE_DDL = f"{LOG_DDL}, date date, batch_id bigint"  # a log that jobs here wrote
+REJECTED_POLLS_DDL = "value string"
 REJECTED_DDL = f"{LOG_DDL}, reason string"
 STATE_DDL = _ddl_of(T.StructType([READING_SCHEMA[f] for f in ["station_id", *TRACKED_FIELDS]]))
 MINUTES_DDL = "t bigint, events bigint, taken bigint, returned bigint"

@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 _local_work: dict[str, str] = {}
 
 SHUFFLE_INPUT_BYTES = 256 * 1024 ** 2  # input per shuffle partition
-MAX_SHUFFLE_PARTITIONS = 50_000  # keeps the driver's shuffle bookkeeping small
 
 
 def build_session(master: str | None = None, app: str = "dockflow", **conf) -> SparkSession:
@@ -44,7 +43,7 @@ def build_session(master: str | None = None, app: str = "dockflow", **conf) -> S
 def shuffle_partitions(input_bytes: int, configured: int) -> int:
     """Partitions for an input: enough that a partition fits in a task's memory."""
     needed = math.ceil(input_bytes / SHUFFLE_INPUT_BYTES)
-    return max(configured, min(needed, MAX_SHUFFLE_PARTITIONS))
+    return max(configured, needed)
 
 
 def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:

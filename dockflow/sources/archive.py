@@ -47,10 +47,13 @@ def _write_with_mirror(rows: DataFrame, base: str, schema: str, mirror_base: str
 
 def archive_events(changes: DataFrame, base: str, tz: str = DEFAULT_TZ,
                    first_day: date | str | None = None, last_day: date | str | None = None,
-                   mirror_base: str | None = None) -> None:
-    """Archive the log, or only the days asked for; the mirror gets the same files' rows."""
+                   mirror_base: str | None = None, partitioned: bool = False) -> None:
+    """Archive the log, or only the days asked for; the mirror gets the same files' rows.
+
+    `partitioned`: the log is partitioned by publish date in `tz`, so other days are not read.
+    """
     if first_day is not None:
-        changes = read_log_days(changes, first_day, last_day, tz)
+        changes = read_log_days(changes, first_day, last_day, tz, partitioned)
     _write_with_mirror(event_rows(changes, tz), base, ddl(ARCHIVE_EVENT_TYPES), mirror_base,
                        first_day, last_day)
 

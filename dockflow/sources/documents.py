@@ -13,8 +13,20 @@ BBOX_MARGIN = 0.005
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON documents, one per file; a broken file gives a row of nulls."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """JSON documents, one per file, with their `arrival`; a broken file gives a row of nulls."""
+    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    return docs.withColumn("arrival", F.struct(
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_path").alias("path")))
+
+
+def split_documents(files: DataFrame, text: str = "value") -> DataFrame:
+    """Text of whole files to one row per document, indented or one per line.
+
+    A document begins where a line starts with a brace and the line before ended with one.
+    """
+    parts = F.split(F.trim(F.col(text)), r"(?<=\})[ \t]*\r?\n(?=\{)")
+    return files.select(F.explode(parts).alias(text)).where(F.trim(text) != "")
 
 
 def parse_documents(docs: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
@@ -28,14 +40,15 @@ def parse_documents(docs: DataFrame, schema: T.StructType, text: str = "value")
 
 
 def _arrival(docs: DataFrame) -> Column:
-    """Order of documents among each other, where the source gives one."""
-    return F.col("offset") if "offset" in docs.columns else F.lit(0).cast("bigint")
+    """Order of documents among each other: record offset, else the file's time and name."""
+    known = [F.col(c) for c in ("offset", "arrival") if c in docs.columns]
+    return F.struct(*known) if known else F.lit(0).cast("bigint")
 
 
 def station_info(docs: DataFrame) -> DataFrame:
     """One row per station; missing texts are empty, missing capacity 0.
 
-    Of several entries for a station the last one counts. `max_by` combines
+    Of several entries for a station the last one of the document that arrived last counts. `max_by` combines
     before the shuffle, so a station listed in every document stays cheap.
     An entry without id or coordinates is no station.
     """
@@ -57,7 +70,7 @@ def station_info(docs: DataFrame) -> DataFrame:
 def status_scan(docs: DataFrame) -> DataFrame:
     """One row per station entry, stamped with its document's time.
 
-    `offset` and `publish_ts` come from the source when it has them; otherwise
+    `offset` and `publish_ts` come from the record where it has them; otherwise
     the place in the document and the document time stand in.
     """
     has = set(docs.columns)
@@ -66,8 +79,9 @@ def status_scan(docs: DataFrame) -> DataFrame:
         *[c for c in schemas.RECORD_FIELDS if c in has],
         F.posexplode("data.stations").alias("pos", "s"),
     )
-    offset = F.col("offset") if "offset" in has else F.col("pos").cast("bigint")
-    publish_ts = F.col("publish_ts") if "publish_ts" in has else F.col("ts")
+    pos, ts = F.col("pos").cast("bigint"), F.col("ts")
+    offset = F.coalesce("offset", pos) if "offset" in has else pos
+    publish_ts = F.coalesce("publish_ts", ts) if "publish_ts" in has else ts
     return rows.select(
         "s.station_id", "ts", "s.num_bikes_available", "s.num_bikes_available_types",
         "s.num_docks_available", "s.is_installed", "s.is_renting", "s.is_returning",

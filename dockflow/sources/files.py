@@ -20,14 +20,19 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Files, bytes and change time of a path: tells whether input changed.
-
-    Two calls, however many files there are.
-    """
+    """Files, bytes and newest change time below a path: tells whether input changed."""
     fs, hadoop_path = _path(spark, path)
-    content = fs.getContentSummary(hadoop_path)
-    changed = fs.getFileStatus(hadoop_path).getModificationTime()
-    return content.getFileCount(), content.getLength(), changed
+    status = fs.getFileStatus(hadoop_path)
+    if not status.isDirectory():
+        return 1, status.getLen(), status.getModificationTime()
+    count = size = 0
+    changed = status.getModificationTime()
+    found = fs.listFiles(hadoop_path, True)
+    while found.hasNext():
+        one = found.next()
+        count, size = count + 1, size + one.getLen()
+        changed = max(changed, one.getModificationTime())
+    return count, size, changed
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

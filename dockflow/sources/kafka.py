@@ -1,14 +1,17 @@
 """The change log on Kafka. Needs Spark's Kafka connector on the classpath."""
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from dockflow.functions.clock import DEFAULT_TZ, day_bounds
 from dockflow.sources.log import KAFKA_SINK_OPTIONS
 
 
+MAX_OFFSETS = 1_000_000  # records of a micro-batch, unless the caller says otherwise
+
+
 def _records(source: DataFrame) -> DataFrame:
     return source.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
@@ -16,13 +19,16 @@ def _records(source: DataFrame) -> DataFrame:
 
 
 def stream_log(spark: SparkSession, servers: str, topic: str,
-               max_offsets: int | None = None) -> DataFrame:
-    """From the earliest record for a new checkpoint, then from its position."""
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option(
-        "subscribe", topic).option("startingOffsets", "earliest")
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return _records(reader.load())
+               max_offsets: int = MAX_OFFSETS, since: date | str | None = None,
+               tz: str = DEFAULT_TZ) -> DataFrame:
+    """From the earliest record, or the first of a local day, for a new checkpoint, then from its position."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "maxOffsetsPerTrigger": str(max_offsets)}
+    if since is None:
+        options["startingOffsets"] = "earliest"
+    else:
+        options |= {"startingTimestamp": str(day_bounds(since, tz)[0] * 1000),
+                    "startingOffsetsByTimestampStrategy": "latest"}
+    return _records(spark.readStream.format("kafka").options(**options).load())
 
 
 def read_days(spark: SparkSession, servers: str, topic: str, first_day: date | str,
@@ -36,8 +42,11 @@ def read_days(spark: SparkSession, servers: str, topic: str, first_day: date | s
     return _records(source.load())
 
 
-def write_log(records: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream of encoded records; readers drop repeats by (station, ts)."""
-    return (records.select("key", "value").writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("topic", topic)
-            .options(**KAFKA_SINK_OPTIONS).option("checkpointLocation", checkpoint).start())
+def publisher(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    """Sends the encoded records of a micro-batch to a topic; readers drop repeats by (station, ts)."""
+    def publish(records: DataFrame, batch_id: int) -> None:
+        (records.select("key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic)
+         .options(**KAFKA_SINK_OPTIONS).save())
+
+    return publish

@@ -72,17 +72,17 @@ def decode_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_log_days(log: DataFrame, first_day: date | str, last_day: date | str | None = None,
-                  tz: str = DEFAULT_TZ) -> DataFrame:
+                  tz: str = DEFAULT_TZ, partitioned: bool = False) -> DataFrame:
     """Records published within the local days, first and last included.
 
     A plain range on the record time: it reaches the file scan as a pushed
-    filter and needs no commit or consumer position. A source that is
-    partitioned by publish `date` is pruned to those days as well.
+    filter and needs no commit or consumer position. `partitioned` says that the source
+    is partitioned by `date`, the local publish date in `tz`, and prunes it to those days.
     """
     last_day = first_day if last_day is None else last_day
     start, end = day_bounds(first_day, tz)[0], day_bounds(last_day, tz)[1]
     rows = log.where((F.col("publish_ts") >= start) & (F.col("publish_ts") < end))
-    if "date" in log.columns:
+    if partitioned:
         rows = rows.where(F.col("date").between(
             F.lit(str(first_day)).cast("date"), F.lit(str(last_day)).cast("date")))
     return rows

@@ -1,7 +1,8 @@
 """The streaming jobs: changes from polls, views and aggregates from the log.
 
 Handlers apply the batch operators to a micro-batch, so that stream and batch
-results agree. Running aggregates use Spark's own streaming state.
+results agree. Running aggregates use Spark's own streaming state. A job takes its log as
+the path of a folder or as a streaming DataFrame of records, such as `sources.kafka.stream_log`.
 """
 
 from collections.abc import Callable
@@ -11,59 +12,78 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dockflow.functions import station
-from dockflow.functions.clock import DEFAULT_TZ, day_bounds, local_day
+from dockflow.functions.clock import DEFAULT_TZ, day_bounds, local_date, local_day
 from dockflow.operators.activity import activity_minutes
 from dockflow.operators.changes import detect_changes
 from dockflow.operators.readings import counters, describe
 from dockflow.operators.state import latest_by
-from dockflow.schemas import (FLOWS_DDL, LOG_DDL, MINUTES_DDL, RECORD_DDL, REJECTED_DDL, STATE_DDL,
-                              TRACKED_FIELDS)
+from dockflow.schemas import (FLOWS_DDL, LOG_DDL, LOG_SCHEMA, MINUTES_DDL, RECORD_DDL, REJECTED_DDL,
+                              REJECTED_POLLS_DDL, STATE_DDL, TRACKED_FIELDS)
 from dockflow.sources import documents, files
 from dockflow.sources.log import (check_log, encode_log, good_events, monitor_line,
                                   rejected_records)
-from dockflow.streaming.queries import log_stream, poll_stream, start_query
-from dockflow.streaming.tables import BatchTable, VersionedView
+from dockflow.streaming.queries import (MAX_FILES, log_stream, parse_polls, poll_stream,
+                                        start_query, state_session)
+from dockflow.streaming.tables import BatchTable, DatedTable, VersionedView
 
-PUSH_CAPACITY = 1000
 POLL_INTERVAL = "60 seconds"
 WATERMARK = "25 hours"  # the longest local day
-STATE_PARTITIONS = 8  # one row per station or minute: small beside the events
+AHEAD_S = 300  # an event this much later than its record comes from a wrong clock
+
+Log = str | DataFrame
+
+
+def records_of(spark: SparkSession, log: Log, max_files: int = MAX_FILES,
+               since: date | str | None = None) -> DataFrame:
+    return log_stream(spark, log, max_files, since) if isinstance(log, str) else log
 
 
 # --- polls to change events -----------------------------------------------------
 class ChangeJob:
     """Change events of landed polls, with the last reading per station as state.
 
-    Writes the typed events and the log records that other jobs read.
+    Writes the typed events and the log records that other jobs read, the log below the local
+    publish date; `publish` may send the records to a topic as well. A text that is no status
+    document goes to `rejected`.
 
     The state is a table, so it outlives a restart and no station is reported
-    again. Within a batch the readings are ordered by time; a busy station is
-    split over tasks by `detect_changes`, which per-key state functions cannot do.
+    again. Within a batch the readings are ordered by time and cut into days by
+    `detect_changes`, which per-key state functions cannot do.
     """
 
-    def __init__(self, spark: SparkSession, base: str, info: Callable[[], DataFrame]):
-        self.spark, self.base, self.info = spark, base, info
+    def __init__(self, spark: SparkSession, base: str, info: Callable[[], DataFrame],
+                 tz: str = DEFAULT_TZ, partitions: int | None = None,
+                 publish: Callable[[DataFrame, int], None] | None = None):
+        self.spark, self.base, self.info, self.tz = spark, base, info, tz
+        self.partitions, self.publish = partitions, publish
         self.changes = BatchTable(spark, f"{base}/changes", RECORD_DDL)
-        self.log = BatchTable(spark, f"{base}/log", LOG_DDL)
+        self.log = DatedTable(spark, f"{base}/log", LOG_DDL)
+        self.rejected = BatchTable(spark, f"{base}/rejected", REJECTED_POLLS_DDL)
         self.state = VersionedView(spark, f"{base}/state", STATE_DDL, "station_id")
 
-    def handle(self, polls: DataFrame, batch_id: int) -> None:
+    def handle(self, texts: DataFrame, batch_id: int) -> None:
         # Information is read anew for each batch; a broken document has no rows.
         info = self.info().persist()
-        states = counters(documents.status_scan(polls)).join(
+        polls = parse_polls(texts).persist()
+        good = F.col("lastUpdatedOther").isNotNull() & F.col("data.stations").isNotNull()
+        self.rejected.write(polls.where(~good).select(F.col("text").alias("value")), batch_id)
+        states = counters(documents.status_scan(polls.where(good))).join(
             info.select("station_id"), "station_id", "left_semi").persist()
         before = self.state.version(batch_id - 1)
-        events = describe(detect_changes(states, previous=before), info)
+        events = describe(detect_changes(states, before, self.partitions), info)
         self.changes.write(events, batch_id)
-        self.log.write(encode_log(self.changes.batch(batch_id)), batch_id)
+        records = encode_log(self.changes.batch(batch_id))
+        self.log.write(records.withColumn("date", local_date(F.col("publish_ts"), self.tz)), batch_id)
+        if self.publish:
+            self.publish(records, batch_id)
         last = latest_by(states.select("station_id", *TRACKED_FIELDS, "ts", "offset"),
                          "station_id", ["ts", "offset"])
         self.state.replace(last.select(*before.columns), batch_id)
-        states.unpersist()
-        info.unpersist()
+        for cached in (states, polls, info):
+            cached.unpersist()
 
     def start(self, polls_path: str, interval: str | None = None,
-              max_files: int | None = None) -> StreamingQuery:
+              max_files: int = MAX_FILES) -> StreamingQuery:
         return start_query(poll_stream(self.spark, polls_path, max_files), self.handle,
                            f"{self.base}/checkpoint", interval)
 
@@ -88,9 +108,9 @@ class LogJob:
         self.rejected.write(rejected_records(checked), batch_id)
         checked.unpersist()
 
-    def start(self, log_path: str, interval: str | None = None,
-              max_files: int | None = None) -> StreamingQuery:
-        return start_query(log_stream(self.spark, log_path, max_files), self.handle,
+    def start(self, log: Log, interval: str | None = None,
+              max_files: int = MAX_FILES) -> StreamingQuery:
+        return start_query(records_of(self.spark, log, max_files), self.handle,
                            f"{self.base}/checkpoint", interval)
 
 
@@ -104,152 +124,134 @@ def latest_view_job(spark: SparkSession, base: str) -> tuple[LogJob, VersionedVi
     return LogJob(spark, base, upsert), view
 
 
-def start_monitor(spark: SparkSession, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Prints one line per event on the console sink."""
-    good = good_events(check_log(log_stream(spark, log_path)))
-    return (monitor_line(good).writeStream.format("console").option("truncate", False)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
-# --- running aggregates -----------------------------------------------------------
-class FlowsJob:
-    """Bikes taken and returned per station, kept up to date from the stream."""
-
-    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ,
-                 state_partitions: int = STATE_PARTITIONS):
-        self.spark, self.base, self.bounds = spark, base, day_bounds(day, tz)
-        self.state_partitions = state_partitions
-        self.view = VersionedView(spark, f"{base}/flows", FLOWS_DDL, "station_id")
-
-    def handle(self, updates: DataFrame, batch_id: int) -> None:
-        self.view.replace(updates, batch_id)
+def start_monitor(spark: SparkSession, log: Log, checkpoint: str,
+                  max_files: int = MAX_FILES) -> StreamingQuery:
+    """Prints one line per event; a partition of a micro-batch is at the driver at a time."""
+    def show(lines: DataFrame, batch_id: int) -> None:
+        for row in lines.sort("offset").toLocalIterator():
+            print(row["line"], flush=True)
 
-    def start(self, log_path: str, interval: str | None = None) -> StreamingQuery:
-        good = good_events(check_log(log_stream(self.spark, log_path)))
-        start, end = self.bounds
-        delta = F.col("bikes_delta")
-        moved = good.where((F.col("ts") >= start) & (F.col("ts") < end) & (delta != 0))
-        flows = moved.groupBy("station_id").agg(
-            F.sum(station.taken(delta)).alias("taken"),
-            F.sum(station.returned(delta)).alias("returned"))
-        return start_query(flows, self.handle, f"{self.base}/checkpoint", interval, "update",
-                           self.state_partitions)
+    good = good_events(check_log(records_of(spark, log, max_files)))
+    return start_query(monitor_line(good), show, checkpoint)
 
 
-class ActivityJob:
-    """Minute buckets of the current local day, by event time.
+# --- running aggregates -----------------------------------------------------------
+class DayJob:
+    """A running aggregate of the current local day, by event time.
 
-    Windows older than the watermark leave the state; the view starts afresh
-    when an event of the next local day arrives.
+    Windows older than the watermark leave the state; the view starts afresh when an event of
+    the next local day arrives. Events far later than their own record are left out, so
+    a wrong clock cannot end the day.
     """
 
-    def __init__(self, spark: SparkSession, base: str, tz: str = DEFAULT_TZ,
-                 state_partitions: int = STATE_PARTITIONS):
+    def __init__(self, spark: SparkSession, base: str, schema: str, key: list[str], tz: str,
+                 state_partitions: int):
         self.spark, self.base, self.tz = spark, base, tz
-        self.state_partitions = state_partitions
-        self.view = VersionedView(spark, f"{base}/minutes", MINUTES_DDL, "t")
+        self.session = state_session(spark, state_partitions)
+        self.view = VersionedView(spark, f"{base}/view", schema, key)
+        self.updates = BatchTable(spark, f"{base}/updates", schema)
+
+    def aggregate(self, timed: DataFrame) -> DataFrame:
+        raise NotImplementedError
 
     def handle(self, updates: DataFrame, batch_id: int) -> None:
-        rows = updates.select(F.unix_timestamp("window.start").alias("t"),
-                              "events", "taken", "returned")
+        # Written once and read from there: each use of the batch itself runs the state operator anew.
+        self.updates.write(updates.select(
+            F.unix_timestamp("window.start").alias("t"),
+            *[c for c in updates.columns if c != "window"]), batch_id)
+        rows = self.updates.batch(batch_id)
         before = self.view.version(batch_id - 1)
         newest = rows.select("t").unionByName(before.select("t")).agg(F.max("t")).first()[0]
         if newest is not None:
             start, _ = day_bounds(local_day(newest, self.tz), self.tz)
-            rows = rows.where(F.col("t") >= start)
-            before = before.where(F.col("t") >= start)
-        kept = before.join(rows, "t", "left_anti")
+            rows, before = rows.where(F.col("t") >= start), before.where(F.col("t") >= start)
+        kept = before.join(rows, self.view.key, "left_anti")
         self.view.write(kept.unionByName(rows), batch_id)
+        files.delete(self.spark, self.updates.path(batch_id - 1))
 
-    def start(self, log_path: str, interval: str | None = None) -> StreamingQuery:
-        good = good_events(check_log(log_stream(self.spark, log_path)))
-        delta = F.col("bikes_delta")
-        timed = good.withColumn("event_time", F.timestamp_seconds("ts"))
-        minutes = timed.withWatermark("event_time", WATERMARK).groupBy(
-            F.window("event_time", "1 minute")).agg(
-            F.count("*").alias("events"), F.sum(station.taken(delta)).alias("taken"),
-            F.sum(station.returned(delta)).alias("returned"))
-        return start_query(minutes, self.handle, f"{self.base}/checkpoint", interval, "update",
-                           self.state_partitions)
+    def start(self, log: Log, interval: str | None = None, max_files: int = MAX_FILES,
+              since: date | str | None = None) -> StreamingQuery:
+        """From the beginning of the log, or from a publish date, where a day's work begins."""
+        good = good_events(check_log(records_of(self.session, log, max_files, since)))
+        timed = good.where(F.col("ts") <= F.col("publish_ts") + AHEAD_S).withColumn(
+            "event_time", F.timestamp_seconds("ts")).withWatermark("event_time", WATERMARK)
+        return start_query(self.aggregate(timed), self.handle, f"{self.base}/checkpoint", interval,
+                           "update")
 
-    def minutes(self) -> DataFrame:
-        return self.view.read()
 
+class FlowsJob(DayJob):
+    """Bikes taken and returned per station today, as quarter hours, which end with any local day."""
 
-# --- live push ----------------------------------------------------------------------
-class Subscriber:
-    """A bounded buffer of records for one reader.
+    def __init__(self, spark: SparkSession, base: str, tz: str = DEFAULT_TZ, *,
+                 state_partitions: int):
+        super().__init__(spark, base, f"t bigint, {FLOWS_DDL}", ["t", "station_id"], tz, state_partitions)
 
-    `taken_until` tells the last batch the reader has taken. When the buffer is
-    full, further records are dropped: a slow reader loses records, but never
-    holds up the stream. The bound is the feature, not a protection of Spark.
-    """
+    def aggregate(self, timed: DataFrame) -> DataFrame:
+        delta = F.col("bikes_delta")
+        return timed.where(delta != 0).groupBy(F.window("event_time", "15 minutes"), "station_id").agg(
+            F.sum(station.taken(delta)).alias("taken"),
+            F.sum(station.returned(delta)).alias("returned"))
 
-    def __init__(self, spark: SparkSession, base: str, capacity: int = PUSH_CAPACITY,
-                 taken_until: Callable[[], int] = lambda: -1):
-        self.buffer = BatchTable(spark, base, RECORD_DDL)
-        self.capacity, self.taken_until = capacity, taken_until
+    def flows(self) -> DataFrame:
+        return self.view.read().groupBy("station_id").agg(
+            F.sum("taken").alias("taken"), F.sum("returned").alias("returned"))
 
-    def push(self, events: DataFrame, batch_id: int) -> None:
-        waiting = self.buffer.read().where(
-            (F.col("batch_id") > self.taken_until()) & (F.col("batch_id") < batch_id)).count()
-        room = max(0, self.capacity - waiting)
-        self.buffer.write(events.orderBy("offset").limit(room), batch_id)
 
-    def waiting(self) -> DataFrame:
-        return self.buffer.read().where(F.col("batch_id") > self.taken_until()).drop("batch_id")
+class ActivityJob(DayJob):
+    """Minute buckets of the current local day."""
 
+    def __init__(self, spark: SparkSession, base: str, tz: str = DEFAULT_TZ, *,
+                 state_partitions: int):
+        super().__init__(spark, base, MINUTES_DDL, ["t"], tz, state_partitions)
 
-def push_job(spark: SparkSession, base: str, subscribers: list[Subscriber]) -> LogJob:
-    """Every live record to every subscriber."""
-    def push(events: DataFrame, batch_id: int) -> None:
-        for subscriber in subscribers:
-            subscriber.push(events, batch_id)
+    def aggregate(self, timed: DataFrame) -> DataFrame:
+        delta = F.col("bikes_delta")
+        return timed.groupBy(F.window("event_time", "1 minute")).agg(
+            F.count("*").alias("events"), F.sum(station.taken(delta)).alias("taken"),
+            F.sum(station.returned(delta)).alias("returned"))
 
-    return LogJob(spark, base, push)
+    def minutes(self) -> DataFrame:
+        return self.view.read()
 
 
+# --- replay and live feed -----------------------------------------------------------
 class RelayJob:
-    """Rebuilds the day from the log, then follows it and pushes to subscribers.
+    """Rebuilds the day from the log, then follows it.
 
-    Both phases share one checkpoint. Replayed records feed the minute buckets
-    only; records that arrive afterwards are pushed as well.
+    Both phases share one checkpoint and begin at the day's records. Replayed records feed the
+    minute buckets only; good records that arrive afterwards go to the live feed as well, whole and
+    as they are.
     """
 
-    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ,
-                 subscribers: list[Subscriber] | None = None):
+    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ):
         self.spark, self.base, self.day, self.tz = spark, base, day, tz
-        self.subscribers = subscribers or []
         self.partials = BatchTable(spark, f"{base}/minutes", MINUTES_DDL)
+        self.feed = BatchTable(spark, f"{base}/feed", LOG_DDL)
 
-    def _aggregate(self, events: DataFrame, batch_id: int) -> None:
-        self.partials.write(activity_minutes(events, self.day, self.tz), batch_id)
-
-    def _start(self, log_path: str, handler, interval: str | None) -> StreamingQuery | None:
-        if not files.exists(self.spark, log_path):
+    def _start(self, log: Log, live: bool, interval: str | None, max_files: int) -> StreamingQuery | None:
+        if isinstance(log, str) and not files.exists(self.spark, log):
             return None  # no log: the caller goes on with snapshot and archives only
         start, _ = day_bounds(self.day, self.tz)
 
         def handle(records: DataFrame, batch_id: int) -> None:
-            events = good_events(check_log(records.where(F.col("publish_ts") >= start))).persist()
-            handler(events, batch_id)
-            events.unpersist()
-
-        return start_query(log_stream(self.spark, log_path), handle, f"{self.base}/checkpoint",
-                           interval)
+            checked = check_log(records.where(F.col("publish_ts") >= start)).persist()
+            self.partials.write(activity_minutes(good_events(checked), self.day, self.tz), batch_id)
+            if live:
+                good = checked.where(F.col("reason").isNull())
+                self.feed.write(good.select(*LOG_SCHEMA.fieldNames()), batch_id)
+            checked.unpersist()
+
+        return start_query(records_of(self.spark, log, max_files, self.day), handle,
+                           f"{self.base}/checkpoint", interval)
 
-    def replay(self, log_path: str) -> StreamingQuery | None:
-        """Everything in the log up to now, without pushing."""
-        return self._start(log_path, self._aggregate, None)
+    def replay(self, log: Log, max_files: int = MAX_FILES) -> StreamingQuery | None:
+        """Everything in the log up to now, without the live feed."""
+        return self._start(log, False, None, max_files)
 
-    def follow(self, log_path: str, interval: str | None = None) -> StreamingQuery | None:
+    def follow(self, log: Log, interval: str | None = None,
+               max_files: int = MAX_FILES) -> StreamingQuery | None:
         """What came after the replay."""
-        def handle(events: DataFrame, batch_id: int) -> None:
-            self._aggregate(events, batch_id)
-            for subscriber in self.subscribers:
-                subscriber.push(events, batch_id)
-
-        return self._start(log_path, handle, interval)
+        return self._start(log, True, interval, max_files)
 
     def minutes(self) -> DataFrame:
         return self.partials.read().groupBy("t").agg(

@@ -1,58 +1,71 @@
 """Stream sources and the start of a query."""
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dockflow.schemas import LOG_SCHEMA, STATUS_SCHEMA
+from dockflow.schemas import LOG_SCHEMA, LOG_TABLE_DDL, STATUS_SCHEMA
+from dockflow.sources import documents
 
 # Status documents as landed by the poller, with optional record metadata.
 POLL_SCHEMA = T.StructType(list(STATUS_SCHEMA.fields) + [
     T.StructField("offset", T.LongType()), T.StructField("publish_ts", T.LongType())])
 
+MAX_FILES = 1000  # new files of a micro-batch, unless the caller says otherwise
 
-def _limited(reader, max_files: int | None):
-    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
 
-
-def log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The change log from its beginning, as a folder of records.
+def log_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES,
+               since: date | str | None = None) -> DataFrame:
+    """The change log as a folder of records, from its beginning or from a publish date.
 
     `max_files` bounds a micro-batch; the position is kept in the checkpoint.
     A batch the writer repeated has new files in place of old ones; those are
-    skipped, so a record may come twice but none is missing.
+    skipped, so a record may come twice but none is missing. Folders of earlier dates are not
+    opened; records that lie below no date are all read.
     """
-    reader = spark.readStream.schema(LOG_SCHEMA).option("recursiveFileLookup", True).option(
-        "ignoreMissingFiles", True)
-    return _limited(reader, max_files).parquet(path)
+    rows = (spark.readStream.schema(LOG_TABLE_DDL).option("ignoreMissingFiles", True)
+            .option("maxFilesPerTrigger", max_files).parquet(path))
+    if since is not None:
+        rows = rows.where(F.col("date").isNull() | (F.col("date") >= F.lit(str(since)).cast("date")))
+    return rows.select(*LOG_SCHEMA.fieldNames())
+
 
+def poll_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
+    """Text of landed status documents (`value`): any number in a file, indented or one per line."""
+    files = spark.readStream.option("maxFilesPerTrigger", max_files).text(path, wholetext=True)
+    return documents.split_documents(files)
 
-def poll_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Landed status documents, one JSON object per line."""
-    return _limited(spark.readStream.schema(POLL_SCHEMA), max_files).json(path)
+
+def parse_polls(texts: DataFrame) -> DataFrame:
+    """Status documents beside their text."""
+    return documents.parse_documents(texts.withColumn("text", F.col("value")), POLL_SCHEMA)
 
 
 def start_query(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
-                interval: str | None = None, output_mode: str = "append",
-                state_partitions: int | None = None) -> StreamingQuery:
+                interval: str | None = None, output_mode: str = "append") -> StreamingQuery:
     """Run `handler` on every micro-batch, at least once, from the checkpointed position.
 
     Without an interval the query works off what is there and ends. Each query
-    has its own checkpoint and so its own position in the log. The partitions
-    of a running aggregate's state stay as they were at the first start, so
-    they are chosen here and not left to the session's default.
+    has its own checkpoint and so its own position in the log.
     """
     writer = (stream.writeStream.foreachBatch(handler).outputMode(output_mode)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(
         processingTime=interval)
-    if state_partitions is None:
-        return writer.start()
-    conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", state_partitions)
-    try:
-        return writer.start()  # the query keeps its own copy of the settings
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    return writer.start()
+
+
+def state_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of its own for a running aggregate.
+
+    The partitions of its state stay as they were at the first start, so they are chosen for the
+    job and set where no other query sees them.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        if spark.conf.get(key, None):
+            session.conf.set(key, spark.conf.get(key))
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    return session

@@ -4,7 +4,7 @@ Every write goes to the folder of its batch id and replaces it. A batch that is
 run again after a lost executor or a restart therefore changes nothing.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockflow.operators.state import latest_by
 from dockflow.sources import files
@@ -31,14 +31,29 @@ class BatchTable:
         return files.read_or_empty(self.spark, self.base, f"{self.schema}, batch_id bigint")
 
 
+class DatedTable(BatchTable):
+    """Rows added batch by batch below their `date`, so that a day is read alone.
+
+    A repeated batch has the same rows and so replaces its own folder of each date.
+    """
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(self.base))
+
+    def read(self) -> DataFrame:
+        return files.read_or_empty(self.spark, self.base, f"{self.schema}, date date, batch_id bigint")
+
+
 class VersionedView:
     """One row per key; each batch writes the next whole version.
 
     For views as small as the station network. The last two versions are kept,
-    so a repeated batch still finds the version it started from.
+    so a repeated batch still finds the version it started from. A version that should
+    be there and is not is an error: going on without it would lose the view's rows.
     """
 
-    def __init__(self, spark: SparkSession, base: str, schema: str, key: str):
+    def __init__(self, spark: SparkSession, base: str, schema: str, key: str | list[str]):
         self.spark, self.base, self.schema, self.key = spark, base, schema, key
 
     def path(self, batch_id: int) -> str:
@@ -46,7 +61,9 @@ class VersionedView:
 
     def version(self, batch_id: int) -> DataFrame:
         """The view after a batch; empty before the first."""
-        return files.read_or_empty(self.spark, self.path(batch_id), self.schema)
+        if batch_id < 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path(batch_id))
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(batch_id))

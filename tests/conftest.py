@@ -14,8 +14,8 @@ DAY = "2026-07-18"
 START = day_bounds(DAY)[0]
 
 STATE = dict(
-    station_id=1, station_code="00001", name="Station Test", lat=48.86, lon=2.35, capacity=30,
-    ts=1784296000, last_reported=1784295000, mechanical=3, ebike=2, bikes_available=5,
+    station_id=1, station_code="00900", name="Dock A", lat=45.5, lon=4.5, capacity=30,
+    ts=1784321000, last_reported=1784320400, mechanical=3, ebike=2, bikes_available=5,
     docks_available=25, is_installed=True, is_renting=True, is_returning=True)
 
 RECORD = [T.StructField("offset", T.LongType()), T.StructField("publish_ts", T.LongType())]

@@ -6,6 +6,7 @@ import pytest
 from conftest import DAY, START, rows
 from dockflow.__main__ import chosen_days, main
 from dockflow.sources import archive
+from dockflow.streaming import jobs
 from test_sources import INFORMATION, land
 from test_streaming import poll
 
@@ -34,6 +35,20 @@ def test_polls_to_archive(spark, tmp_path, capsys):
     assert "2" in capsys.readouterr().out
     main(["latest", "--log", f"{base}/log", "--base", str(tmp_path / "view")], spark)
     main(["monitor", "--log", f"{base}/log", "--checkpoint", str(tmp_path / "cp")], spark)
+    for name in ("flows", "activity"):
+        main([name, "--log", f"{base}/log", "--base", str(tmp_path / name), "--state-partitions", "2",
+              "--since", DAY], spark)
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2).flows()
+    assert rows(flows) == [(1, 2, 0)]
+    main(["relay", "--log", f"{base}/log", "--base", str(tmp_path / "relay"), "--day", DAY], spark)
+    assert rows(jobs.RelayJob(spark, str(tmp_path / "relay"), DAY).minutes(), "events") == [(1,), (2,)]
+    for name in ("business_totals", "latest_state", "history_daily", "detect_changes"):
+        main(["query", name, "--polls", str(polls), "--info", info, "--day", DAY, "--now", str(START + 600),
+              "--out", str(tmp_path / name)], spark)
+    assert spark.read.parquet(str(tmp_path / "business_totals")).first()["today_taken"] == 2
+    assert spark.read.parquet(str(tmp_path / "detect_changes")).count() == 3
+    with pytest.raises(SystemExit):
+        main(["latest", "--base", str(tmp_path / "none")], spark)
 
 
 def test_weather_range(spark, tmp_path):

@@ -48,8 +48,7 @@ def test_previous_state_of_earlier_runs(spark, make_readings):
     before = make_readings(dict(station_id=1, bikes_available=5), dict(station_id=3)).select(
         "station_id", *TRACKED_FIELDS)
     now = make_readings(dict(station_id=1, ts=2, bikes_available=4), dict(station_id=2, ts=2))
-    for busy in (None, changes.busy_stations(now, 0)):
-        assert deltas(changes.detect_changes(now, before, busy)) == [(1, 2, -1), (2, 2, 0)]
+    assert deltas(changes.detect_changes(now, before)) == [(1, 2, -1), (2, 2, 0)]
 
 
 def brute_force(readings, previous=()):
@@ -67,23 +66,20 @@ def brute_force(readings, previous=()):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 7, 50, 10 ** 6])
-def test_busy_station_in_chunks_equals_brute_force(make_readings, chunk_rows):
-    """One station holds a third of the rows; cutting it changes nothing."""
-    rng = random.Random(chunk_rows)
+@pytest.mark.parametrize("days", [1, 3, 40])
+def test_stations_in_days_equal_brute_force(make_readings, days):
+    """One station holds a third of the rows; cutting it into days changes nothing."""
+    rng = random.Random(days)
     data = []
     for i in range(600):
         sid = 1 if i % 3 == 0 else rng.randint(2, 40)
-        data.append({**STATE, "station_id": sid, "ts": rng.randint(0, 20000), "offset": i,
+        data.append({**STATE, "station_id": sid, "ts": rng.randint(0, days * 86400 - 1), "offset": i,
                      "bikes_available": rng.randint(0, 2), "is_renting": rng.random() < 0.8})
     seen = [{**STATE, "station_id": sid, "bikes_available": 1} for sid in (1, 2, 3, 99)]
     df = make_readings(*data)
     previous = make_readings(*seen).select("station_id", *TRACKED_FIELDS)
-    busy = changes.busy_stations(df, chunk_rows)
-    if chunk_rows == 50:
-        assert rows(busy, "station_id") == [(1,)]
     for prev_df, prev in ((None, ()), (previous, seen)):
-        events = changes.detect_changes(df, prev_df, busy)
+        events = changes.detect_changes(df, prev_df, 5)
         assert rows(events, "station_id", "ts", "offset", "bikes_delta") == brute_force(data, prev)
 
 
@@ -119,7 +115,7 @@ def test_text_map_and_back(make_events):
     latest = state.latest_state(make_events(dict(is_renting=False, bikes_delta=-2)))
     maps = state.as_text_map(latest)
     stored = maps.first()["fields"]
-    assert stored["is_renting"] == "0" and stored["is_installed"] == "1" and stored["lat"] == "48.86"
+    assert stored["is_renting"] == "0" and stored["is_installed"] == "1" and stored["lat"] == "45.5"
     assert state.retype(maps).schema.simpleString() == latest.schema.simpleString()
     assert rows(state.retype(maps)) == rows(latest)
 
@@ -204,18 +200,18 @@ def test_top_and_flows(make_events):
     assert rows(flows) == [(1, 1, 0), (2, 3, 2)]
     assert [tuple(r) for r in activity.top_stations(flows, 2).collect()] == [(2, 5), (1, 1)]
     latest = state.latest_state(make_events(dict(station_id=2, name="")))
-    assert rows(activity.activity_top(flows, latest)) == [(1, "1", 1), (2, "2", 5)]
+    assert [tuple(r) for r in activity.activity_top(flows, latest).collect()] == [(2, "2", 5), (1, "1", 1)]
 
 
 # --- operator view --------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def network(spark, make_events):
     latest = state.latest_state(make_events(
-        dict(station_id=1, name="A vide", bikes_available=0, mechanical=0, ebike=0),
-        dict(station_id=2, name="B pleine", docks_available=0),
-        dict(station_id=3, name="C puits"),
-        dict(station_id=4, name="D HS", is_installed=False)))
-    flows = spark.createDataFrame([(1, 6, 0), (2, 0, 2), (3, 0, 4), (4, 1, 0)], FLOWS)
+        dict(station_id=1, name="Alder", bikes_available=0, mechanical=0, ebike=0),
+        dict(station_id=2, name="Birch", docks_available=0),
+        dict(station_id=3, name="Cedar"),
+        dict(station_id=4, name="Dogwood", is_installed=False)))
+    flows = spark.createDataFrame([(1, 9, 0), (2, 0, 3), (3, 1, 6), (4, 2, 0)], FLOWS)
     return latest, flows
 
 
@@ -225,21 +221,21 @@ def names(df):
 
 def test_business_view(network):
     totals = one(business.business_totals(*network))
-    assert totals == {"today_taken": 7, "today_returned": 6, "total_moves": 13, "at_risk_moves": 9,
-                      "to_move": 6, "at_risk_share": "69,2 %"}
+    assert totals == {"today_taken": 12, "today_returned": 9, "total_moves": 21, "at_risk_moves": 14,
+                      "to_move": 9, "at_risk_share": "66,7 %"}
     rebalance = business.business_rebalance(*network)
-    assert names(rebalance) == ["A vide", "B pleine"]
+    assert names(rebalance) == ["Alder", "Birch"]
     assert [r["state"] for r in rebalance.collect()] == ["vide", "pleine"]
-    assert names(business.business_sinks(*network)) == ["C puits", "B pleine"]
-    assert names(business.business_sources(*network)) == ["A vide", "D HS"]
+    assert names(business.business_sinks(*network)) == ["Cedar", "Birch"]
+    assert names(business.business_sources(*network)) == ["Alder", "Dogwood"]
 
 
 def test_flows_without_a_state_count_in_totals_only(spark, network):
     latest, flows = network
     more = flows.unionByName(spark.createDataFrame([(99, 10, 0)], FLOWS))
     totals = one(business.business_totals(latest, more))
-    assert (totals["today_taken"], totals["at_risk_moves"], totals["to_move"]) == (17, 9, 6)
-    assert names(business.business_sources(latest, more)) == ["A vide", "D HS"]
+    assert (totals["today_taken"], totals["at_risk_moves"], totals["to_move"]) == (22, 14, 9)
+    assert names(business.business_sources(latest, more)) == ["Alder", "Dogwood"]
 
 
 def test_empty_network(network):
@@ -254,49 +250,49 @@ def test_empty_network(network):
 def test_snapshot_defaults(network):
     latest, flows = network
     snap = business.snapshot(latest, flows.where("station_id = 1"))
-    assert rows(snap, "station_id", "taken", "returned") == [(1, 6, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0)]
+    assert rows(snap, "station_id", "taken", "returned") == [(1, 9, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0)]
 
 
 def test_revenue(network):
     found = one(business.business_revenue(*network, 1.5))
-    assert found == {"today_taken": 7, "fleet": 15, "revenue": 11, "trips_per_bike": "0,47"}
+    assert found == {"today_taken": 12, "fleet": 15, "revenue": 18, "trips_per_bike": "0,80"}
 
 
 def test_rankings(network):
     snap = business.snapshot(*network)
-    assert names(business.most_active(snap, 2)) == ["A vide", "C puits"]
-    assert names(business.most_active(snap, 2, least=True)) == ["D HS", "B pleine"]
+    assert names(business.most_active(snap, 2)) == ["Alder", "Cedar"]
+    assert names(business.most_active(snap, 2, least=True)) == ["Dogwood", "Birch"]
     assert business.most_active(snap, district=16).count() == 0
-    assert rows(business.fullest(snap, 1), "name", "percent") == [("B pleine", 17)]
-    assert names(business.fullest(snap, 1, emptiest=True)) == ["A vide"]
+    assert rows(business.fullest(snap, 1), "name", "percent") == [("Birch", 17)]
+    assert names(business.fullest(snap, 1, emptiest=True)) == ["Alder"]
 
 
 # --- districts --------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def town(spark, make_events):
     latest = state.latest_state(make_events(
-        dict(station_id=1, station_code="16043", lat=48.86, lon=2.28, bikes_available=3, capacity=30),
-        dict(station_id=2, station_code="16107", lat=48.88, lon=2.26, bikes_available=0, capacity=20),
-        dict(station_id=3, station_code="21023", lat=48.90, lon=2.43),
-        dict(station_id=4, station_code="N/A", lat=48.90, lon=2.43)))
-    return latest, business.snapshot(latest, spark.createDataFrame([(1, 2, 0)], FLOWS))
+        dict(station_id=1, station_code="12034", lat=45.1, lon=4.1, bikes_available=4, capacity=40),
+        dict(station_id=2, station_code="12101", lat=45.3, lon=4.3, bikes_available=0, capacity=20),
+        dict(station_id=3, station_code="23020", lat=45.9, lon=4.43),
+        dict(station_id=4, station_code="N/A", lat=45.9, lon=4.43)))
+    return latest, business.snapshot(latest, spark.createDataFrame([(1, 3, 0)], FLOWS))
 
 
 def test_districts(town):
     found = one(districts.districts(town[1]))
-    assert (found["lat"], found["lon"]) == (pytest.approx(48.87), pytest.approx(2.27))
+    assert (found["lat"], found["lon"]) == (pytest.approx(45.2), pytest.approx(4.2))
     assert {k: found[k] for k in ("arr", "stations", "bikes", "taken", "empty", "capacity")} == {
-        "arr": 16, "stations": 2, "bikes": 3, "taken": 2, "empty": 1, "capacity": 50}
+        "arr": 12, "stations": 2, "bikes": 4, "taken": 3, "empty": 1, "capacity": 60}
     overview = one(districts.city_overview(districts.districts(town[1])))
     assert (overview["districts"], overview["stations"], overview["fill"], overview["moves"]) == (
-        1, 2, 6, 2)
-    assert one(districts.district_detail(districts.districts(town[1]), 16))["fill"] == 6
+        1, 2, 7, 3)
+    assert one(districts.district_detail(districts.districts(town[1]), 12))["fill"] == 7
     assert districts.district_detail(districts.districts(town[1]), 3).count() == 0
 
 
 def test_clusters(town):
     found = rows(districts.map_clusters(town[0]), "cluster", "in_town", "n", "bikes", "level")
-    assert found == [("16", True, 2, 3, "level0"), ("1630_81", False, 2, 10, "closed")]
+    assert found == [("12", True, 2, 4, "level0"), ("1530_148", False, 2, 10, "closed")]
 
 
 def test_heat_and_map(spark):

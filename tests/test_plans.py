@@ -44,7 +44,38 @@ def test_readings_are_shuffled_by_station_and_chunk(spark, derived, threshold):
 def test_day_queries_read_few_partitions(derived):
     text = plan(derived.changes_today())
     assert "date#" in text.split("PartitionFilters: [")[1].split("]")[0]
-    assert "LessThanOrEqual(ts," in text.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(ts," in text.split("PushedFilters: [")[1]
+
+
+def test_the_shuffle_of_readings_follows_the_input(spark, derived, monkeypatch):
+    """Of the change detection alone, without a shared table being asked for first."""
+    fresh = Derived(spark, SF_DIR)
+    monkeypatch.setattr(fresh, "source_bytes", lambda: 300 * 256 * 1024 ** 2)
+    line = next(x for x in plan(fresh.detected()).splitlines() if ", chunk" in x and "hashpartitioning" in x)
+    assert ", 300)" in line and int(spark.conf.get("spark.sql.shuffle.partitions")) < 300
+
+
+def test_a_day_of_an_encoded_log_is_read_alone(spark, derived, tmp_path):
+    """Batch and stream: folders of other publish dates are not opened."""
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from dockflow.__main__ import read_log_table
+    from dockflow.functions.clock import local_date
+    from dockflow.sources.log import encode_log
+    from dockflow.streaming.tables import DatedTable
+
+    table = DatedTable(spark, str(tmp_path / "log"), "key string, value string, partition int, offset bigint, publish_ts bigint")
+    records = encode_log(derived.changes()).withColumn("date", local_date(F.col("publish_ts"), derived.tz))
+    for batch in range(2):
+        table.write(records, batch)
+    table.write(records, 1)  # a repeated batch replaces its own
+    assert table.read().count() == 2 * records.count()
+    day = date.fromisoformat(derived.day)
+    one = read_log_table(spark, table.base, day, day)
+    assert "date#" in plan(one).split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == 2 * records.where(F.col("date") == str(day)).count() > 0
 
 
 def test_history_reads_two_columns(derived):

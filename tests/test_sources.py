@@ -9,16 +9,16 @@ from dockflow.operators.readings import feed_summary, readings
 from dockflow.sources import archive, documents, files, log
 
 INFORMATION = {"data": {"stations": [
-    {"station_id": 1, "stationCode": "16107", "name": "Old", "lat": 48.8, "lon": 2.2, "capacity": 9},
+    {"station_id": 1, "stationCode": "14055", "name": "Quay", "lat": 45.8, "lon": 4.2, "capacity": 9},
     {"station_id": 2, "stationCode": None, "name": None, "lat": 48.9, "lon": 2.3, "capacity": None},
-    {"station_id": 1, "stationCode": "16107", "name": "Benjamin", "lat": 48.86, "lon": 2.27, "capacity": 35},
+    {"station_id": 1, "stationCode": "14055", "name": "Harbour", "lat": 45.1, "lon": 4.4, "capacity": 33},
     {"station_id": 4, "lat": 48.7, "lon": 2.4},
     {"station_id": 5, "name": "Nowhere"}]}}
 
-STATUS = {"lastUpdatedOther": 1784296000, "ttl": 3600, "data": {"stations": [
+STATUS = {"lastUpdatedOther": 1784321000, "ttl": 3600, "data": {"stations": [
     {"station_id": 1, "num_bikes_available": 5, "num_bikes_available_types": [{"mechanical": 3}, {"ebike": 2}],
      "num_docks_available": 30, "is_installed": 1, "is_renting": 1, "is_returning": 1,
-     "last_reported": 1784295000},
+     "last_reported": 1784320400},
     {"station_id": 2, "num_bikes_available": None, "num_bikes_available_types": [{"ebike": 4}, {"mechanical": 1}],
      "num_docks_available": None, "is_installed": None, "is_renting": 0, "last_reported": 0},
     {"station_id": 3, "num_bikes_available": 7, "is_installed": 1},
@@ -37,7 +37,32 @@ def test_station_info(spark, tmp_path):
     path = land(tmp_path / "info", INFORMATION)
     info = documents.station_info(documents.read_documents(spark, path, schemas.INFORMATION_SCHEMA))
     assert rows(info) == [
-        (1, "16107", "Benjamin", 48.86, 2.27, 35), (2, "", "", 48.9, 2.3, 0), (4, "", "", 48.7, 2.4, 0)]
+        (1, "14055", "Harbour", 45.1, 4.4, 33), (2, "", "", 48.9, 2.3, 0), (4, "", "", 48.7, 2.4, 0)]
+
+
+def test_the_document_that_arrived_last_counts(spark, tmp_path):
+    """Whatever the position inside it: the older one lists the station later."""
+    import os
+
+    entry = {"station_id": 7, "lat": 1.0, "lon": 2.0}
+    older = {"data": {"stations": [{"station_id": 8, "lat": 0.0, "lon": 0.0}, {**entry, "name": "older"}]}}
+    newer = {"data": {"stations": [{**entry, "name": "newer"}]}}
+    path = land(tmp_path / "info", newer, older)
+    os.utime(tmp_path / "info" / "0.json", (2000, 2000))
+    os.utime(tmp_path / "info" / "1.json", (1000, 1000))
+    info = documents.station_info(documents.read_documents(spark, path, schemas.INFORMATION_SCHEMA))
+    assert rows(info, "station_id", "name") == [(7, "newer"), (8, "")]
+
+
+def test_record_metadata_per_record(spark):
+    """A document without offset or record time takes its place and its own time instead."""
+    entry = {"station_id": 1, "is_installed": 1}
+    docs = [json.dumps({"lastUpdatedOther": 50, "offset": 9, "publish_ts": 60, "data": {"stations": [entry]}}),
+            json.dumps({"lastUpdatedOther": 70, "data": {"stations": [entry, entry]}}, indent=2)]
+    texts = spark.createDataFrame([("\n".join(docs),)], "value string")
+    from dockflow.streaming.queries import parse_polls
+    scanned = documents.status_scan(parse_polls(documents.split_documents(texts)))
+    assert rows(scanned, "ts", "offset", "publish_ts") == [(50, 9, 60), (70, 0, 70), (70, 1, 70)]
 
 
 def test_readings_join_and_null_rules(spark, tmp_path):
@@ -51,22 +76,22 @@ def test_readings_join_and_null_rules(spark, tmp_path):
     got = rows(states, "station_id", "ts", "last_reported", "mechanical", "ebike", "bikes_available",
                "docks_available", "is_installed", "is_renting", "is_returning")
     assert got == [
-        (1, 1784296000, 1784295000, 3, 2, 5, 30, True, True, True),
-        (2, 1784296000, 1784296000, 1, 4, 5, 0, False, False, False),
-        (4, 1784296000, 1784296000, 6, 0, 0, 0, True, True, False)]
+        (1, 1784321000, 1784320400, 3, 2, 5, 30, True, True, True),
+        (2, 1784321000, 1784321000, 1, 4, 5, 0, False, False, False),
+        (4, 1784321000, 1784321000, 6, 0, 0, 0, True, True, False)]
     assert one(feed_summary(info, states)) == {"info": 3, "joined": 3, "bikes": 10, "empty": 1}
 
 
 def test_weather(spark, tmp_path):
     doc = {"hourly": {
-        "time": ["2026-07-18T00:00", "2026-07-18T22:00"], "precipitation": [0.0, 1.2],
-        "temperature_2m": [18.5, 17.0], "wind_speed_10m": [5.0, 6.0],
-        "relative_humidity_2m": [60, 70], "weather_code": [0, 61]}}
+        "time": ["2026-07-18T00:00", "2026-07-18T22:00"], "precipitation": [0.4, 0.9],
+        "temperature_2m": [11.5, 9.0], "wind_speed_10m": [3.5, 8.0],
+        "relative_humidity_2m": [41, 87], "weather_code": [3, 80]}}
     hours = documents.weather_hourly(documents.read_documents(
         spark, land(tmp_path / "wx", doc), schemas.WEATHER_DOCUMENT_SCHEMA))
     assert rows(hours) == [
-        (1784332800, 2, 0.0, 18.5, 5.0, 60.0, 0, hours.first()["date"]),
-        (1784412000, 0, 1.2, 17.0, 6.0, 70.0, 61, hours.first()["date"])]
+        (1784332800, 2, 0.4, 11.5, 3.5, 41.0, 3, hours.first()["date"]),
+        (1784412000, 0, 0.9, 9.0, 8.0, 87.0, 80, hours.first()["date"])]
     base = str(tmp_path / "weather")
     archive.archive_weather(hours, base, DAY)
     archive.archive_weather(hours, base, DAY)  # a second run replaces the first
@@ -91,10 +116,10 @@ def test_geojson_bbox_over_both_geometry_types(spark, tmp_path):
 
 
 def test_log_round_trip(make_events):
-    events = make_events(dict(station_id=213688169, bikes_delta=-2), dict(station_id=5, name='a "b" é'))
+    events = make_events(dict(station_id=407000113, bikes_delta=-2), dict(station_id=5, name='a "b" é'))
     records = log.encode_log(events)
-    assert rows(records, "key") == [("213688169",), ("5",)]
-    value = json.loads(records.where("key = '213688169'").first()["value"])
+    assert rows(records, "key") == [("407000113",), ("5",)]
+    value = json.loads(records.where("key = '407000113'").first()["value"])
     assert list(value) == schemas.EVENT_FIELDS and value["is_installed"] is True
     good, rejected = log.decode_log(records)
     assert rows(good) == rows(events) and rejected.count() == 0
@@ -107,7 +132,7 @@ def test_poison_records(spark, make_events):
     cases = {
         "{broken": "not_an_object", "[1]": "not_an_object", '"text"': "not_an_object", "": "not_an_object",
         json.dumps([event]): "not_an_object",
-        '{"pas": "un event"}': "wrong_fields", json.dumps(without): "wrong_fields",
+        '{"shape": "unknown"}': "wrong_fields", json.dumps(without): "wrong_fields",
         json.dumps({**event, "extra": 1}): "wrong_fields",
         json.dumps({**event, "name": None}): "null_field",
         json.dumps({**event, "capacity": "many"}): "null_field",
@@ -140,7 +165,7 @@ def test_log_day_is_cut_by_publish_time(make_events):
 def test_monitor_line(make_events):
     df = make_events(dict(bikes_delta=-2), dict(name="x" * 50, bikes_available=1234, bikes_delta=3))
     assert rows(log.monitor_line(df), "line") == [
-        ("Station Test                          5 vélos (-2)",), ("x" * 35 + " 1234 vélos (+3)",)]
+        ("Dock A                                5 vélos (-2)",), ("x" * 35 + " 1234 vélos (+3)",)]
 
 
 def test_archive_write_read_and_rerun(spark, make_events, tmp_path):
@@ -189,3 +214,9 @@ def test_fingerprint_sees_changes(spark, tmp_path):
     (tmp_path / "b").write_text("xy")
     after = files.fingerprint(spark, str(tmp_path))
     assert before[:2] == (1, 1) and after[:2] == (2, 3)
+    import os
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "c").write_text("z")
+    one_ = files.fingerprint(spark, str(tmp_path))
+    os.utime(tmp_path / "deep" / "c", (4e9, 4e9))  # rewritten with the same size
+    assert files.fingerprint(spark, str(tmp_path)) != one_

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import DAY, START, STATE, rows
 from dockflow.operators import activity, changes, state
 from dockflow.sources.log import encode_log
+from dockflow.sources import kafka
 from dockflow.streaming import jobs
+from dockflow.streaming.queries import poll_stream
 from dockflow.streaming.tables import VersionedView
 
 INFO = [(i, f"160{i:02d}", f"S{i}", 48.8, 2.3, 20) for i in range(1, 9)]
@@ -73,7 +75,7 @@ def test_polls_to_log_to_views(spark, poller, tmp_path):
     job = poller("b", poll(START + 120, 2, (1, 3), (2, 5)))
     log_path = job.log.base
     views, latest = jobs.latest_view_job(spark, str(tmp_path / "latest"))
-    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), DAY)
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
     for part in range(2):
         views.start(log_path).awaitTermination()
         flows.start(log_path).awaitTermination()
@@ -81,22 +83,122 @@ def test_polls_to_log_to_views(spark, poller, tmp_path):
             job = poller("c", poll(START + 180, 3, (1, 4), (2, 5)))
     assert rows(latest.read(), "station_id", "name", "ts", "bikes_available") == [
         (1, "S1", START + 180, 4), (2, "S2", START + 60, 5)]
-    assert rows(flows.view.read()) == [(1, 2, 1)]
+    assert rows(flows.flows()) == [(1, 2, 1)]
     assert views.rejected.read().count() == 0
 
 
-def test_repeated_batch_changes_nothing(spark, tmp_path, make_readings):
+def plain(ts, *stations):
+    """A feed document as the feed sends it: no record metadata, indented."""
+    doc = json.loads(poll(ts, 0, *stations))
+    return json.dumps({k: v for k, v in doc.items() if k not in ("offset", "publish_ts")}, indent=2)
+
+
+def test_plain_documents_go_all_the_way(spark, poller, tmp_path):
+    """Polls, log, archive, latest view and flows without losing a row."""
+    from dockflow.__main__ import main
+    from dockflow.sources import archive
+
+    stations = range(1, 9)
+    poller("a", plain(START + 60, *[(s, 5) for s in stations]) + "\n" + plain(START + 120, *[(s, 6) for s in stations]))
+    job = poller("b", plain(START + 180, *[(s, 3) for s in stations]))
+    assert job.changes.read().count() == job.log.read().count() == 24
+    assert job.changes.read().where("offset is null or publish_ts is null").count() == 0
+    main(["archive", "--log", job.log.base, "--base", str(tmp_path / "archive"), DAY], spark)
+    assert archive.read_event_archive(spark, str(tmp_path / "archive")).count() == 24
+    views, latest = jobs.latest_view_job(spark, str(tmp_path / "latest"))
+    views.start(job.log.base).awaitTermination()
+    assert rows(latest.read(), "station_id", "bikes_available") == [(s, 3) for s in stations]
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    flows.start(job.log.base, since=DAY).awaitTermination()
+    assert rows(flows.flows()) == [(s, 3, 1) for s in stations]
+
+
+def test_texts_that_are_no_documents_are_kept(poller):
+    poller("a", poll(60, 1, (1, 5)))
+    job = poller("b", '{"lastUpdatedOther": 90, "data": ')
+    assert [r["value"].strip() for r in job.rejected.read().collect()] == ['{"lastUpdatedOther": 90, "data":']
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
     info = spark.createDataFrame(INFO, INFO_DDL)
     job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info)
-    from dockflow.streaming.queries import POLL_SCHEMA
-    (tmp_path / "a.json").write_text(poll(60, 1, (1, 5)))
-    (tmp_path / "b.json").write_text(poll(120, 2, (1, 7)))
-    batches = [spark.read.schema(POLL_SCHEMA).json(str(tmp_path / f"{n}.json")) for n in "ab"]
+    batches = [spark.createDataFrame([(poll(ts, n, (1, bikes)),)], "value string")
+               for ts, n, bikes in ((60, 1, 5), (120, 2, 7))]
     job.handle(batches[0], 0)
     job.handle(batches[1], 1)
     once = emitted(job)
     job.handle(batches[1], 1)
-    assert emitted(job) == once == [(1, 120, 2), (1, 60, 0)]
+    assert emitted(job) == once == [(1, 120, 2), (1, 60, 0)] and job.log.read().count() == 2
+
+
+def test_a_missing_version_is_an_error(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    view = VersionedView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k")
+    one = spark.createDataFrame([(1, 1)], "k bigint, n bigint")
+    view.replace(one, 0)
+    with pytest.raises(AnalysisException):
+        view.replace(one, 5)
+
+
+def test_records_are_published_as_well(spark, tmp_path):
+    sent = []
+    info = spark.createDataFrame(INFO, INFO_DDL)
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info,
+                         publish=lambda records, batch: sent.append((batch, records.count())))
+    job.handle(spark.createDataFrame([(poll(60, 1, (1, 5), (2, 5)),)], "value string"), 0)
+    assert sent == [(0, 2)]
+
+
+class Recorder:
+    """Stands in for a reader or writer and notes its options; no broker is needed."""
+
+    def __init__(self, frame):
+        self.frame, self.seen = frame, {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def options(self, **options):
+        self.seen |= options
+        return self
+
+    def load(self):
+        return self.frame
+
+    def save(self):
+        self.seen["saved"] = True
+
+
+def test_topic_options(spark):
+    frame = spark.createDataFrame([], "key binary, value binary, partition int, offset bigint, timestamp timestamp")
+
+    class Session:
+        readStream, read = Recorder(frame), Recorder(frame)
+
+    got = kafka.stream_log(Session, "b:1", "log", since=DAY)
+    assert got.columns == ["key", "value", "partition", "offset", "publish_ts"]
+    assert Session.readStream.seen == {
+        "format": "kafka", "kafka.bootstrap.servers": "b:1", "subscribe": "log", "maxOffsetsPerTrigger": "1000000",
+        "startingTimestamp": str(START * 1000), "startingOffsetsByTimestampStrategy": "latest"}
+    kafka.read_days(Session, "b:1", "log", DAY, DAY)
+    assert Session.read.seen["endingTimestamp"] == str((START + 86400) * 1000)
+
+    class Records:
+        write = Recorder(None)
+
+        def select(self, *columns):
+            assert columns == ("key", "value")
+            return self
+
+    kafka.publisher("b:1", "log")(Records(), 3)
+    assert Records.write.seen["saved"] and Records.write.seen["topic"] == "log"
+    assert Records.write.seen["kafka.acks"] == "all" and Records.write.seen["kafka.enable.idempotence"] == "true"
 
 
 def land(events, path, mode="append"):
@@ -132,7 +234,7 @@ def test_poison_does_not_stop_the_log(spark, make_events, tmp_path):
     path = str(tmp_path / "log")
     job = jobs.LogJob(spark, str(tmp_path / "job"))
     good = encode_log(make_events(dict(ts=1), dict(ts=2)))
-    good.withColumn("value", F.when(F.col("offset") == 0, F.lit('{"pas": "un event"}')).otherwise(
+    good.withColumn("value", F.when(F.col("offset") == 0, F.lit('{"shape": "unknown"}')).otherwise(
         F.col("value"))).write.parquet(path)
     job.start(path).awaitTermination()
     land(make_events(dict(ts=3)), path)
@@ -147,55 +249,59 @@ def test_running_aggregates_equal_batch(spark, make_events, tmp_path):
                  bikes_delta=rng.randint(-2, 2)) for _ in range(120)]
     data.sort(key=lambda r: r["ts"])
     path = str(tmp_path / "log")
-    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), DAY)
-    minutes = jobs.ActivityJob(spark, str(tmp_path / "minutes"))
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    minutes = jobs.ActivityJob(spark, str(tmp_path / "minutes"), state_partitions=2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     for part in (data[:50], data[60:], data[50:60]):   # the last slice comes late
         land(make_events(*part), path)
         flows.start(path).awaitTermination()
         minutes.start(path).awaitTermination()
     events = make_events(*data)
-    assert rows(flows.view.read()) == rows(activity.station_flows(events, DAY))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert rows(flows.flows()) == rows(activity.station_flows(events, DAY))
     assert rows(minutes.minutes()) == rows(activity.activity_minutes(events, DAY))
 
 
-def test_activity_starts_afresh_on_the_next_day(spark, make_events, tmp_path):
+def test_views_start_afresh_on_the_next_day(spark, make_events, tmp_path):
     path = str(tmp_path / "log")
-    job = jobs.ActivityJob(spark, str(tmp_path / "minutes"))
-    for ts in (START + 100, START + 86400 + 100):
-        land(make_events(dict(ts=ts, bikes_delta=-1)), path)
-        job.start(path).awaitTermination()
-    assert rows(job.minutes(), "t") == [(START + 86400 + 60,)]
-
-
-def test_push_buffer_is_bounded_per_subscriber(spark, make_events, tmp_path):
+    minutes = jobs.ActivityJob(spark, str(tmp_path / "minutes"), state_partitions=2)
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    ahead = dict(ts=START + 9 * 86400, publish_ts=START + 200, bikes_delta=-7)  # a wrong clock
+    for events in ([dict(ts=START + 100, bikes_delta=-1), dict(ts=START + 100, station_id=2, bikes_delta=-2)],
+                   [dict(ts=START + 110, bikes_delta=-4), ahead], [dict(ts=START + 86400 + 100, bikes_delta=3)]):
+        land(make_events(*events), path)
+        for job in (minutes, flows):
+            job.start(path).awaitTermination()
+        if len(events) == 2:
+            last = rows(minutes.minutes()), rows(flows.flows())
+    assert last == ([(START + 60, 3, 7, 0)], [(1, 5, 0), (2, 2, 0)])
+    assert rows(minutes.minutes(), "t") == [(START + 86400 + 60,)] and rows(flows.flows()) == [(1, 0, 3)]
+
+
+def test_a_batch_of_a_running_aggregate_is_computed_once(spark, make_events, tmp_path):
+    """State rows equal the stations, however often the handler uses the batch."""
     path = str(tmp_path / "log")
-    taken = {"fast": -1}
-    slow = jobs.Subscriber(spark, str(tmp_path / "slow"), 3)
-    fast = jobs.Subscriber(spark, str(tmp_path / "fast"), 3, lambda: taken["fast"])
-    job = jobs.push_job(spark, str(tmp_path / "job"), [slow, fast])
-    received = []
-    for batch, offsets in enumerate(([0, 1], [2, 3], [4, 5, 6, 7, 8])):
-        land(make_events(*[dict(ts=i, offset=i) for i in offsets]), path)
-        job.start(path).awaitTermination()
-        received.append([r[0] for r in rows(fast.waiting(), "offset")])
-        taken["fast"] = batch
-    assert rows(slow.waiting(), "offset") == [(0,), (1,), (2,)]
-    assert received == [[0, 1], [2, 3], [4, 5, 6]]
+    job = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    land(make_events(*[dict(station_id=i, ts=START + 5, bikes_delta=-1) for i in range(7)]), path)
+    query = job.start(path)
+    query.awaitTermination()
+    assert sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"]) == 7
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) == 7
 
 
-def test_replay_feeds_aggregates_and_only_live_is_pushed(spark, make_events, tmp_path):
+def test_replay_feeds_aggregates_and_only_live_goes_out(spark, make_events, tmp_path):
     path = str(tmp_path / "log")
-    subscriber = jobs.Subscriber(spark, str(tmp_path / "sub"))
-    job = jobs.RelayJob(spark, str(tmp_path / "job"), DAY, subscribers=[subscriber])
+    job = jobs.RelayJob(spark, str(tmp_path / "job"), DAY)
     at = dict(ts=START + 60, bikes_delta=-1)
     land(make_events(dict(ts=START - 50, bikes_delta=-9), {**at, "station_id": 1},
                      {**at, "station_id": 2}), path)
     job.replay(path).awaitTermination()
-    assert subscriber.waiting().count() == 0
-    land(make_events({**at, "station_id": 3}), path)
+    assert job.feed.read().count() == 0
+    live = encode_log(make_events(*[{**at, "station_id": 3, "offset": i} for i in range(1500)]))
+    live.write.mode("append").parquet(path)
     job.follow(path).awaitTermination()
-    assert rows(job.minutes()) == [(START + 60, 3, 3, 0)]
-    assert rows(subscriber.waiting(), "station_id") == [(3,)]
+    assert rows(job.minutes()) == [(START + 60, 1502, 1502, 0)]
+    assert rows(job.feed.read(), "key", "value", "offset") == rows(live, "key", "value", "offset")  # whole, as they are
 
 
 def test_missing_log_is_no_failure(spark, tmp_path):
@@ -204,9 +310,19 @@ def test_missing_log_is_no_failure(spark, tmp_path):
     assert job.minutes().count() == 0
 
 
-def test_monitor_prints(spark, make_events, tmp_path):
+def test_monitor_prints_every_event(spark, make_events, tmp_path, capsys):
     path = str(tmp_path / "log")
-    land(make_events({}), path)
-    query = jobs.start_monitor(spark, path, str(tmp_path / "checkpoint"))
+    land(make_events(*[dict(ts=i, name=f"Probe {i:02d}") for i in range(30)]), path)
+    jobs.start_monitor(spark, path, str(tmp_path / "checkpoint")).awaitTermination()
+    printed = capsys.readouterr().out.splitlines()
+    assert [line[:8] for line in printed if line.startswith("Probe")] == [f"Probe {i:02d}" for i in range(30)]
+
+
+def test_micro_batches_are_bounded(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.json").write_text(poll(i, i, (1, 5)))
+    seen = []
+    query = jobs.start_query(poll_stream(spark, str(tmp_path), 2), lambda df, b: seen.append(df.count()),
+                             str(tmp_path / "cp"))
     query.awaitTermination()
-    assert query.exception() is None
+    assert seen == [2, 2, 1]
