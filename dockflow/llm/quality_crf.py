@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockflow.llm.common import fold
+from dockflow.llm.common import fold, smallest
 from dockflow.llm.wordgrid import NOT_SPACE, Words, batches, count_before, mix, slices, span_hash
 
 TRAIN_DOCS = 2000  # labelled rows that are fitted on, at most
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").filter(fold("doc_id", FOLDS) != HELD).dropDuplicates(["doc_id"])
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
+    chosen = smallest(known, "doc_id", TRAIN_DOCS)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id").filter(
         F.length(F.regexp_replace("text", r"[^\n]", "")) < TRAIN_LINES)
 

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from dockflow.llm.common import settle
+from dockflow.llm.common import settle, smallest
 from dockflow.llm.wordgrid import NOT_SPACE, Words, batches, count_before, mix, span_hash
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
@@ -198,9 +198,8 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 0, id_col: str = "doc_
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
     labelled = settle(stats.filter("not base_failed").join(known, "doc_id"))
-    drawn = labelled.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    good = drawn.filter("label = 1").limit(TREES * SAMPLE).toPandas()
-    bad = drawn.filter("label = 0").limit(-(-len(good) // GOOD_FOR_BAD)).toPandas()
+    good = smallest(labelled.filter("label = 1"), "doc_id", TREES * SAMPLE, seed).toPandas()
+    bad = smallest(labelled.filter("label = 0"), "doc_id", -(-len(good) // GOOD_FOR_BAD), seed).toPandas()
     sample = pd.concat([good, bad], ignore_index=True)
     forest = grow(ratios(sample), seed) if len(sample) > 1 else []
     bins = _scored(labelled, forest, len(sample)).groupBy(

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dockflow.llm.common import fold, settle
+from dockflow.llm.common import fold, settle, smallest
 from dockflow.llm.wordgrid import ALNUM, Words, batches
 
 FOLDS, HELD, CURVE = 5, 0, 4  # number of folds, the one held out, the one that the curve is fitted on
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").withColumn("fold", fold("doc_id", FOLDS)).filter(
         F.col("fold") != HELD).dropDuplicates(["doc_id"])
-    chosen = settle(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS))
+    chosen = settle(smallest(known, "doc_id", TRAIN_DOCS))
     texts = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         F.broadcast(chosen), "doc_id"))
     top = word_scores(texts).orderBy(F.desc(F.greatest("score", "inner")), "word").limit(LEXICON).collect()

@@ -207,3 +207,13 @@ def test_a_full_filter_lets_more_pass_but_stays_right(spark):
     for got in (small, large):
         assert got.filter("verdict = 'block'").count() == 1000 and got.filter("listed and not possible").count() == 0
     assert small.filter("possible").count() > large.filter("possible").count() < 1100
+
+
+def test_smallest_hashes(spark):
+    from dockflow.llm.common import smallest
+
+    ids = spark.range(20_000)
+    want = sorted(r.h for r in ids.select(F.xxhash64(F.lit(3), "id").alias("h")).collect())
+    for n in (0, 1, 50, 3000, 20_000, 30_000):
+        got = smallest(ids, "id", n, 3).select(F.xxhash64(F.lit(3), "id").alias("h"))
+        assert sorted(r.h for r in got.collect()) == want[:n]
