@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, near_dedup, pieces, quality_crf, rules_forest, toxicity, url_filter
 from dockflow.llm.common import table
 
-SPAM_HOSTS = ("cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
+SPAM_HOSTS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
 SHARDS = 40
 
 

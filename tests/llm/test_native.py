@@ -200,6 +200,28 @@ def test_url_verdicts(spark):
     assert url_filter.judge(pages.limit(0), listed).count() == 0
 
 
+def test_every_junk_host_of_the_pages_is_on_the_list(spark, tmp_path):
+    from dockflow.llm.queries import op6_url_filter
+
+    names = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm", "harmless"]
+    pages = [(i, f"https://m.{n}.example.com/en/{i}") for i, n in enumerate(names)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.verdict for r in op6_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {i: "allow" if n == "harmless" else "block" for i, n in enumerate(names)}
+
+
+def test_the_list_decides_by_address_and_not_by_host(spark):
+    schema = "page_id long, url string"
+    known = spark.createDataFrame([(1, "https://m.casino-win.example.com/en/1.html?utm_source=x&b=2&a=1")], schema)
+    listed = url_filter.listed_under(known, ("casino-win",))
+    pages = spark.createDataFrame([
+        (1, "HTTP://www.Casino-Win.example.com:80/en/1/?a=1&b=2#top"), (2, "https://casino-win.example.com/en/1?a=1&b=2"),
+        (3, "https://m.casino-win.example.com/en/2.html"), (4, "https://m.casino-win.example.com/en/1?a=1"),
+        (5, "https://m.free-bets.example.com/en/1?a=1&b=2")], schema)
+    got = {r.page_id: (r.listed, r.verdict) for r in url_filter.judge(pages, listed).collect()}
+    assert got == {1: (True, "block"), 2: (True, "block"), 3: (False, "allow"), 4: (False, "allow"), 5: (False, "allow")}
+
+
 def test_a_full_filter_lets_more_pass_but_stays_right(spark):
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.test/"), "id").alias("url"))
     listed = spark.range(0, 3000, 3).select(F.concat(F.lit("h.test/"), "id").alias("canonical"))
