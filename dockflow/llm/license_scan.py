@@ -2,8 +2,8 @@
 
 The automaton runs over the text's words joined by single blanks. It finds notice phrases where
 their words stand consecutively, and the word form of the identifier tag. The expression behind a
-tag is read from the raw line, brought to postfix order by the shunting-yard algorithm, and
-evaluated: `or` leaves the choice, `and` binds to both sides, `with` softens the left side.
+tag is read from the raw line, up to where its comment ends, the next tag stands or prose or code
+follows, brought to postfix order by the shunting-yard algorithm, and evaluated: `or` leaves the choice, `and` binds to both sides, `with` softens the left side.
 """
 
 import re
@@ -29,7 +29,9 @@ PHRASES = {
     "released into the public domain": "public-domain", "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+TAG_LINE = re.compile(rb"spdx-license-identifier:[ \t]*(.*?)(?=spdx-license-identifier:|[\r\n]|\Z)",
+                      re.IGNORECASE | re.DOTALL)
+COMMENT_END = re.compile(r"\*/|--+!?>|\*\)|[#}%?]\}|[%?]>|\]\]|\"{3}|'{3}")
 
 # How much a licence asks: 0 nothing to 4 no use. `or` takes the least, `and` the most.
 DUTY = {"cc0": 0, "unlicense": 0, "0bsd": 0, "public-domain": 0, "mit": 1, "bsd": 1, "isc": 1, "apache": 1,
@@ -38,7 +40,17 @@ DUTY = {"cc0": 0, "unlicense": 0, "0bsd": 0, "public-domain": 0, "mit": 1, "bsd"
 UNKNOWN_DUTY = 3
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+:-]*")
+# Identifiers that neither have a digit nor name a family of DUTY; before prose, other words are no names.
+PLAIN = frozenset((
+    "aal abstyles aml ampas antlr-pd beerware blessing borceux caldera cube curl diffmark doc dotseqn dsdp "
+    "dvipdfm ecos egenix entessa eurosym fair fsfap fsful fsfullr ftl giftware glide glulxe gnuplot gsoap "
+    "haskellreport hpnd htmltidy ibm-pibs icu ijg imagemagick info-zip intel ipa jasper json latex2e leptonica "
+    "libpng libtiff linux-openib lpl makeindex mitnfa motosoto mtll multics mup naumen ncsa net-snmp netcdf "
+    "newsletr ngpl nlpl nokia noweb nrl ntp oclc ogtsl oml openssl plexus postgresql psfrag psutils qhull rdisc "
+    "rscpl ruby sax-pd scea sendmail sgi-b sissl sleepycat smlnj snia spencer ssh-openssh swl tcl tcp-wrappers "
+    "tmate tosl ucl upl vim w3c watcom wtfpl xerox xinetd xnet xpp xskat zed").split())
+
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?")
 _lower = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _to_blank = bytes(b if ALNUM[b] else 0x20 for b in bytes(range(256)).translate(_lower))
 
@@ -107,6 +119,42 @@ def evaluate(expression: str) -> tuple[set[str], int] | None:
     return values[0]
 
 
+def known(word: str) -> bool:
+    """Whether a word is an operator or looks like an identifier, and not like prose or code."""
+    name = word.lower()
+    return (name in PRECEDENCE or name in PLAIN or family(name) in DUTY or any(c.isdigit() for c in name)
+            or name.startswith(("licenseref-", "documentref-")) or name.endswith(("-exception", "-note")))
+
+
+def expression_of(rest: str) -> str:
+    """The expression at the front of what follows a tag.
+
+    It ends with its comment. A token that cannot continue it (a name or `(` after a name or `)`, a `)`
+    that closes nothing) begins prose or code: then it is the longest well-formed part before that token
+    whose names are known. Where there is no such part, and where nothing but the
+    end follows, all of it is taken, so a dangling operator stays malformed.
+    """
+    rest = COMMENT_END.split(rest, maxsplit=1)[0]
+    best, depth, want_name, recognized = 0, 0, True, True
+    for match in _TOKEN.finditer(rest):
+        token = match[0]
+        if token.lower() in PRECEDENCE:
+            ends, want_name = want_name, True
+        elif token == "(":
+            ends, depth = not want_name, depth + 1
+        elif token == ")":
+            ends, depth = want_name or not depth, depth - 1
+        else:
+            ends, want_name = not want_name, False
+            recognized = recognized and known(token)
+        if ends:
+            rest = rest[:best] if best else rest
+            break
+        if recognized and not want_name and not depth:
+            best = match.end()
+    return rest.strip().rstrip("*/#->").strip()
+
+
 def automaton() -> ahocorasick.Automaton:
     """All phrases and the tag, each between blanks."""
     found = ahocorasick.Automaton()
@@ -131,7 +179,7 @@ def scan_text(raw: bytes, machine: ahocorasick.Automaton) -> tuple:
     expressions = []
     if tagged:
         for match in TAG_LINE.finditer(raw):
-            expressions.append(match[1].decode("utf-8", "replace").strip().rstrip("*/#->").strip())
+            expressions.append(expression_of(match[1].decode("utf-8", "replace")))
     return len(words), spans, expressions
 
 

@@ -188,6 +188,29 @@ def test_base_places(spark):
     assert got[6].score == 0.4 and got[2].labels == "gpl,lgpl" and got[8].labels == ""
 
 
+@pytest.mark.parametrize("text, labels, score, duty", [
+    ("SPDX-License-Identifier: MIT. See the LICENSE file.", "mit", 1.0, 1),
+    ("/* SPDX-License-Identifier: MIT */ function a(){}", "mit", 1.0, 1),
+    ("(SPDX-License-Identifier: MIT) and more", "mit", 1.0, 1),
+    ("<!-- SPDX-License-Identifier: GPL-2.0-only OR MIT --><p>or else</p>", "gpl,mit", 1.0, 1),
+    ("SPDX-License-Identifier: MIT SPDX-License-Identifier: GPL-3.0-or-later", "gpl,mit", 1.0, 3),
+    ("/* SPDX-License-Identifier: MIT */ /* SPDX-License-Identifier: (Apache-2.0) */", "apache,mit", 1.0, 1),
+    ("SPDX-License-Identifier: MIT or GPL-2.0 at your option", "gpl,mit", 1.0, 1),
+    ("SPDX-License-Identifier: MIT and see the file", "mit", 1.0, 1),
+    ("SPDX-License-Identifier: (MIT OR GPL-2.0) AND BSD-3-Clause (see below)", "bsd,gpl,mit", 1.0, 1),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 applies here", "gpl", 1.0, 2),
+    ("SPDX-License-Identifier: WTFPL is short", "wtfpl", 1.0, 3),
+    ("SPDX-License-Identifier: MIT OR */ x = 1", "", 0.4, None),
+    ("SPDX-License-Identifier: (MIT see file", "", 0.4, None),
+    ("SPDX-License-Identifier: SEE LICENSE IN file", "", 0.4, None),
+    ("The SPDX-License-Identifier: line names it", "", 0.4, None),
+    ("// SPDX-License-Identifier: MIT OR Foo\n// and a next line", "foo,mit", 1.0, 1)])
+def test_tags_before_prose_code_and_tags(text, labels, score, duty):
+    row = license_scan.summary(*license_scan.scan_text(text.encode(), license_scan.automaton()))
+    got = dict(zip(license_scan._columns(), row))
+    assert (got["labels"], got["score"], got["duty"]) == (labels, score, duty)
+
+
 @pytest.mark.parametrize("text, order, duty", [
     ("MIT", "MIT", 1), ("MIT OR Apache-2.0 AND GPL-2.0", "MIT Apache-2.0 GPL-2.0 and or", 1),
     ("(MIT OR Apache-2.0) AND GPL-3.0-or-later", "MIT Apache-2.0 or GPL-3.0-or-later and", 3),
