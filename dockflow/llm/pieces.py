@@ -4,7 +4,8 @@ A text's encoding is its segmentation into vocabulary pieces with the largest su
 Long texts are cut into chunks. Where a piece may stand across a cut, its overshoot into the next chunk
 is the boundary's state, and a chunk is a matrix of the best score from each entering to each leaving
 state. Max-plus products of matrices are associative, so a tree of them gives every boundary's
-state on the best path; then each chunk is segmented on its own between two known ends.
+state on the best path; then each chunk is segmented on its own between two known ends. Beside a
+score stands the rank of its entering state among those with the same leaving state, which decides ties.
 
 The work of a chunk is small, because most positions cannot lie inside a piece: if no piece holds two
 characters in a row, every segmentation passes between them. Entering states meet at the first
@@ -13,8 +14,8 @@ search runs on stretches short enough for its single-precision sums to be exact.
 
 The scores of the model file are ranks of merges. They are read here as the scores of a unigram model, which
 is what a best sum needs; pieces that the file leaves without a rank come right after the last one. The
-vocabulary and its identifiers are the file's own. Equal sums go to the longer last piece, and across
-an open cut to the smaller overshoot.
+vocabulary and its identifiers are the file's own. Equal sums go to the longer last piece, read from the
+end of the text, so of two paths the one whose last differing boundary is earlier; cuts do not change that.
 """
 
 import re
@@ -179,10 +180,27 @@ def cuts(voc: Vocabulary, text: str) -> list[int]:
     return [*found, len(text)]
 
 
-def transfer(voc: Vocabulary, text: str, length: int) -> list[tuple[int, int, float]]:
-    """The matrix of a chunk as (entering state, leaving state, score).
+Cell = tuple[int, int, float, int]  # entering state, leaving state, score, rank of the entering state
 
-    `text` is the chunk with one character before (none at the start of a text: `\\0`) and up to
+
+def boundaries(back: dict[int, int], at: int) -> list[int]:
+    """The boundaries of a path that ends at `at`, from its end to its start."""
+    found = [at]
+    while at in back:
+        at = back[at]
+        found.append(at)
+    return found
+
+
+def ranks(paths: dict[int, list[int]]) -> dict[int, int]:
+    """The order in which paths to one end, by entering state, win ties."""
+    return {s: k for k, s in enumerate(sorted(paths, key=paths.get))}
+
+
+def transfer(voc: Vocabulary, text: str, length: int) -> list[Cell]:
+    """The matrix of a chunk as (entering state, leaving state, score, rank).
+
+    `text` is the chunk with one character before (none at the start of a text: `\0`) and up to
     `longest` characters after it, so that its ends can be judged.
     """
     before, text = text[0], text[1:]
@@ -193,17 +211,20 @@ def transfer(voc: Vocabulary, text: str, length: int) -> list[tuple[int, int, fl
     part = length if right else next((p for p in range(length, -1, -1) if voc.parts(text, p)), None)
     entries = range(left + 1)
     if meet is None or part is None or meet > part or (left and meet == 0):
+        found = {s: best_paths(voc, text, s, length, len(text)) for s in entries}
         cells = []
-        for s in entries:
-            best, _ = best_paths(voc, text, s, length, len(text))
-            leaving = [0] if right else range(voc.longest)
-            cells += [(s, t, float(best[length + t])) for t in leaving if length + t in best]
+        for t in [0] if right else range(voc.longest):
+            ends = {s: boundaries(back, length + t) for s, (best, back) in found.items() if length + t in best}
+            rank = ranks(ends)
+            cells += [(s, t, float(found[s][0][length + t]), rank[s]) for s in ends]
         return cells
-    head = {s: best_paths(voc, text, s, meet, meet)[0].get(meet) for s in entries if s <= meet}
+    heads = {s: best_paths(voc, text, s, meet, meet) for s in entries if s <= meet}
+    heads = {s: (best[meet], boundaries(back, meet)) for s, (best, back) in heads.items() if meet in best}
+    rank = ranks({s: path for s, (_, path) in heads.items()})
     body = score_of(voc, text[meet:part])
     tail = {0: 0.0} if part == length else {
         p - length: v for p, v in best_paths(voc, text, part, length, len(text))[0].items() if p >= length}
-    return [(s, t, float(a + body + b)) for s, a in head.items() if a is not None for t, b in tail.items()]
+    return [(s, t, float(a + body + b), rank[s]) for s, (a, _) in heads.items() for t, b in tail.items()]
 
 
 def score_of(voc: Vocabulary, text: str) -> float:
@@ -214,42 +235,47 @@ def score_of(voc: Vocabulary, text: str) -> float:
     return total + UNKNOWN * sum(len(r[0]) for r in voc.runs.finditer(text) if r[0][0] not in voc.singles)
 
 
-def product(cells: list[list[tuple[int, int, float]]]) -> list[tuple[int, int, float]]:
+def product(cells: list[list[Cell]]) -> list[Cell]:
     """Max-plus product of matrices in order."""
-    total = {(s, t): v for s, t, v in cells[0]}
+    total = {(s, t): (v, r) for s, t, v, r in cells[0]}
     for matrix in cells[1:]:
-        by_entry: dict[int, list[tuple[int, float]]] = {}
-        for s, t, v in matrix:
-            by_entry.setdefault(s, []).append((t, v))
-        joined: dict[tuple[int, int], float] = {}
-        for (s, m), v in sorted(total.items()):
-            for t, w in by_entry.get(m, ()):
-                if joined.get((s, t), -np.inf) < v + w:
-                    joined[s, t] = v + w
-        total = joined
-    return [(s, t, v) for (s, t), v in sorted(total.items())]
-
-
-def route(cells: list[list[tuple[int, int, float]]], enter: int, leave: int) -> list[int]:
+        by_entry: dict[int, list[tuple[int, float, int]]] = {}
+        for s, t, v, r in matrix:
+            by_entry.setdefault(s, []).append((t, v, r))
+        joined: dict[tuple[int, int], tuple[float, tuple[int, int]]] = {}
+        for (s, m), (v, r) in total.items():
+            for t, w, q in by_entry.get(m, ()):
+                # The later matrix decides a tie first, as paths are compared from their end.
+                if (s, t) not in joined or (joined[s, t][0], (q, r)) < (v + w, joined[s, t][1]):
+                    joined[s, t] = v + w, (q, r)
+        by_exit: dict[int, dict[int, tuple[int, int]]] = {}
+        for (s, t), (_, key) in joined.items():
+            by_exit.setdefault(t, {})[s] = key
+        rank = {t: ranks(keys) for t, keys in by_exit.items()}
+        total = {(s, t): (v, rank[t][s]) for (s, t), (v, _) in joined.items()}
+    return [(s, t, v, r) for (s, t), (v, r) in sorted(total.items())]
+
+
+def route(cells: list[list[Cell]], enter: int, leave: int) -> list[int]:
     """The states at the boundaries between matrices on the best way from one state to another."""
-    forward: list[dict[int, tuple[float, int]]] = [{enter: (0.0, -1)}]
+    forward: list[dict[int, tuple[float, int, int]]] = [{enter: (0.0, 0, -1)}]
     for matrix in cells:
-        step: dict[int, tuple[float, int]] = {}
-        for s, t, v in sorted(matrix):
-            if s in forward[-1] and (t not in step or step[t][0] < forward[-1][s][0] + v):
-                step[t] = (forward[-1][s][0] + v, s)
+        step: dict[int, tuple[float, int, int]] = {}  # score, minus rank, entering state
+        for s, t, v, r in matrix:
+            if s in forward[-1]:
+                step[t] = max(step.get(t, (-np.inf, 0, -1)), (forward[-1][s][0] + v, -r, s))
         forward.append(step)
     states = [leave]
     for step in reversed(forward[1:]):
-        states.append(step[states[-1]][1])
+        states.append(step[states[-1]][2])
     return states[::-1]
 
 
-CELLS = "array<struct<s: int, t: int, v: double>>"
+CELLS = "array<struct<s: int, t: int, v: double, r: int>>"
 
 
-def _cells(value) -> list[tuple[int, int, float]]:
-    return [(c["s"], c["t"], c["v"]) for c in value]
+def _cells(value) -> list[Cell]:
+    return [(c["s"], c["t"], c["v"], c["r"]) for c in value]
 
 
 def _encoded_small(docs: DataFrame, held, kind: str) -> DataFrame:

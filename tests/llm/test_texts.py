@@ -342,6 +342,40 @@ def test_giant_texts_through_the_tree(spark, voc, monkeypatch):
     assert back == {d[0]: d[1] or "" for d in ODD if d[0]} | {20: "nospace" * 900, 21: LONG}
 
 
+def unspaced(seed, n, letters):
+    draw = random.Random(seed)
+    return "".join(draw.choice(letters) for _ in range(n))
+
+
+@pytest.mark.parametrize("text", ["x" * 700, "nospace" * 100, "aaab" * 200, *[unspaced(s, 700, "ab") for s in range(6)],
+                                  *[unspaced(s, 700, "etaoinshr") for s in range(6)]])
+def test_open_cuts_change_no_identifier(voc, text):
+    whole = pieces.normal(text)
+    want = pieces.searched(voc, whole)
+    draw = random.Random(len(set(text)))
+    for n in (1, 3, 8, 40):
+        at = [0, *sorted(draw.sample(range(1, len(whole) - 1), n)), len(whole)]
+        cells = [pieces.transfer(voc, ("" if a else "\0") + whole[max(a - 1, 0):b + voc.longest], b - a)
+                 for a, b in zip(at, at[1:])]
+        half = len(cells) // 2
+        for groups in ([cells], [cells[:half], cells[half:]]):
+            middle = pieces.route([pieces.product(g) for g in groups], 0, 0)
+            states = [0]
+            for g, s, t in zip(groups, middle, middle[1:]):
+                states += pieces.route(g, s, t)[1:]
+            spans = [(a + s, b + t) for a, b, s, t in zip(at, at[1:], states, states[1:])]
+            assert [i for a, b in spans for i in pieces.searched(voc, whole[a:b])] == want
+
+
+def test_giant_texts_have_the_identifiers_of_small_ones(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "CHUNK", 300)
+    monkeypatch.setattr(pieces, "FAN", 3)
+    texts = ["nospace" * 900, "x" * 6000, LONG[:9000], *[unspaced(s, 6000, "etaoinshr") for s in range(4)]]
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    large, small = ({r.doc_id: r.ids for r in pieces.encode(docs, giant=g).collect()} for g in (600, 10**6))
+    assert large == small
+
+
 # --- odd inputs -------------------------------------------------------------------------------------
 def _labels(spark):
     return spark.createDataFrame([(1, 1, 0), (2, 1, 0), (2, 0, 1), (None, 1, 1), (9, 0, 1), (10, None, None)],
