@@ -28,7 +28,7 @@ from dockflow.streaming.tables import BatchTable, DatedTable, VersionedView
 
 POLL_INTERVAL = "60 seconds"
 WATERMARK = "25 hours"  # the longest local day
-AHEAD_S = 300  # an event this much later than its record comes from a wrong clock
+AHEAD_S = 300  # an event this much later than its record, and of a later day, comes from a wrong clock
 
 Log = str | DataFrame
 
@@ -140,8 +140,8 @@ class DayJob:
     """A running aggregate of the current local day, by event time.
 
     Windows older than the watermark leave the state; the view starts afresh when an event of
-    the next local day arrives. Events far later than their own record are left out, so
-    a wrong clock cannot end the day.
+    the next local day arrives. Events far later than their own record and beyond its local day are
+    left out, so a wrong clock cannot end the day; within that day all events count, as in batches.
     """
 
     def __init__(self, spark: SparkSession, base: str, schema: str, key: list[str], tz: str,
@@ -173,7 +173,8 @@ class DayJob:
               since: date | str | None = None) -> StreamingQuery:
         """From the beginning of the log, or from a publish date, where a day's work begins."""
         good = good_events(check_log(records_of(self.session, log, max_files, since)))
-        timed = good.where(F.col("ts") <= F.col("publish_ts") + AHEAD_S).withColumn(
+        own_day = local_date(F.col("ts"), self.tz) <= local_date(F.col("publish_ts"), self.tz)
+        timed = good.where(own_day | (F.col("ts") <= F.col("publish_ts") + AHEAD_S)).withColumn(
             "event_time", F.timestamp_seconds("ts")).withWatermark("event_time", WATERMARK)
         return start_query(self.aggregate(timed), self.handle, f"{self.base}/checkpoint", interval,
                            "update")

@@ -278,6 +278,22 @@ def test_views_start_afresh_on_the_next_day(spark, make_events, tmp_path):
     assert rows(minutes.minutes(), "t") == [(START + 86400 + 60,)] and rows(flows.flows()) == [(1, 0, 3)]
 
 
+def test_clocks_ahead_within_the_day_count_as_in_batches(spark, make_events, tmp_path):
+    path = str(tmp_path / "log")
+    minutes = jobs.ActivityJob(spark, str(tmp_path / "minutes"), state_partitions=2)
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    data = [dict(ts=START + 82_000, publish_ts=START + 200, bikes_delta=-3),  # hours ahead, the same day
+            dict(ts=START + 900, publish_ts=START + 250, bikes_delta=2),
+            dict(ts=START + 100, publish_ts=START + 300, bikes_delta=-1)]
+    for event in data:
+        land(make_events(event), path)
+        for job in (minutes, flows):
+            job.start(path).awaitTermination()
+    events = make_events(*data)
+    assert rows(flows.flows()) == rows(activity.station_flows(events, DAY)) == [(1, 4, 2)]
+    assert rows(minutes.minutes()) == rows(activity.activity_minutes(events, DAY))
+
+
 def test_a_batch_of_a_running_aggregate_is_computed_once(spark, make_events, tmp_path):
     """State rows equal the stations, however often the handler uses the batch."""
     path = str(tmp_path / "log")
