@@ -3,7 +3,7 @@ from zoneinfo import ZoneInfo
 
 import pytest
 
-from conftest import DAY, START, rows
+from tables import DAY, START, rows
 from dockflow.__main__ import chosen_days, main
 from dockflow.sources import archive
 from dockflow.streaming import jobs

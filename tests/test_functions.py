@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from dockflow.functions import clock, numbers, station
 
 

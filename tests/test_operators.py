@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DAY, START, STATE, one, rows
+from tables import DAY, START, STATE, one, rows
 from dockflow.operators import (activity, business, changes, districts, history, indicators, search,
                                 state)
 from dockflow.schemas import TRACKED_FIELDS

@@ -1,6 +1,10 @@
-"""Every registered query against its SQL on the smallest driver tables."""
+"""Every registered query of the engine against its SQL on the smallest driver tables."""
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -50,7 +54,7 @@ def test_results_come_in_order(spark, name, threshold):
     assert found == sorted(found)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in SQL])
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
 
@@ -63,6 +67,23 @@ def test_the_comparison_sees_differences(spark, con):
     assert difference(df, con, f"SELECT * FROM ({sql}) WHERE false")
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
+
+@pytest.mark.parametrize("gone", [["dockflow/llm"], ["dockflow/llm", "tests/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_queries_without_the_corpus_package(tmp_path, gone):
+    """The rest imports and registers its queries where that package was taken out."""
+    copy = tmp_path / "copy"
+    skipped = [Path(g).name for g in gone]
+    shutil.copytree(ROOT, copy, ignore=lambda folder, names: [
+        n for n in names if n in (".git", "__pycache__") or (n in skipped and str(Path(folder, n).relative_to(ROOT)) in gone)])
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                          cwd=copy, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(copy)})
+    assert said.returncode == 0, said.stderr
+    n_queries, n_sql = map(int, said.stdout.split())
+    assert n_sql >= len(OWN) and (n_queries == len(OWN) or gone == ["corpus_pipeline.py"])
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0 and "moves" in df.columns

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DAY, START, one, rows
+from tables import DAY, START, one, rows
 from dockflow import schemas
 from dockflow.operators.readings import feed_summary, readings
 from dockflow.sources import archive, documents, files, log

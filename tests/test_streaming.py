@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DAY, START, STATE, rows
+from tables import DAY, START, STATE, rows
 from dockflow.operators import activity, changes, state
 from dockflow.sources.log import encode_log
 from dockflow.sources import kafka
