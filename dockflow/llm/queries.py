@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import chunk_dedup, feistel_shards, license_scan, mixing, near_dedup, pieces, quality_crf, rules_forest, toxicity, url_filter
+from dockflow.llm import (chunk_dedup, conversation_repair, feistel_shards, license_scan, mixing, near_dedup, pieces, quality_crf,
+                          rules_forest, toxicity, url_filter)
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -61,7 +62,12 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("n_passages", F.size("passages")).drop("passages")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(damaged))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_crf, op2_order_minhash, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter,
-        op7_feistel_shards, op8_pivotal_mix, op9_piece_scan, op10_toxic_segments)}
+        op7_feistel_shards, op8_pivotal_mix, op9_piece_scan, op10_toxic_segments, op11_conversation_repair)}

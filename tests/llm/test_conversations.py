@@ -1,0 +1,166 @@
+"""Conversation repair against exhaustive search and a plain whole-table version."""
+
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from dockflow.llm import conversation_repair as cr
+
+DDL = "conv_id long, turn long, role string, text string"
+TEXTS = ["Well then.", "Well then.", "no end", "", " \n", "Is it?", "end. ", "!", "x" * 70 + " a.", "x" * 70 + " b."]
+
+
+def enumerated(rows):
+    """All edit strings with at most two insertions at a place."""
+    best = None
+    places = [[""], ["I"], ["II"]]
+    for inserts in itertools.product(range(3), repeat=len(rows) + 1):
+        for edits in itertools.product("DKR", repeat=len(rows)):
+            audit = "".join("I" * i + e for i, e in zip(inserts, [*edits, ""]))
+            cost, roles, at = 0, "", 0
+            for e in audit:
+                expected = "a" if roles.endswith("u") else "u"
+                if e == "I":
+                    roles, cost = roles + expected, cost + 3
+                    continue
+                initial, fault = rows[at]
+                at += 1
+                if e == "D":
+                    cost += 4
+                    continue
+                if fault == cr.GONE:
+                    break
+                cost += 3 * (fault == cr.CUT) + 3 * (e == "R")
+                roles += initial if e == "K" and initial else "?" if e == "K" else expected
+            else:
+                body = roles[1:] if roles.startswith("s") else roles
+                if (not roles or body) and body == "ua" * (len(body) // 2):
+                    best = min(best or (cost, audit), (cost, audit))
+    assert places
+    return best
+
+
+def test_search_equals_exhaustive_search():
+    kinds = [(r, f) for r in "suax" for f in (cr.FINE, cr.CUT, cr.GONE)] + [("", cr.FINE)]
+    for n in range(3):
+        for rows in itertools.product(kinds, repeat=n):
+            assert cr.search(list(rows), cr.START, cr.OPEN) == enumerated(rows)
+    rng = random.Random(5)
+    for _ in range(40):
+        rows = [rng.choice(kinds) for _ in range(4)]
+        assert cr.search(rows, cr.START, cr.OPEN) == enumerated(rows)
+
+
+def plainly(rows):
+    """The whole query in Python: conv_id to its columns."""
+    damaged = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        dealt = zlib.crc32(key.encode()) % 20
+        found = damaged.setdefault(conv, [])
+        if dealt == 1:
+            text = ""
+        if dealt == 2:
+            text = text.translate(str.maketrans("", "", ".!?"))
+        if dealt == 4:
+            role = "user"
+        found += [(turn, role, text)] * (dealt != 0) * (1 + (dealt == 3))
+    out = {}
+    for conv, found in damaged.items():
+        found.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        seen, marked, counts = set(), [], [0, 0, 0]
+        for turn, role, text in found:
+            bare = text.rstrip(cr.BLANKS)
+            fault = 0 if not bare else 1 if (role, text) in seen else 2 if bare[-1] not in ".!?" else None
+            seen.add((role, text))
+            if fault is not None:
+                counts[fault] += 1
+            marked.append((role[:1], cr.FINE if fault is None else cr.CUT if fault == 2 else cr.GONE))
+        # Cheapest labels by rows read and role given last, one row after the other.
+        labels = {cr.START: (0, "")}
+        for initial, fault in marked:
+            for _ in range(3):
+                for q, (cost, audit) in list(labels.items()):
+                    offer = (cost + 3, audit + "I")
+                    labels[cr.AFTER[q]] = min(labels.get(cr.AFTER[q], offer), offer)
+            offers = {}
+            for q, (cost, audit) in labels.items():
+                moves = [(q, cost + 4, "D")]
+                if fault != cr.GONE:
+                    more = 3 * (fault == cr.CUT)
+                    moves.append((cr.AFTER[q], cost + 3 + more, "R"))
+                    if (q, initial) in cr.KEEPS:
+                        moves.append((cr.KEEPS[q, initial], cost + more, "K"))
+                for to, total, edit in moves:
+                    offer = (total, audit + edit)
+                    offers[to] = min(offers.get(to, offer), offer)
+            labels = offers
+        cost, audit = min((c + cr.OPEN[q][0], a + cr.OPEN[q][1]) for q, (c, a) in labels.items())
+        turns = [r[0] for r in found if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[0] + b[0] for a, b in zip(marked, marked[1:])]
+        said = "\n".join(f"{r}:{t}" for r, t in cr.apply(audit, cr.START, [r[1:] for r in found]))
+        out[conv] = (gaps, *counts, sum(p not in cr.LEGAL for p in pairs), cost, audit, hashlib.sha256(said.encode()).hexdigest())
+    return out
+
+
+def made(seed, n, convs):
+    rng = random.Random(seed)
+    return [(rng.choice(convs), rng.choice([None, rng.randint(0, 30), rng.randint(0, 400)]),
+             rng.choice(["system", "user", "assistant", "user", "assistant", "tool", "", None]),
+             rng.choice([*TEXTS, None, f"said {i}.", f"said {i}."])) for i in range(n)]
+
+
+def reported(spark, rows, partitions=None):
+    df = spark.createDataFrame(rows, DDL)
+    if partitions:
+        df = df.repartition(partitions)
+    got = cr.report(cr.repair(cr.damage(df))).collect()
+    assert len({r.conv_id for r in got}) == len(got)
+    return {r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, r.repaired_sha256) for r in got}
+
+
+def ordered(rows):
+    """Without texts that agree in their first 64 characters, whose order among equal turns is a hash's."""
+    return [r for r in rows if r[3] is None or not r[3].startswith("x")]
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_report_equals_the_plain_version(spark, monkeypatch, chunk, partitions):
+    monkeypatch.setattr(cr, "CHUNK", chunk)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        data = ordered(made(1, 300, [*range(40), None]) + made(2, 250, [7, None]))
+        assert reported(spark, data, partitions) == plainly(data)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_one_conversation_of_equal_rows(spark):
+    data = [(1, 2, "user", "Again.")] * 500 + [(None, None, None, None)] * 50 + [(3, 5, "user", "a.")] * 30
+    assert reported(spark, data, 6) == plainly(data)
+
+
+def test_odd_tables(spark):
+    assert reported(spark, []) == {}
+    dropped = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert reported(spark, [(dropped, 0, "user", "a.")]) == {dropped: (0, 0, 0, 0, 0, 0, "", empty)}
+    long = "word " * 400_000
+    data = [(1, t, r, long + f"{t}.") for t, r in enumerate(["user", "assistant"] * 3)]
+    assert reported(spark, data) == plainly(data)
+
+
+def test_clashing_names_and_turns(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "assistant", "Yes.")]
+    df = spark.createDataFrame(rows, DDL).withColumns({c: F.lit("?") for c in ("part", "seq", "cost", "audit", "fault", "turns", "digest", "copy", "start")})
+    got = cr.repair(df)
+    assert [(r.role, r.text) for r in cr.repaired_turns(got).orderBy("piece", "n").collect()] == [("user", "Hi."), ("assistant", "Yes.")]
+    assert cr.report(cr.repair(df.withColumn("conv_id", F.lit("x")))).first().audit == "KK"
