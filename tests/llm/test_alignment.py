@@ -1,0 +1,113 @@
+"""Token alignment against a plain version that compares all token pairs of a text."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+import sentencepiece
+import tokenizers
+
+from cases import LONG, ODD, documents, with_clashes, words
+from dockflow.llm import token_alignment as ta
+
+A = tokenizers.Tokenizer.from_file(ta.BYTE_MODEL)
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=ta.PIECE_MODEL)
+with open(ta.BYTE_MODEL, encoding="utf-8") as _file:
+    A_RAW = ta.byte_tokens(_file.read())
+with open(ta.PIECE_MODEL, "rb") as _file:
+    B_RAW = ta.piece_tokens(_file.read())
+
+
+def spans(ids, raw):
+    at, out = 0, []
+    for i in ids:
+        out.append((at, at + len(raw[i]), i))
+        at += len(raw[i])
+    return out
+
+
+def plainly(docs):
+    """Each document's columns from whole texts, token by token."""
+    found, total = [], Counter()
+    for doc_id, text in docs:
+        want = (" " + text).encode() if text else b""
+        a, b = (A.encode(" " + text, add_special_tokens=False).ids, B.encode(text)) if text else ([], [])
+        if not text or b"".join(A_RAW[i] for i in a) != want or b"".join(B_RAW[i] for i in b) != want:
+            found.append((doc_id, [], [], [], ""))
+            continue
+        sa, sb = spans(a, A_RAW), spans(b, B_RAW)
+        links, lo = [], 0
+        for start, end, i in sa:
+            while sb[lo][1] <= start:
+                lo += 1
+            at = lo
+            while at < len(sb) and sb[at][0] < end:
+                links.append((i, sb[at][2]))
+                at += 1
+        total.update(links)
+        shared = {e for _, e, _ in sa} & {e for _, e, _ in sb}
+        groups, ga, gb = [], iter(sa), iter(sb)
+        for end in sorted(shared):
+            sides = []
+            for side in (ga, gb):
+                own = []
+                for _, e, i in side:
+                    own.append(str(i))
+                    if e == end:
+                        break
+                sides.append(",".join(own))
+            groups.append("|".join(sides))
+        found.append((doc_id, sa, sb, links, ";".join(groups)))
+    best = Counter()
+    for (_, j), n in total.items():
+        best[j] = max(best[j], n)
+    return sorted(((doc_id, len(sa), len(sb), groups.count(";") + bool(groups), len(links), sum(total[p] == best[p[1]] for p in links),
+                    sum(total[p] for p in links), hashlib.sha256(groups.encode()).hexdigest() if groups else "")
+                   for doc_id, sa, sb, links, groups in found), key=repr)
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+MORE = [(20, "a▁b c", "en", "a", 1), (21, "<|endoftext|> and <s> or <0x41> stay", "en", "a", 1), (22, "don't  stop\n\n now \t x", "en", "a", 1),
+        (23, "   ", "en", "a", 1), (24, "　wide space \U0001f600\U0001f600 ́", "en", "a", 1), (25, "1234567 890.50", "en", "a", 1),
+        (26, "end ", "en", "a", 1), (27, "\x00nul \x00", "en", "a", 1)]
+
+
+def aligned(df):
+    return sorted((tuple(r) for r in ta.align(df).select(*COLUMNS).collect()), key=repr)
+
+
+@pytest.mark.parametrize("block,part", [(ta.BLOCK, ta.PART), (900, 50), (1, 1)])
+def test_alignment_equals_the_plain_version(spark, monkeypatch, block, part):
+    monkeypatch.setattr(ta, "BLOCK", block)
+    monkeypatch.setattr(ta, "PART", part)
+    data = ODD + MORE
+    if block == 1:
+        data = [(i, t and t[:200], *r) for i, t, *r in data]
+    df = documents(spark, data).repartition(3)
+    assert aligned(df) == plainly([r[:2] for r in data])
+
+
+def test_clashing_names_and_empty_table(spark):
+    assert aligned(with_clashes(spark)) == plainly([r[:2] for r in ODD])
+    assert aligned(documents(spark, [])) == []
+
+
+def test_parts_join_to_the_text(monkeypatch):
+    monkeypatch.setattr(ta, "PART", 20)
+    for text in (LONG, "a  b   c d " * 50, "x" * 500, words(3), " lead and trail "):
+        assert " ".join(ta.parts_of(text)) == text
+    assert len(ta.parts_of(LONG)) > 100
+
+
+def test_groups_are_there_to_read(spark):
+    got = ta.groups(documents(spark, [(1, "Hello aligned world", "en", "a", 1)])).collect()
+    assert [r.doc_id for r in got] == [1]
+    assert hashlib.sha256(got[0].groups.encode()).hexdigest() == plainly([(1, "Hello aligned world")])[0][-1]
+
+
+def test_a_long_text_keeps_to_its_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ta, "BLOCK", 300_000)
+    text = words(150_000)  # 1.3 MB
+    df = documents(spark, [(1, text, "en", "a", 1), (2, words(50), "en", "a", 1)])
+    assert [r[:3] for r in aligned(df)] == [r[:3] for r in plainly([(1, text), (2, words(50))])]
