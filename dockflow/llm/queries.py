@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockflow.llm import (chunk_dedup, conversation_repair, feistel_shards, license_scan, mixing, near_dedup, pieces, quality_crf,
-                          rules_forest, token_alignment, toxicity, url_filter)
+from dockflow.llm import (chunk_dedup, conversation_repair, feistel_shards, language_id, license_scan, mixing, near_dedup, pieces,
+                          quality_crf, rules_forest, token_alignment, toxicity, url_filter)
 from dockflow.llm.common import table
 
 SPAM_HOSTS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")  # names of the list that op6 judges by
@@ -71,8 +71,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_crf, op2_order_minhash, op3_rules_forest, op4_chunk_dedup, op5_license_scan, op6_url_filter,
         op7_feistel_shards, op8_pivotal_mix, op9_piece_scan, op10_toxic_segments, op11_conversation_repair,
-        op12_token_alignment)}
+        op12_token_alignment, op13_language_id)}
