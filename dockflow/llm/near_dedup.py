@@ -18,7 +18,6 @@ rounds end when each bucket holds one class: every candidate pair has been verif
 anyway, or cannot reach 0.8.
 """
 
-import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -52,7 +51,7 @@ def sequences(texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
     """
     words = Words([t.lower() for t in texts], ALNUM)
     hashes, first = words.hash, words.first
-    digests = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1], first[1:])]
+    digests = words.digests(ALNUM)
     size = len(hashes)
     shingle = np.zeros(max(size - SHINGLE + 1, 0), np.uint64)
     for k in range(SHINGLE):

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from dockflow.llm.common import settle, smallest
-from dockflow.llm.wordgrid import NOT_SPACE, Words, batches, count_before, mix, span_hash
+from dockflow.llm.wordgrid import NOT_SPACE, Words, batches, count_before, span_ids
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50  # fixed values
@@ -36,6 +36,11 @@ _lead = (_byte & 0xC0) != 0x80
 _newline = _byte == 0x0A
 
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each pair of numbers from 0 up."""
+    return a.astype(np.int64) * (int(b.max(initial=0)) + 1) + b
+
+
 def statistics(texts: list[bytes]) -> pd.DataFrame:
     """The columns COUNTS and MORE of some texts."""
     words = Words(texts, NOT_SPACE)
@@ -52,20 +57,17 @@ def statistics(texts: list[bytes]) -> pd.DataFrame:
     begins, ends = begins[worded], ends[worded]
     line_text = np.searchsorted(at, begins, side="right") - 1
     out["n_lines"] = np.bincount(line_text, minlength=n)
-    line = mix(span_hash(code, begins, ends) + line_text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    _, earliest = np.unique(line, return_index=True)
+    _, earliest = np.unique(paired(line_text, span_ids(code, begins, ends)), return_index=True)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(line_text[earliest], minlength=n)
 
-    hashes = words.hash
-    salted = mix(hashes + words.text.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
-    repeated = np.zeros(len(hashes), bool)
-    if len(hashes) >= 3:
-        window = mix(mix(salted[:-2]) + salted[1:-1]) + salted[2:]
-        window = mix(window)
-        whole = words.text[:-2] == words.text[2:]
-        places = np.flatnonzero(whole)
-        _, which, count = np.unique(window[places], return_inverse=True, return_counts=True)
-        twice = places[count[which] > 1]
+    word = words.id
+    repeated = np.zeros(len(word), bool)
+    if len(word) >= 3:
+        places = np.flatnonzero(words.text[:-2] == words.text[2:])
+        window = words.text[places]
+        for k in range(3):
+            _, window, count = np.unique(paired(window, word[places + k]), return_inverse=True, return_counts=True)
+        twice = places[count[window] > 1] if len(places) else places
         for k in range(3):
             repeated[twice + k] = True
     out["n_repeat_words"] = np.bincount(words.text[repeated], minlength=n)

@@ -1,13 +1,14 @@
 """Words of many texts at once, as arrays: positions and hashes, without a Python step per word."""
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 2 ** 64)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+LONG_SPAN = 256  # bytes from which a span is hashed on its own
 BATCH_BYTES = 1_000_000
 
 _space = np.zeros(256, bool)
@@ -71,22 +72,57 @@ class Words:
 
     @property
     def hash(self) -> np.ndarray:
-        """64-bit hash of each word: a polynomial in its bytes, spread."""
+        """64-bit hash of each word."""
         return span_hash(self.buffer, self.start, self.end)
 
+    @property
+    def id(self) -> np.ndarray:
+        """A number of each word, the same for the same bytes and for no others."""
+        return span_ids(self.buffer, self.start, self.end)
+
+    def digests(self, is_word: np.ndarray) -> list[bytes]:
+        """Digest of each text's words: of their bytes, with one blank after each."""
+        inside = is_word[self.buffer]
+        kept = inside | np.concatenate([[False], inside[:-1]])
+        words = np.where(inside, self.buffer, np.uint8(0x20))[kept].tobytes()
+        at = np.concatenate([[0], np.cumsum(kept)])[self.text_start]
+        return [hashlib.blake2b(words[a:b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:])]
+
 
 def span_hash(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of byte ranges of a buffer, equal for equal bytes."""
-    size = len(buffer)
-    power = np.full(size, BASE, np.uint64)
-    power[:1] = 1
-    np.cumprod(power, out=power)
-    total = np.zeros(size + 1, np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
-    back = np.full(size + 1, INVERSE, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+    """Hashes of byte ranges of a buffer, equal for equal bytes: each eight bytes are mixed into what came before."""
+    blocks = np.ndarray(len(buffer), "<u8", np.concatenate([buffer, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) * STEP + np.uint64(1))
+    open_ = np.flatnonzero(size < LONG_SPAN)
+    for at in range(0, LONG_SPAN, 8):
+        open_ = open_[size[open_] > at]
+        if not len(open_):
+            break
+        block = blocks[start[open_] + at]
+        beyond = np.maximum(8 * (at + 8 - size[open_]), 0).astype(np.uint64)
+        h[open_] = mix(h[open_] * STEP + ((block << beyond) >> beyond))
+    for i in np.flatnonzero(size >= LONG_SPAN):
+        h[i] = np.frombuffer(hashlib.blake2b(buffer[start[i]:end[i]], digest_size=8).digest(), np.uint64)[0]
+    return h
+
+
+def span_ids(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Numbers of byte ranges, the same for the same bytes and for no others: equal hashes are compared byte by byte."""
+    _, first, ids = np.unique(span_hash(buffer, start, end), return_index=True, return_inverse=True)
+    other = first[ids]
+    again = np.flatnonzero(other != np.arange(len(ids)))
+    size = end[again] - start[again]
+    if (size == end[other[again]] - start[other[again]]).all():
+        for part in np.array_split(again, 1 + int(size.sum()) // BATCH_BYTES):
+            size = end[part] - start[part]
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            if (buffer[np.repeat(start[part], size) + place] != buffer[np.repeat(start[other[part]], size) + place]).any():
+                break
+        else:
+            return ids
+    known: dict[bytes, int] = {}  # two ranges with one hash
+    return np.array([known.setdefault(buffer[a:b].tobytes(), len(known)) for a, b in zip(start, end)], np.int64)
 
 
 def count_before(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -418,3 +418,39 @@ def test_slices_keep_rows(spark):
     parts = list(slices(batch, "text"))
     assert [t for _, texts in parts for t in texts] == [b"a", b"", "é".encode()]
     assert pa.Table.from_batches([p for p, _ in parts]).to_pydict() == batch.to_pydict()
+
+
+# --- hashes ---------------------------------------------------------------------------------
+def twins(n):
+    """A Thue-Morse text of the letters a and b, and the one with the letters exchanged: equal under any polynomial modulo 2^64."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 128, 1024, 2048, 8192])
+def test_twins_are_told_apart(spark, n):
+    from dockflow.llm.wordgrid import ALNUM, Words, span_hash
+
+    one, two = twins(n)
+    grid = Words([f"{one} {two} {one}".encode()], ALNUM)
+    a, b, c = span_hash(grid.buffer, grid.start, grid.end)
+    assert a == c != b
+    lines = f"{one}\n{two}\n{one} x\n{two} x\n{one}"
+    stats = rules_forest.statistics([lines.encode(), f"{one} m n {two} m n".encode()])
+    assert stats["n_dup_lines"].tolist() == [1, 0] and stats["n_repeat_words"].tolist() == [0, 0]
+    got = near_dedup.classes(documents(spark, [(1, one, "en", "a", 1), (2, two, "en", "a", 1), (3, one, "en", "a", 1)])).collect()
+    assert len({r.class_id for r in got}) == 2
+
+
+def test_ids_hold_where_hashes_do_not(monkeypatch):
+    from dockflow.llm import wordgrid
+
+    spans = [b"one", b"two", b"three", b"one", b"", b"two", b"six", b"x" * 300, b"x" * 300, b"y" + b"x" * 299]
+    buffer = np.frombuffer(b"".join(spans), np.uint8)
+    end = np.cumsum([len(s) for s in spans])
+    start = end - [len(s) for s in spans]
+    for weak in (None, 1, 3):
+        if weak:
+            monkeypatch.setattr(wordgrid, "span_hash", lambda b, s, e: ((e - s) % weak).astype(np.uint64))
+        ids = wordgrid.span_ids(buffer, start, end).tolist()
+        assert [[a == b for b in ids] for a in ids] == [[a == b for b in spans] for a in spans]
