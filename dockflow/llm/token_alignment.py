@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' tokens over the bytes of a text, as an Arrow pipeline.
 
 A task cuts its texts into parts at single blanks, which no token of either tokenizer spans, and fills blocks of BLOCK bytes with
-whole documents (a longer document is a run of blocks of its own). The tokens of a block are two list arrays. Flattened with
+whole documents (a longer document is a run of blocks of its own). What lies between single blanks is encoded once a block. The tokens of a block are two list arrays. Flattened with
 their parents, a cumulative sum of their byte lengths, less the sum before each part, is where they end. A full outer hash join on
 (part, end) gives every stretch of bytes that one pair of tokens shares: its keys are the ends of either side, and the
 tokens over a stretch are the next ones that end. Ends of both sides close a group.
@@ -31,7 +31,7 @@ from dockflow.llm.common import settle
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 PART = 8_192  # characters after which a part ends at the next single blank
-BLOCK = 4_000_000  # bytes of text of a block
+BLOCK = 2_000_000  # bytes of text of a block
 SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 SHIFT = 32  # bits of an end within its part
 
@@ -82,6 +82,12 @@ def lists(ids: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
 
+def regrouped(ids: pa.ListArray, which: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    """One list for each run of chosen lists; run i begins at starts[i]."""
+    chosen = ids.take(pa.array(which))
+    return pa.ListArray.from_arrays(chosen.offsets.take(pa.array(starts)), chosen.values)
+
+
 def spelled(side: Side, tokens: pa.ListArray) -> pa.Array:
     """The joined bytes of each list of ids."""
     return pc.binary_join(pa.ListArray.from_arrays(tokens.offsets, side.raw.take(tokens.values)), b"")
@@ -177,13 +183,18 @@ class Task:
         self.block = self.row = 0
 
     def encoded(self, parts: list[str]) -> tuple[pa.ListArray, pa.ListArray, np.ndarray]:
-        """Ids of both sides, and whether both give the part's bytes back."""
-        with_blank = [" " + p for p in parts]
+        """Ids of both sides, and whether both give the part's bytes back; what single blanks part is encoded once a block."""
+        pieces = [SINGLE_BLANK.split(p) for p in parts]
+        place: dict[str, int] = {}
+        which = np.fromiter((place.setdefault(x, len(place)) for own in pieces for x in own), np.int64)
+        starts = np.concatenate([[0], np.cumsum([len(own) for own in pieces])])
+        unlike = list(place)
+        with_blank = [" " + x for x in unlike]
         a = lists([e.ids for e in self.byte_bpe.encode_batch_fast(with_blank, add_special_tokens=False)])
-        b = lists(self.piece_bpe.encode(parts, num_threads=1))
-        raw = pa.array([p.encode() for p in with_blank], pa.binary())
-        same = pc.and_(pc.equal(spelled(self.a, a), raw), pc.equal(spelled(self.b, b), raw))
-        return a, b, same.to_numpy(zero_copy_only=False)
+        b = lists(self.piece_bpe.encode(unlike, num_threads=1))
+        raw = pa.array([x.encode() for x in with_blank], pa.binary())
+        same = pc.and_(pc.equal(spelled(self.a, a), raw), pc.equal(spelled(self.b, b), raw)).to_numpy(zero_copy_only=False)
+        return regrouped(a, which, starts), regrouped(b, which, starts), np.logical_and.reduceat(same[which], starts[:-1])
 
     def work(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
