@@ -20,7 +20,6 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockflow.functions.clock import DEFAULT_TZ
-from dockflow.operators import history
 from dockflow.plans import catalog
 from dockflow.plans.derived import Landed
 from dockflow.schemas import INFORMATION_SCHEMA, LOG_SCHEMA, LOG_TABLE_DDL, WEATHER_DOCUMENT_SCHEMA
@@ -60,17 +59,16 @@ def stream_of(spark: SparkSession, args, since: str | None = None) -> jobs.Log:
 def run_archive(spark: SparkSession, args) -> None:
     first, last = chosen_days(args.days, args.tz)
     events, _ = log.decode_log(read_log(spark, args, first, last))
-    archive.archive_events(events, args.base, args.tz, first, last, args.mirror)
-    stored = archive.read_event_archive(spark, args.base).where(f"date BETWEEN '{first}' AND '{last}'")
-    history.archive_summary(stored).show()
+    run = archive.archive_events(log.drop_repeats(events), args.base, args.tz, first, last, args.mirror)
+    print(f"{len(run.dates)} dates,", ", ".join(f"{n} {c}" for c, n in run.totals.items()))
 
 
 def run_weather(spark: SparkSession, args) -> None:
     first, last = chosen_days(args.days, args.tz)
     docs = documents.read_documents(spark, args.docs, WEATHER_DOCUMENT_SCHEMA)
-    archive.archive_weather(documents.weather_hourly(docs, args.tz), args.base, first, last, args.mirror)
-    stored = archive.read_weather_archive(spark, args.base).where(f"date BETWEEN '{first}' AND '{last}'")
-    history.weather_daily(stored).orderBy("date").show((last - first).days + 1)  # a row a day
+    run = archive.archive_weather(documents.weather_hourly(docs, args.tz), args.base, first, last, args.mirror)
+    for day, rain, lowest, highest in archive.weather_totals(run):
+        print(f"{day}: rain {rain}, {lowest} to {highest} degrees")
 
 
 def run_changes(spark: SparkSession, args) -> None:

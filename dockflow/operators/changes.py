@@ -1,9 +1,10 @@
 """Change detection: each reading against the station's previous one.
 
 A window per station would put a station that holds most of the readings into one task. So
-every station is cut into days; the last reading of a day is handed to the station's next
-day with readings as a seed row, and every reading still meets its true predecessor. A task's
-share is a station's day, however long the history and whatever the station.
+every station is cut into chunks of CHUNK_SECONDS, which are the keys of the one shuffle of the readings: a station's
+day lies in many tasks. Within a chunk each reading meets its predecessor in a window. The first reading of a chunk meets the
+last one of the chunk before in a second window over first and last readings only, a few hundredths of the rows where
+stations are polled every minute. Both windows read the same shuffle, so the source is read and parsed once.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -11,28 +12,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from dockflow.operators.readings import counters, describe
 from dockflow.schemas import TRACKED_FIELDS
 
-CHUNK_SECONDS = 86_400
+CHUNK_SECONDS = 3600
 ORDER = ["ts", "offset"]
 
 
-def _seeds(marked: DataFrame, previous: DataFrame | None) -> DataFrame:
-    """Tracked fields that precede a chunk: (station_id, chunk, tracked...).
-
-    The last state of each chunk is combined before its shuffle: one row per station and day.
-    """
-    tracked = F.struct(*TRACKED_FIELDS)
-    lasts = marked.groupBy("station_id", "chunk").agg(
-        F.max_by(tracked, F.struct(*ORDER)).alias("state"))
-    if previous is not None:
-        before_all = F.lit(-(2 ** 62)).cast("bigint")
-        lasts = lasts.unionByName(
-            previous.select("station_id", before_all.alias("chunk"), tracked.alias("state")))
-    by_chunk = Window.partitionBy("station_id").orderBy("chunk")
-    seeds = lasts.withColumn("chunk", F.lead("chunk").over(by_chunk)).where(
-        F.col("chunk").isNotNull())
-    return seeds.select("station_id", "chunk", "state.*")
-
-
 def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
                    partitions: int | None = None) -> DataFrame:
     """Events: a station's first reading, and each one whose tracked fields differ.
@@ -42,25 +25,31 @@ def detect_changes(readings: DataFrame, previous: DataFrame | None = None,
     `partitions` sizes the shuffle of the readings (`session.shuffle_partitions`); without it
     the session's setting holds. All other columns are kept as they are.
     """
-    marked = readings.withColumn(
-        "chunk", F.floor(F.col("ts") / CHUNK_SECONDS).cast("bigint"))
-    seeds = _seeds(marked, previous)
-    rows = marked.withColumn("is_seed", F.lit(False)).unionByName(
-        seeds.withColumn("is_seed", F.lit(True)), allowMissingColumns=True)
-    # The one shuffle of the readings. It is spelled out because rows that come
-    # out of a join already partitioned by station would pass the window's own
-    # requirement, and a station's days would stay together.
-    keys = ["station_id", "chunk"]
-    rows = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
-
+    keys = ["station_id", "_chunk"]
+    chunked = readings.withColumn("_chunk", F.floor(F.col("ts") / CHUNK_SECONDS).cast("bigint"))
+    # Spelled out, because rows that come out of a join already partitioned by station would pass the
+    # window's own requirement, and a station's chunks would stay together.
+    dealt = chunked.repartition(partitions, *keys) if partitions else chunked.repartition(*keys)
     tracked = F.struct(*TRACKED_FIELDS)
-    in_order = Window.partitionBy(*keys).orderBy(F.desc("is_seed"), *ORDER)
-    compared = rows.withColumn("before", F.lag(tracked).over(in_order))
-    first = F.col("before").isNull()
-    events = compared.where(~F.col("is_seed") & (first | ~F.col("before").eqNullSafe(tracked)))
-    delta = F.when(first, F.lit(0)).otherwise(
-        F.col("bikes_available") - F.col("before.bikes_available"))
-    return events.select(*readings.columns, delta.alias("bikes_delta"))
+    in_chunk = Window.partitionBy(*keys).orderBy(*ORDER)
+    compared = dealt.withColumns({
+        "_now": tracked, "_before": F.lag(tracked).over(in_chunk), "_place": F.row_number().over(in_chunk),
+        "_last": F.lead(F.lit(True), 1, False).over(in_chunk) == F.lit(False)})
+    changed = ~F.col("_before").eqNullSafe(F.col("_now"))
+    within = compared.where((F.col("_place") > 1) & changed)
+
+    edges = compared.where((F.col("_place") == 1) | F.col("_last")).select(
+        *compared.columns, F.lit(False).alias("_seed"))
+    if previous is not None:
+        seeds = previous.select("station_id", tracked.alias("_now"), F.lit(True).alias("_seed"))
+        edges = edges.unionByName(seeds, allowMissingColumns=True)
+    in_station = Window.partitionBy("station_id").orderBy(F.desc("_seed"), *ORDER)
+    met = edges.withColumn("_before", F.lag("_now").over(in_station))
+    firsts = met.where(~F.col("_seed") & (F.col("_place") == 1) & changed)
+
+    delta = F.when(F.col("_before").isNull(), F.lit(0)).otherwise(
+        F.col("bikes_available") - F.col("_before.bikes_available"))
+    return within.unionByName(firsts.select(*within.columns)).select(*readings.columns, delta.alias("bikes_delta"))
 
 
 def changes_of(status: DataFrame, info: DataFrame, previous: DataFrame | None = None,

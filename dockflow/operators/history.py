@@ -1,38 +1,27 @@
-"""Queries over the archives. `date` is the partition column."""
+"""Queries over the archives. `date` is the partition column; events are read as their sums per date and hour."""
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockflow.functions.station import returned, taken
 
-
-def history_daily(archive: DataFrame) -> DataFrame:
+def history_daily(hours: DataFrame) -> DataFrame:
     """Events, bikes taken and returned per archived date, in date order."""
-    delta = F.col("bikes_delta").cast("int")
-    days = archive.groupBy("date").agg(
-        F.count("*").alias("events"), F.sum(taken(delta)).alias("taken"),
-        F.sum(returned(delta)).alias("returned"))
+    days = hours.groupBy("date").agg(*[F.sum(c).alias(c) for c in ("events", "taken", "returned")])
     return days.orderBy("date").withColumn("date", F.col("date").cast("string"))
 
 
-def history_profile(archive: DataFrame) -> DataFrame:
+def history_profile(hours: DataFrame) -> DataFrame:
     """Mean taken and returned per local hour over the dates with movement in it.
 
-    Means are rounded half to even. The first step leaves 24 rows per date.
+    Means are rounded half to even.
     """
-    delta = F.col("bikes_delta").cast("int")
-    hourly = archive.where("bikes_delta <> 0").groupBy("date", "hour").agg(
-        F.sum(taken(delta)).alias("taken"), F.sum(returned(delta)).alias("returned"))
+    moving = hours.where((F.col("taken") > 0) | (F.col("returned") > 0))
     mean = lambda c: F.bround(F.avg(c), 0).cast("bigint").alias(c)
-    return hourly.groupBy("hour").agg(mean("taken"), mean("returned")).orderBy("hour")
+    return moving.groupBy("hour").agg(mean("taken"), mean("returned")).orderBy("hour")
 
 
-def archive_summary(archive: DataFrame) -> DataFrame:
+def archive_summary(hours: DataFrame) -> DataFrame:
     """Events, bikes taken and returned over the archived dates given."""
-    delta = F.col("bikes_delta").cast("int")
-    return archive.agg(
-        F.count("*").alias("events"),
-        F.coalesce(F.sum(taken(delta)), F.lit(0)).alias("taken"),
-        F.coalesce(F.sum(returned(delta)), F.lit(0)).alias("returned"))
+    return hours.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("events", "taken", "returned")])
 
 
 def weather_daily(weather: DataFrame) -> DataFrame:

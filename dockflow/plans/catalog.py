@@ -54,6 +54,22 @@ def _archive_events(d: Derived) -> DataFrame:
     return archive.read_event_archive(d.spark, base)
 
 
+def _archive_run(d: Derived) -> DataFrame:
+    """Totals that an archive run counted while it wrote, with its number of dates."""
+    run = archive.archive_events(d.changes(), new_dir(d.spark, "archive-run"), d.tz)
+    return d.spark.createDataFrame([(len(run.dates), *(run.totals[c] for c in ("events", "taken", "returned")))],
+                                   "dates bigint, events bigint, taken bigint, returned bigint")
+
+
+def _archive_repeats(d: Derived) -> DataFrame:
+    """The archive of a log that holds each record twice."""
+    records = log.encode_log(d.changes())
+    events, _ = log.decode_log(records.unionByName(records))
+    base = new_dir(d.spark, "archive-repeats")
+    archive.archive_events(log.drop_repeats(events), base, d.tz)
+    return archive.read_event_archive(d.spark, base)
+
+
 def _archive_weather(d: Derived) -> DataFrame:
     base = new_dir(d.spark, "archive-weather")
     archive.archive_weather(d.weather(), base)
@@ -109,6 +125,8 @@ PLANS: dict[str, Plan] = {
     "poison_rejected": lambda d: log.decode_log(_damaged(d))[1],
     "archive_events": _archive_events,
     "archive_mirror": _archive_mirror,
+    "archive_run": _archive_run,
+    "archive_repeats": _archive_repeats,
     "archive_backfill": _archive_backfill,
     "monitor_line": lambda d: log.monitor_line(d.changes()),
     "geo_bbox": lambda d: documents.geo_bbox(d.features()),
@@ -186,9 +204,9 @@ PLANS: dict[str, Plan] = {
     "map_clusters": lambda d: districts.map_clusters(d.latest()),
     "map_clusters_docks": lambda d: districts.map_clusters(d.latest(), "docks"),
     # history
-    "history_daily": lambda d: history.history_daily(d.archive()),
-    "history_profile": lambda d: history.history_profile(d.archive()),
-    "archive_summary": lambda d: history.archive_summary(d.archive()),
+    "history_daily": lambda d: history.history_daily(d.hours()),
+    "history_profile": lambda d: history.history_profile(d.hours()),
+    "archive_summary": lambda d: history.archive_summary(d.hours()),
     # indicators
     "header_stats": lambda d: indicators.header_stats(d.latest()),
     "kpi_instant": lambda d: indicators.kpi_instant(d.latest()),
@@ -196,9 +214,9 @@ PLANS: dict[str, Plan] = {
     "kpi_peak_hour": lambda d: indicators.kpi_peak_hour(d.minutes(), d.tz),
     "kpi_sparkline": lambda d: activity.sparkline(d.minutes(), d.now),
     "today_vs_average": lambda d: indicators.today_vs_average(
-        d.minutes(), history.history_daily(d.archive_before())),
+        d.minutes(), history.history_daily(d.hours_before())),
     "day_projection": lambda d: indicators.day_projection(
-        history.history_profile(d.archive_before()), d.flows(), d.now, d.tz),
+        history.history_profile(d.hours_before()), d.flows(), d.now, d.tz),
 }
 
 

@@ -19,8 +19,8 @@ from dockflow.operators.districts import districts
 from dockflow.operators.readings import readings
 from dockflow.operators.state import latest_state
 from dockflow.plans import bindings
-from dockflow.schemas import (ARCHIVE_EVENT_TYPES, EVENT_DDL, FLOWS_DDL, INFORMATION_SCHEMA,
-                              MINUTES_DDL, RECORD_DDL, WEATHER_DOCUMENT_SCHEMA, ddl)
+from dockflow.schemas import (EVENT_DDL, FLOWS_DDL, INFORMATION_SCHEMA, MINUTES_DDL, RECORD_DDL,
+                              WEATHER_DOCUMENT_SCHEMA)
 from dockflow.session import fit_shuffles, new_dir, shuffle_partitions
 from dockflow.sources import archive, documents, files
 from dockflow.streaming.queries import parse_polls
@@ -69,6 +69,9 @@ class Derived:
 
     # --- written once ---------------------------------------------------------
     def _table(self, name: str, schema: str, write: Callable[[str], None]) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self._folder(name, write))
+
+    def _folder(self, name: str, write: Callable[[str], None]) -> str:
         fit_shuffles(self.spark, self.source_bytes())
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
                name, self._sources)
@@ -76,7 +79,7 @@ class Derived:
             path = new_dir(self.spark, name)
             write(path)
             _written[key] = path
-        return self.spark.read.schema(schema).parquet(_written[key])
+        return _written[key]
 
     def changes(self) -> DataFrame:
         """All change events, with `date` (local publish date) as partition."""
@@ -86,12 +89,16 @@ class Derived:
 
         return self._table("changes", f"{RECORD_DDL}, date date", write)
 
+    def _archive(self) -> str:
+        return self._folder("archive", lambda path: archive.archive_events(self.changes(), path, self.tz))
+
     def archive(self) -> DataFrame:
         """The event archive of every publish date."""
-        def write(path: str) -> None:
-            archive.archive_events(self.changes(), path, self.tz)
+        return archive.read_event_archive(self.spark, self._archive())
 
-        return self._table("archive", ddl(ARCHIVE_EVENT_TYPES), write)
+    def hours(self) -> DataFrame:
+        """The archive's sums per date and hour, which its run wrote beside it."""
+        return archive.read_hour_sums(self.spark, self._archive())
 
     def latest(self) -> DataFrame:
         """The view of latest states: one row per station."""
@@ -124,9 +131,9 @@ class Derived:
         since = self.changes().where(F.col("date") >= F.lit(self.day).cast("date"))
         return of_day(since, self.day, self.tz)
 
-    def archive_before(self) -> DataFrame:
-        """The archive of the days before the day."""
-        return self.archive().where(F.col("date") < F.lit(self.day).cast("date"))
+    def hours_before(self) -> DataFrame:
+        """The sums of the days before the day."""
+        return self.hours().where(F.col("date") < F.lit(self.day).cast("date"))
 
     def snapshot(self) -> DataFrame:
         return snapshot(self.latest(), self.flows())

@@ -242,6 +242,12 @@ BODIES = {
               WHEN "offset" % 20 = 16 THEN 'null_field' ELSE 'wrong_fields' END AS reason
   FROM wire WHERE "offset" % 20 IN (1, 4, 7, 10, 13, 16)""",
     "archive_events": f"SELECT {ARCHIVE} FROM changes",
+    "archive_run": """
+        SELECT CAST(count(DISTINCT date) AS BIGINT) AS dates, CAST(count(*) AS BIGINT) AS events,
+               CAST(coalesce(sum(greatest(-bikes_delta, 0)), 0) AS BIGINT) AS taken,
+               CAST(coalesce(sum(greatest(bikes_delta, 0)), 0) AS BIGINT) AS returned
+        FROM changes""",
+    "archive_repeats": f"SELECT {ARCHIVE} FROM changes",
     "archive_mirror": f"SELECT {ARCHIVE} FROM changes",
     "archive_backfill": f"""
   SELECT {ARCHIVE} FROM changes WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'""",

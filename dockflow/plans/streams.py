@@ -44,7 +44,10 @@ def _slices(rows: DataFrame, column: str, cuts: list[int]) -> list[DataFrame]:
 
 
 def _run(slices: list[DataFrame], path: str, start: Callable[[str], object]) -> None:
-    for rows in slices:
+    """Each slice lands twice, and once more with the next one."""
+    for before, rows in zip([None, *slices], slices):
+        rows = rows.unionByName(rows)
+        rows = rows.unionByName(before) if before is not None else rows
         writer = rows.write.mode("append")
         (writer.partitionBy("date") if "date" in rows.columns else writer).parquet(path)
         start(path).awaitTermination()
@@ -60,13 +63,22 @@ def _of_the_day(d: Derived) -> DataFrame:
     return _log_table(encode_log(d.changes()), d).where(F.col("publish_ts") < day_bounds(d.day, d.tz)[1])
 
 
+DELAY_HOURS = 36  # of polls behind the newest one
+
+
 def stream_changes(d: Derived) -> DataFrame:
+    """Polls land up to DELAY_HOURS late and so out of order; a last one without stations moves the clock."""
     path = new_dir(d.spark, "polls")
-    job = jobs.ChangeJob(d.spark, new_dir(d.spark, "stream-changes"), d.info, d.tz)
+    job = jobs.ChangeJob(d.spark, new_dir(d.spark, "stream-changes"), d.info, d.tz, f"{DELAY_HOURS} hours", state_partitions=4)
     polls = bindings.status_documents(d.facts())
-    for rows in _slices(polls, "lastUpdatedOther", _days(d)):
-        rows.write.mode("append").json(path)
+    late = F.pmod(F.xxhash64("offset"), F.lit(DELAY_HOURS * _HOUR))
+    arriving = polls.withColumn("arrival", F.col("lastUpdatedOther") + late)
+    for rows in _slices(arriving, "arrival", _days(d)):
+        rows.drop("arrival").write.mode("append").json(path)
         job.start(path).awaitTermination()
+    ahead = (F.max("lastUpdatedOther") + DELAY_HOURS * _HOUR + 1).alias("lastUpdatedOther")
+    polls.agg(ahead).withColumn("data", F.struct(F.expr("array()").alias("stations"))).write.mode("append").json(path)
+    job.start(path).awaitTermination()
     return job.changes.read().drop("batch_id")
 
 
@@ -111,9 +123,9 @@ def stream_replay_live(d: Derived) -> DataFrame:
     job = jobs.RelayJob(d.spark, new_dir(d.spark, "stream-relay"), d.day, d.tz)
     past, live = _slices(_log_table(encode_log(d.changes()), d), "publish_ts", _hours(d)[1:])
     path = new_dir(d.spark, "log")
-    past.write.partitionBy("date").parquet(path)
+    past.unionByName(past).write.partitionBy("date").parquet(path)
     job.replay(path).awaitTermination()
-    live.write.mode("append").partitionBy("date").parquet(path)
+    live.unionByName(live).unionByName(past).write.mode("append").partitionBy("date").parquet(path)
     job.follow(path).awaitTermination()
     minute = (F.col("ts") - F.pmod("ts", F.lit(60))).alias("t")
     fed, _ = decode_log(job.feed.read())

@@ -38,6 +38,10 @@ READING_SCHEMA = T.StructType(
     + [T.StructField("offset", T.LongType()), T.StructField("publish_ts", T.LongType())]
 )
 
+# The moving part of a reading: what change detection compares and shuffles.
+COUNTER_FIELDS = ["station_id", "ts", "last_reported", *TRACKED_FIELDS, *RECORD_FIELDS]
+COUNTER_SCHEMA = T.StructType([READING_SCHEMA[f] for f in COUNTER_FIELDS])
+
 # --- source documents ---------------------------------------------------------
 INFORMATION_SCHEMA = T.StructType([
     T.StructField("data", T.StructType([
@@ -114,6 +118,9 @@ ARCHIVE_WEATHER_TYPES = {
 }
 
 
+HOURS_TYPES = {"hour": "tinyint", "events": "bigint", "taken": "bigint", "returned": "bigint"}  # sums of a date's hour
+
+
 def ddl(types: dict[str, str]) -> str:
     """Archive schema as DDL, with the `date` partition column last."""
     return ", ".join(f"{name} {kind}" for name, kind in types.items()) + ", date date"
@@ -130,6 +137,6 @@ LOG_DDL = _ddl_of(LOG_SCHEMA)
 LOG_TABLE_DDL = f"{LOG_DDL}, date date, batch_id bigint"  # a log that jobs here wrote
 REJECTED_POLLS_DDL = "value string"
 REJECTED_DDL = f"{LOG_DDL}, reason string"
-STATE_DDL = _ddl_of(T.StructType([READING_SCHEMA[f] for f in ["station_id", *TRACKED_FIELDS]]))
+COUNTER_DDL = _ddl_of(COUNTER_SCHEMA)
 MINUTES_DDL = "t bigint, events bigint, taken bigint, returned bigint"
 FLOWS_DDL = "station_id bigint, taken bigint, returned bigint"

@@ -19,6 +19,47 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _path(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; the folder above its new place is made, and nothing may be there yet."""
+    fs, hadoop_path = _path(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(hadoop_path, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    fs, hadoop_path = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there whole or not at all: written beside its place and renamed."""
+    fs, hadoop_path = _path(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(hadoop_path, False)
+    if not fs.rename(beside, hadoop_path):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Files, bytes and newest change time below a path: tells whether input changed."""
     fs, hadoop_path = _path(spark, path)

@@ -43,7 +43,7 @@ def read_days(spark: SparkSession, servers: str, topic: str, first_day: date | s
 
 
 def publisher(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
-    """Sends the encoded records of a micro-batch to a topic; readers drop repeats by (station, ts)."""
+    """Sends the encoded records of a micro-batch to a topic, at least once; the views here do not mind repeats or drop them."""
     def publish(records: DataFrame, batch_id: int) -> None:
         (records.select("key", "value").write.format("kafka")
          .option("kafka.bootstrap.servers", servers).option("topic", topic)

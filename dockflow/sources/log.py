@@ -71,6 +71,11 @@ def decode_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good_events(checked), rejected_records(checked)
 
 
+def drop_repeats(events: DataFrame) -> DataFrame:
+    """Events without those that were written again: same station, time and offset."""
+    return events.dropDuplicates(["station_id", "ts", "offset"])
+
+
 def read_log_days(log: DataFrame, first_day: date | str, last_day: date | str | None = None,
                   tz: str = DEFAULT_TZ, partitioned: bool = False) -> DataFrame:
     """Records published within the local days, first and last included.

@@ -14,19 +14,21 @@ from pyspark.sql.streaming import StreamingQuery
 from dockflow.functions import station
 from dockflow.functions.clock import DEFAULT_TZ, day_bounds, local_date, local_day
 from dockflow.operators.activity import activity_minutes
-from dockflow.operators.changes import detect_changes
 from dockflow.operators.readings import counters, describe
-from dockflow.operators.state import latest_by
-from dockflow.schemas import (FLOWS_DDL, LOG_DDL, LOG_SCHEMA, MINUTES_DDL, RECORD_DDL, REJECTED_DDL,
-                              REJECTED_POLLS_DDL, STATE_DDL, TRACKED_FIELDS)
+from dockflow.schemas import (COUNTER_DDL, COUNTER_FIELDS, FLOWS_DDL, LOG_DDL, LOG_SCHEMA, MINUTES_DDL, RECORD_DDL,
+                              REJECTED_DDL, REJECTED_POLLS_DDL)
 from dockflow.sources import documents, files
 from dockflow.sources.log import (check_log, encode_log, good_events, monitor_line,
                                   rejected_records)
-from dockflow.streaming.queries import (MAX_FILES, log_stream, parse_polls, poll_stream,
+from dockflow.streaming.queries import (MAX_FILES, Chain, log_stream, parse_polls, poll_stream, reading_stream,
                                         start_query, state_session)
-from dockflow.streaming.tables import BatchTable, DatedTable, VersionedView
+from dockflow.streaming.station_state import changes_in_order
+from dockflow.streaming.tables import BatchTable, BucketView, DatedTable, UpdateTable
 
 POLL_INTERVAL = "60 seconds"
+DELAY = "10 minutes"  # how far behind the newest poll one may land
+REPEATS = ["station_id", "ts", "offset"]  # records that agree in these are one record that came again
+RETENTION = "7 days"  # how far a log reaches back
 WATERMARK = "25 hours"  # the longest local day
 AHEAD_S = 300  # an event this much later than its record, and of a later day, comes from a wrong clock
 
@@ -42,86 +44,106 @@ def records_of(spark: SparkSession, log: Log, max_files: int = MAX_FILES,
 class ChangeJob:
     """Change events of landed polls, with the last reading per station as state.
 
-    Writes the typed events and the log records that other jobs read, the log below the local
-    publish date; `publish` may send the records to a topic as well. A text that is no status
-    document goes to `rejected`.
-
-    The state is a table, so it outlives a restart and no station is reported
-    again. Within a batch the readings are ordered by time and cut into days by
-    `detect_changes`, which per-key state functions cannot do.
+    A first query parses polls and lands the counters of stations that are known by then; a text that is no status
+    document goes to `rejected`. A second one keeps the stations' state and compares readings in the order of their
+    time, also when polls land out of order, up to `delay` behind the newest one. Its typed events and log records go to
+    tables that other jobs read, the log below the local publish date; `publish` may send the records to a topic as
+    well. A restart reports no station again. Events come when the newest poll, with or without stations,
+    is `delay` ahead.
     """
 
     def __init__(self, spark: SparkSession, base: str, info: Callable[[], DataFrame],
-                 tz: str = DEFAULT_TZ, partitions: int | None = None,
+                 tz: str = DEFAULT_TZ, delay: str = DELAY, state_partitions: int | None = None,
                  publish: Callable[[DataFrame, int], None] | None = None):
         self.spark, self.base, self.info, self.tz = spark, base, info, tz
-        self.partitions, self.publish = partitions, publish
+        self.delay, self.publish = delay, publish
+        self.session = state_session(spark, state_partitions)
+        self.readings = BatchTable(spark, f"{base}/readings", COUNTER_DDL)
+        self.rejected = BatchTable(spark, f"{base}/rejected", REJECTED_POLLS_DDL)
         self.changes = BatchTable(spark, f"{base}/changes", RECORD_DDL)
         self.log = DatedTable(spark, f"{base}/log", LOG_DDL)
-        self.rejected = BatchTable(spark, f"{base}/rejected", REJECTED_POLLS_DDL)
-        self.state = VersionedView(spark, f"{base}/state", STATE_DDL, "station_id")
 
-    def handle(self, texts: DataFrame, batch_id: int) -> None:
+    def land(self, texts: DataFrame, batch_id: int) -> None:
         # Information is read anew for each batch; a broken document has no rows.
-        info = self.info().persist()
         polls = parse_polls(texts).persist()
         good = F.col("lastUpdatedOther").isNotNull() & F.col("data.stations").isNotNull()
         self.rejected.write(polls.where(~good).select(F.col("text").alias("value")), batch_id)
-        states = counters(documents.status_scan(polls.where(good))).join(
-            info.select("station_id"), "station_id", "left_semi").persist()
-        before = self.state.version(batch_id - 1)
-        events = describe(detect_changes(states, before, self.partitions), info)
-        self.changes.write(events, batch_id)
+        known = self.info().select("station_id")
+        states = counters(documents.status_scan(polls.where(good))).join(known, "station_id", "left_semi")
+        clock = polls.where(good).agg(F.max("lastUpdatedOther").alias("ts")).where("ts IS NOT NULL")
+        self.readings.write(states.select(*COUNTER_FIELDS).unionByName(clock, allowMissingColumns=True), batch_id)
+        polls.unpersist()
+
+    def emit(self, events: DataFrame, batch_id: int) -> None:
+        # Written once and read from there: each use of the batch itself runs the state operator anew.
+        self.changes.write(describe(events, self.info()), batch_id)
         records = encode_log(self.changes.batch(batch_id))
         self.log.write(records.withColumn("date", local_date(F.col("publish_ts"), self.tz)), batch_id)
         if self.publish:
             self.publish(records, batch_id)
-        last = latest_by(states.select("station_id", *TRACKED_FIELDS, "ts", "offset"),
-                         "station_id", ["ts", "offset"])
-        self.state.replace(last.select(*before.columns), batch_id)
-        for cached in (states, polls, info):
-            cached.unpersist()
 
-    def start(self, polls_path: str, interval: str | None = None,
-              max_files: int = MAX_FILES) -> StreamingQuery:
-        return start_query(poll_stream(self.spark, polls_path, max_files), self.handle,
-                           f"{self.base}/checkpoint", interval)
+    def start(self, polls_path: str, interval: str | None = None, max_files: int = MAX_FILES) -> Chain:
+        landing = start_query(poll_stream(self.spark, polls_path, max_files), self.land,
+                              f"{self.base}/checkpoint", interval)
+        if interval is None:
+            landing.awaitTermination()
+        files.make_dir(self.spark, self.readings.base)
+        readings = reading_stream(self.session, self.readings.base, max_files)
+        detecting = start_query(changes_in_order(readings, self.delay), self.emit, self.state_path(), interval)
+        return Chain(landing, detecting)
+
+    def state_path(self) -> str:
+        """The checkpoint of the query that holds the state."""
+        return f"{self.base}/state"
 
 
 # --- log to tables and views ------------------------------------------------------
+def first_of_repeats(checked: DataFrame) -> DataFrame:
+    """Checked records without those that came before, good or not.
+
+    Two good records are the same if station, time and offset agree, two bad ones if value and offset do. The keys of
+    RETENTION are kept; a record that lies further behind the newest one than a log reaches is left out.
+    """
+    keyed = checked.withColumns({
+        "station_id": F.col("event.station_id"), "ts": F.col("event.ts"),
+        "poison": F.when(F.col("reason").isNotNull(), F.col("value")),
+        "record_time": F.timestamp_seconds("publish_ts")}).withWatermark("record_time", RETENTION)
+    return keyed.dropDuplicatesWithinWatermark([*REPEATS, "poison"]).select(*checked.columns)
+
+
 class LogJob:
-    """Hands decoded events to a handler; rejected records go to a dead-letter table.
+    """Hands decoded events to a handler, each once; rejected records go to a dead-letter table.
 
-    A broken record never stops the stream: the position moves past it.
+    A broken record never stops the stream: the position moves past it. A handler that repeats do not
+    matter to may say so (`repeats`), which saves the state.
     """
 
     def __init__(self, spark: SparkSession, base: str,
-                 handler: Callable[[DataFrame, int], None] | None = None):
-        self.spark, self.base = spark, base
+                 handler: Callable[[DataFrame, int], None] | None = None, repeats: bool = False,
+                 state_partitions: int | None = None):
+        self.spark, self.base, self.repeats = spark, base, repeats
+        self.session = spark if repeats else state_session(spark, state_partitions)
         self.events = BatchTable(spark, f"{base}/events", RECORD_DDL)
         self.rejected = BatchTable(spark, f"{base}/rejected", REJECTED_DDL)
         self.handler = handler or self.events.write
 
-    def handle(self, records: DataFrame, batch_id: int) -> None:
-        checked = check_log(records).persist()
+    def handle(self, checked: DataFrame, batch_id: int) -> None:
+        checked = checked.persist()
         self.handler(good_events(checked), batch_id)
         self.rejected.write(rejected_records(checked), batch_id)
         checked.unpersist()
 
     def start(self, log: Log, interval: str | None = None,
               max_files: int = MAX_FILES) -> StreamingQuery:
-        return start_query(records_of(self.spark, log, max_files), self.handle,
+        checked = check_log(records_of(self.session, log, max_files))
+        return start_query(checked if self.repeats else first_of_repeats(checked), self.handle,
                            f"{self.base}/checkpoint", interval)
 
 
-def latest_view_job(spark: SparkSession, base: str) -> tuple[LogJob, VersionedView]:
+def latest_view_job(spark: SparkSession, base: str, buckets: int = 64) -> tuple[LogJob, BucketView]:
     """The view of latest states: whole rows replaced per station, replay changes nothing."""
-    view = VersionedView(spark, f"{base}/latest", RECORD_DDL, "station_id")
-
-    def upsert(events: DataFrame, batch_id: int) -> None:
-        view.upsert(events, batch_id, ["ts", "offset"])
-
-    return LogJob(spark, base, upsert), view
+    view = BucketView(spark, f"{base}/latest", RECORD_DDL, "station_id", ["ts", "offset"], buckets)
+    return LogJob(spark, base, view.upsert, repeats=True), view
 
 
 def start_monitor(spark: SparkSession, log: Log, checkpoint: str,
@@ -139,8 +161,9 @@ def start_monitor(spark: SparkSession, log: Log, checkpoint: str,
 class DayJob:
     """A running aggregate of the current local day, by event time.
 
-    Windows older than the watermark leave the state; the view starts afresh when an event of
-    the next local day arrives. Events far later than their own record and beyond its local day are
+    Windows older than the watermark leave the state; each batch adds its updates and reads nothing. The view is the last
+    update of each key and starts afresh when an event of the next local day arrives. A record that comes again, with the
+    same station, time and offset, counts once. Events far later than their own record and beyond its local day are
     left out, so a wrong clock cannot end the day; within that day all events count, as in batches.
     """
 
@@ -148,26 +171,23 @@ class DayJob:
                  state_partitions: int):
         self.spark, self.base, self.tz = spark, base, tz
         self.session = state_session(spark, state_partitions)
-        self.view = VersionedView(spark, f"{base}/view", schema, key)
-        self.updates = BatchTable(spark, f"{base}/updates", schema)
+        self.updates = UpdateTable(spark, base, schema, key)
 
     def aggregate(self, timed: DataFrame) -> DataFrame:
         raise NotImplementedError
 
     def handle(self, updates: DataFrame, batch_id: int) -> None:
-        # Written once and read from there: each use of the batch itself runs the state operator anew.
-        self.updates.write(updates.select(
-            F.unix_timestamp("window.start").alias("t"),
-            *[c for c in updates.columns if c != "window"]), batch_id)
-        rows = self.updates.batch(batch_id)
-        before = self.view.version(batch_id - 1)
-        newest = rows.select("t").unionByName(before.select("t")).agg(F.max("t")).first()[0]
-        if newest is not None:
-            start, _ = day_bounds(local_day(newest, self.tz), self.tz)
-            rows, before = rows.where(F.col("t") >= start), before.where(F.col("t") >= start)
-        kept = before.join(rows, self.view.key, "left_anti")
-        self.view.write(kept.unionByName(rows), batch_id)
-        files.delete(self.spark, self.updates.path(batch_id - 1))
+        rows = updates.select(F.unix_timestamp("window.start").alias("t"),
+                              *[c for c in updates.columns if c != "window"])
+        self.updates.write(rows, batch_id, self.of_newest_day)
+
+    def of_newest_day(self, rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max("t")).first()[0]
+        return rows if newest is None else rows.where(F.col("t") >= day_bounds(local_day(newest, self.tz), self.tz)[0])
+
+    def view(self) -> DataFrame:
+        """The rows of the newest local day, as they are now."""
+        return self.of_newest_day(self.updates.read())
 
     def start(self, log: Log, interval: str | None = None, max_files: int = MAX_FILES,
               since: date | str | None = None) -> StreamingQuery:
@@ -176,7 +196,7 @@ class DayJob:
         own_day = local_date(F.col("ts"), self.tz) <= local_date(F.col("publish_ts"), self.tz)
         timed = good.where(own_day | (F.col("ts") <= F.col("publish_ts") + AHEAD_S)).withColumn(
             "event_time", F.timestamp_seconds("ts")).withWatermark("event_time", WATERMARK)
-        return start_query(self.aggregate(timed), self.handle, f"{self.base}/checkpoint", interval,
+        return start_query(self.aggregate(timed.dropDuplicatesWithinWatermark(REPEATS)), self.handle, f"{self.base}/checkpoint", interval,
                            "update")
 
 
@@ -194,7 +214,7 @@ class FlowsJob(DayJob):
             F.sum(station.returned(delta)).alias("returned"))
 
     def flows(self) -> DataFrame:
-        return self.view.read().groupBy("station_id").agg(
+        return self.view().groupBy("station_id").agg(
             F.sum("taken").alias("taken"), F.sum("returned").alias("returned"))
 
 
@@ -212,20 +232,22 @@ class ActivityJob(DayJob):
             F.sum(station.returned(delta)).alias("returned"))
 
     def minutes(self) -> DataFrame:
-        return self.view.read()
+        return self.view()
 
 
 # --- replay and live feed -----------------------------------------------------------
 class RelayJob:
     """Rebuilds the day from the log, then follows it.
 
-    Both phases share one checkpoint and begin at the day's records. Replayed records feed the
+    Both phases share one checkpoint and begin at the day's records; a record that comes again counts and goes out once. Replayed records feed the
     minute buckets only; good records that arrive afterwards go to the live feed as well, whole and
     as they are.
     """
 
-    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ):
+    def __init__(self, spark: SparkSession, base: str, day: date | str, tz: str = DEFAULT_TZ,
+                 state_partitions: int | None = None):
         self.spark, self.base, self.day, self.tz = spark, base, day, tz
+        self.session = state_session(spark, state_partitions)
         self.partials = BatchTable(spark, f"{base}/minutes", MINUTES_DDL)
         self.feed = BatchTable(spark, f"{base}/feed", LOG_DDL)
 
@@ -234,16 +256,16 @@ class RelayJob:
             return None  # no log: the caller goes on with snapshot and archives only
         start, _ = day_bounds(self.day, self.tz)
 
-        def handle(records: DataFrame, batch_id: int) -> None:
-            checked = check_log(records.where(F.col("publish_ts") >= start)).persist()
+        def handle(checked: DataFrame, batch_id: int) -> None:
+            checked = checked.persist()
             self.partials.write(activity_minutes(good_events(checked), self.day, self.tz), batch_id)
             if live:
                 good = checked.where(F.col("reason").isNull())
                 self.feed.write(good.select(*LOG_SCHEMA.fieldNames()), batch_id)
             checked.unpersist()
 
-        return start_query(records_of(self.spark, log, max_files, self.day), handle,
-                           f"{self.base}/checkpoint", interval)
+        records = records_of(self.session, log, max_files, self.day).where(F.col("publish_ts") >= start)
+        return start_query(first_of_repeats(check_log(records)), handle, f"{self.base}/checkpoint", interval)
 
     def replay(self, log: Log, max_files: int = MAX_FILES) -> StreamingQuery | None:
         """Everything in the log up to now, without the live feed."""

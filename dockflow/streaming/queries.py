@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dockflow.schemas import LOG_SCHEMA, LOG_TABLE_DDL, STATUS_SCHEMA
+from dockflow.schemas import COUNTER_DDL, COUNTER_FIELDS, LOG_SCHEMA, LOG_TABLE_DDL, STATUS_SCHEMA
 from dockflow.sources import documents
 
 # Status documents as landed by the poller, with optional record metadata.
@@ -38,6 +38,13 @@ def poll_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> D
     return documents.split_documents(files)
 
 
+def reading_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
+    """Counters that a landing job wrote batch by batch."""
+    rows = (spark.readStream.schema(f"{COUNTER_DDL}, batch_id bigint").option("ignoreMissingFiles", True)
+            .option("maxFilesPerTrigger", max_files).parquet(path))
+    return rows.select(*COUNTER_FIELDS)
+
+
 def parse_polls(texts: DataFrame) -> DataFrame:
     """Status documents beside their text."""
     return documents.parse_documents(texts.withColumn("text", F.col("value")), POLL_SCHEMA)
@@ -57,15 +64,36 @@ def start_query(stream: DataFrame, handler: Callable[[DataFrame, int], None], ch
     return writer.start()
 
 
-def state_session(spark: SparkSession, state_partitions: int) -> SparkSession:
-    """A session of its own for a running aggregate.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a query with state, which RocksDB holds.
 
     The partitions of its state stay as they were at the first start, so they are chosen for the
     job and set where no other query sees them.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
-        if spark.conf.get(key, None):
-            session.conf.set(key, spark.conf.get(key))
-    session.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     return session
+
+
+class Chain:
+    """Queries of which each reads what the one before it wrote."""
+
+    def __init__(self, *queries: StreamingQuery):
+        self.queries = queries
+
+    @property
+    def isActive(self) -> bool:  # noqa: N802, as a query names it
+        return any(q.isActive for q in self.queries)
+
+    def awaitTermination(self) -> None:  # noqa: N802
+        for query in self.queries:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()

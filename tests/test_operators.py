@@ -314,14 +314,14 @@ def test_heat_and_map(spark):
 def test_history_of_a_day(spark, make_events, tmp_path):
     base = str(tmp_path / "events")
     archive.archive_events(make_events(at(8 * 3600, -2), at(8 * 3600 + 60, 3)), base)
-    stored = archive.read_event_archive(spark, base)
+    stored = archive.read_hour_sums(spark, base)
     assert one(history.history_daily(stored)) == {"date": DAY, "events": 2, "taken": 2, "returned": 3}
     assert rows(history.history_profile(stored)) == [(8, 2, 3)]
     assert one(history.archive_summary(stored)) == {"events": 2, "taken": 2, "returned": 3}
 
 
 def test_history_without_archives(spark, tmp_path):
-    none = archive.read_event_archive(spark, str(tmp_path / "none"))
+    none = archive.read_hour_sums(spark, str(tmp_path / "none"))
     assert history.history_daily(none).collect() == []
     assert history.history_profile(none).collect() == []
     minutes = spark.createDataFrame([], "t bigint, events bigint, taken bigint, returned bigint")
@@ -335,7 +335,7 @@ def test_profile_rounds_half_to_even_and_skips_absent_hours(spark):
             ("2026-07-01", 10, 4), ("2026-07-02", 10, 0)]   # second day does not count
     stored = spark.createDataFrame(data, "date string, hour int, bikes_delta int").withColumn(
         "date", F.col("date").cast("date"))
-    assert rows(history.history_profile(stored)) == [(10, 0, 4), (8, 2, 0), (9, 2, 0)]
+    assert rows(history.history_profile(archive.hour_sums(stored))) == [(10, 0, 4), (8, 2, 0), (9, 2, 0)]
 
 
 def test_weather_daily(spark):

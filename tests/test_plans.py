@@ -33,14 +33,21 @@ def test_readings_are_shuffled_by_station_and_chunk(spark, derived, threshold):
     lines = text.splitlines()
     window = next(i for i, line in enumerate(lines) if "Window [lag(" in line)
     exchange = next(line for line in lines[window:] if "Exchange " in line)
-    assert "hashpartitioning(station_id" in exchange and ", chunk" in exchange
+    assert "hashpartitioning(station_id" in exchange and ", _chunk" in exchange
     # names and places are not in the shuffled rows
-    union = next(line for line in lines[window:] if "Union" in line)
-    assert lines.index(union) > window
-    below = "\n".join(lines[window:lines.index(union)])
+    below = "\n".join(lines[window:lines.index(exchange)])
     assert "station_code" not in below and "capacity" not in below
 
 
+def test_changes_read_their_source_once(spark, derived):
+    """The two windows of change detection share the shuffle of the readings."""
+    df = derived.detected()
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]  # how it ran in the end
+    assert "isFinalPlan=true" in text and "ReusedExchange" in text
+    assert text.count("FileScan parquet [event_id") == 1
+
+
 def test_day_queries_read_few_partitions(derived):
     text = plan(derived.changes_today())
     assert "date#" in text.split("PartitionFilters: [")[1].split("]")[0]
@@ -51,7 +58,7 @@ def test_the_shuffle_of_readings_follows_the_input(spark, derived, monkeypatch):
     """Of the change detection alone, without a shared table being asked for first."""
     fresh = Derived(spark, SF_DIR)
     monkeypatch.setattr(fresh, "source_bytes", lambda: 300 * 256 * 1024 ** 2)
-    line = next(x for x in plan(fresh.detected()).splitlines() if ", chunk" in x and "hashpartitioning" in x)
+    line = next(x for x in plan(fresh.detected()).splitlines() if ", _chunk" in x and "hashpartitioning" in x)
     assert ", 300)" in line and int(spark.conf.get("spark.sql.shuffle.partitions")) < 300
 
 
@@ -78,10 +85,10 @@ def test_a_day_of_an_encoded_log_is_read_alone(spark, derived, tmp_path):
     assert one.count() == 2 * records.where(F.col("date") == str(day)).count() > 0
 
 
-def test_history_reads_two_columns(derived):
-    text = plan(PLANS["history_profile"](derived))
-    assert "ReadSchema: struct<hour:tinyint,bikes_delta:smallint>" in text
-    assert "Not(EqualTo(bikes_delta,0))" in text
+@pytest.mark.parametrize("name", ["history_daily", "history_profile", "archive_summary", "today_vs_average", "day_projection"])
+def test_histories_read_sums_and_no_events(derived, name):
+    text = plan(PLANS[name](derived))
+    assert "/_hours" in text and "bikes_delta" not in text
 
 
 def test_lists_are_taken_in_order_without_a_full_sort(derived):

@@ -188,6 +188,66 @@ def test_archive_write_read_and_rerun(spark, make_events, tmp_path):
     assert archive.read_event_archive(spark, mirror).count() == 3
 
 
+def test_a_run_that_fails_between_dates_leaves_the_old_archive(spark, make_events, tmp_path, monkeypatch):
+    base = str(tmp_path / "events")
+    days = [dict(ts=START + n * 86400 + 60, bikes_delta=n - 1) for n in range(3)]
+    archive.archive_events(make_events(*days[:2]), base)
+    before = rows(archive.read_event_archive(spark, base)), rows(archive.read_hour_sums(spark, base))
+    move, moved = files.move, []
+
+    def failing(spark, path, to):
+        moved.append(to)
+        if len(moved) == 4:
+            raise OSError("the store went away")
+        move(spark, path, to)
+
+    changed = make_events(*[{**d, "station_id": 9, "bikes_delta": 5} for d in days])
+    monkeypatch.setattr(files, "move", failing)
+    with pytest.raises(OSError, match="went away"):
+        archive.archive_events(changed, base)
+    monkeypatch.setattr(files, "move", move)
+    assert (rows(archive.read_event_archive(spark, base)), rows(archive.read_hour_sums(spark, base))) == before
+    archive.archive_events(changed, base)
+    assert rows(archive.read_event_archive(spark, base), "station_id") == [(9,)] * 3
+    assert sorted(p.name for p in (tmp_path / "events").iterdir() if p.name.startswith("_")) == ["_hours"]
+
+
+def test_a_crash_between_dates_is_undone_by_the_next_reader(spark, make_events, tmp_path, monkeypatch):
+    base = str(tmp_path / "events")
+    days = [dict(ts=START + n * 86400 + 60, bikes_delta=1) for n in range(3)]
+    archive.archive_events(make_events(*days[:2]), base)
+    before = rows(archive.read_event_archive(spark, base)), rows(archive.read_hour_sums(spark, base))
+    for stop in (1, 2, 3, 5, 6):
+        move, moved = files.move, []
+
+        def dying(spark, path, to):
+            moved.append(to)
+            if len(moved) == stop:  # noqa: B023
+                raise KeyboardInterrupt
+            move(spark, path, to)  # noqa: B023
+
+        monkeypatch.setattr(files, "move", dying)
+        with pytest.raises(KeyboardInterrupt):
+            archive.archive_events(make_events(*[{**d, "station_id": 9} for d in days]), base)
+        monkeypatch.setattr(files, "move", move)
+        assert (rows(archive.read_event_archive(spark, base)), rows(archive.read_hour_sums(spark, base))) == before
+
+
+def test_runs_count_while_they_write(spark, make_events, tmp_path):
+    events = make_events(dict(ts=START + 60, bikes_delta=-2), dict(ts=START + 61, bikes_delta=3), dict(ts=START + 86400, bikes_delta=0))
+    mirror = str(tmp_path / "mirror")
+    archive.archive_events(make_events(dict(ts=START - 86400)), str(tmp_path / "events"), mirror_base=None)
+    run = archive.archive_events(events, str(tmp_path / "events"), mirror_base=mirror)
+    assert run.dates == ["2026-07-18", "2026-07-19"] and run.totals == {"events": 3, "taken": 2, "returned": 3}
+    assert sorted(p.name for p in (tmp_path / "mirror").glob("date=*")) == ["date=2026-07-18", "date=2026-07-19"]  # of this run only
+    assert rows(archive.read_hour_sums(spark, mirror), "hour", "events", "taken", "returned") == [(0, 1, 0, 0), (0, 2, 2, 3)]
+    hours = spark.createDataFrame([(1, 2, 0.5, 11.0, 1.0, 40.0, 3, DAY), (2, 3, 0.25, 9.0, 1.0, 40.0, 3, DAY)],
+                                  "ts bigint, hour int, precipitation double, temperature double, wind_speed double, humidity double, "
+                                  "weather_code int, date string").withColumn("date", F.col("date").cast("date"))
+    weather = archive.archive_weather(hours, str(tmp_path / "weather"), DAY, "2026-07-19")
+    assert archive.weather_totals(weather) == [(DAY, 0.75, 9.0, 11.0)]
+
+
 def test_archive_files_are_sorted_by_time(spark, make_events, tmp_path):
     base = str(tmp_path / "events")
     events = make_events(*[dict(station_id=i, ts=START + (i * 7919) % 3600) for i in range(200)])

@@ -10,7 +10,8 @@ from dockflow.sources.log import encode_log
 from dockflow.sources import kafka
 from dockflow.streaming import jobs
 from dockflow.streaming.queries import poll_stream
-from dockflow.streaming.tables import VersionedView
+from dockflow.schemas import LOG_DDL
+from dockflow.streaming.tables import BucketView, UpdateTable
 
 INFO = [(i, f"160{i:02d}", f"S{i}", 48.8, 2.3, 20) for i in range(1, 9)]
 INFO_DDL = "station_id bigint, station_code string, name string, lat double, lon double, capacity int"
@@ -27,7 +28,7 @@ def poll(ts, offset, *stations):
 def poller(spark, tmp_path):
     (tmp_path / "polls").mkdir()
     info = spark.createDataFrame(INFO, INFO_DDL)
-    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info)
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info, delay="0 seconds", state_partitions=2)
 
     def run(name, *lines):
         (tmp_path / "polls" / f"{name}.json").write_text("\n".join(lines))
@@ -60,7 +61,7 @@ def test_rows_of_a_batch_are_ordered_by_time(poller):
 def test_stream_equals_batch(poller, make_readings):
     rng = random.Random(3)
     polls = [(60 * i, i, [(sid, rng.randint(0, 3)) for sid in range(1, 9) if rng.random() < 0.7])
-             for i in range(30)]
+             for i in range(1, 31)]
     for n, part in enumerate((polls[:7], polls[7:8], polls[8:])):
         job = poller(str(n), *[poll(ts, o, *stations) for ts, o, stations in part])
     flat = [dict(station_id=sid, ts=ts, offset=o, bikes_available=b, docks_available=20 - b,
@@ -119,34 +120,65 @@ def test_texts_that_are_no_documents_are_kept(poller):
     assert [r["value"].strip() for r in job.rejected.read().collect()] == ['{"lastUpdatedOther": 90, "data":']
 
 
-def test_repeated_batch_changes_nothing(spark, tmp_path):
+def test_polls_that_land_late_meet_their_true_predecessor(spark, tmp_path):
+    """Any order of arrival within the delay gives the events of the batch."""
     info = spark.createDataFrame(INFO, INFO_DDL)
-    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info)
-    batches = [spark.createDataFrame([(poll(ts, n, (1, bikes)),)], "value string")
-               for ts, n, bikes in ((60, 1, 5), (120, 2, 7))]
-    job.handle(batches[0], 0)
-    job.handle(batches[1], 1)
-    once = emitted(job)
-    job.handle(batches[1], 1)
-    assert emitted(job) == once == [(1, 120, 2), (1, 60, 0)] and job.log.read().count() == 2
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info, delay="10 minutes", state_partitions=2)
+    (tmp_path / "polls").mkdir()
+    order = [(1000, 1, 5), (1120, 3, 9), (1060, 2, 7), (1180, 4, 9), (1150, 5, 8), (1060, 2, 7)]
+    for n, (ts, offset, bikes) in enumerate([*order, (3000, 9, None)]):  # the last poll has no stations
+        stations = [] if bikes is None else [(1, bikes)]
+        (tmp_path / "polls" / f"{n}.json").write_text(poll(ts, offset, *stations))
+        job.start(str(tmp_path / "polls")).awaitTermination()
+        if n == 3:
+            assert emitted(job) == []  # all may still have predecessors on the way
+    assert emitted(job) == [(1, 1000, 0), (1, 1060, 2), (1, 1120, 2), (1, 1150, -1), (1, 1180, 1)]
+
+
+def test_shuffled_and_repeated_polls_equal_batch(spark, tmp_path, make_readings):
+    rng = random.Random(11)
+    polls = [(60 * i, i, [(sid, rng.randint(0, 3)) for sid in range(1, 9) if rng.random() < 0.7]) for i in range(1, 41)]
+    arriving = sorted([*polls, *polls[::3]], key=lambda p: p[0] + rng.randint(0, 600))
+    info = spark.createDataFrame(INFO, INFO_DDL)
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info, delay="601 seconds", state_partitions=2)
+    (tmp_path / "polls").mkdir()
+    for n in range(0, len(arriving), 18):
+        lines = [poll(ts, o, *stations) for ts, o, stations in arriving[n:n + 18]]
+        (tmp_path / "polls" / f"{n}.json").write_text("\n".join(lines))
+        job.start(str(tmp_path / "polls")).awaitTermination()
+    (tmp_path / "polls" / "end.json").write_text(poll(9000, 99))
+    job.start(str(tmp_path / "polls")).awaitTermination()
+    flat = [dict(station_id=sid, ts=ts, offset=o, bikes_available=b, docks_available=20 - b,
+                 mechanical=b, ebike=0) for ts, o, stations in polls for sid, b in stations]
+    assert emitted(job) == rows(changes.detect_changes(make_readings(*flat)), "station_id", "ts", "bikes_delta")
 
 
-def test_a_missing_version_is_an_error(spark, tmp_path):
-    from pyspark.errors import AnalysisException
+def test_repeated_batch_changes_nothing(spark, tmp_path, make_events):
+    info = spark.createDataFrame(INFO, INFO_DDL)
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info)
+    texts = spark.createDataFrame([(poll(60, 1, (1, 5)),)], "value string")
+    for _ in range(2):
+        job.land(texts, 0)
+        job.emit(make_events(dict(station_id=1, ts=60)).drop("station_code", "name", "lat", "lon", "capacity"), 0)
+    assert rows(job.readings.read(), "station_id", "ts") == [(1, 60), (None, 60)]
+    assert job.changes.read().count() == job.log.read().count() == 1
 
-    view = VersionedView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k")
+
+def test_a_missing_manifest_is_an_error(spark, tmp_path):
+    view = BucketView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k", ["n"])
     one = spark.createDataFrame([(1, 1)], "k bigint, n bigint")
-    view.replace(one, 0)
-    with pytest.raises(AnalysisException):
-        view.replace(one, 5)
+    view.upsert(one, 0)
+    with pytest.raises(Exception, match="FileNotFound|does not exist"):
+        view.upsert(one, 5)
 
 
-def test_records_are_published_as_well(spark, tmp_path):
+def test_records_are_published_as_well(spark, tmp_path, make_events):
     sent = []
     info = spark.createDataFrame(INFO, INFO_DDL)
     job = jobs.ChangeJob(spark, str(tmp_path / "job"), lambda: info,
                          publish=lambda records, batch: sent.append((batch, records.count())))
-    job.handle(spark.createDataFrame([(poll(60, 1, (1, 5), (2, 5)),)], "value string"), 0)
+    events = make_events(dict(station_id=1), dict(station_id=2))
+    job.emit(events.drop("station_code", "name", "lat", "lon", "capacity"), 0)
     assert sent == [(0, 2)]
 
 
@@ -221,13 +253,71 @@ def test_latest_view_is_idempotent_and_rebuilt_by_replay(spark, make_events, tmp
     assert rows(rebuilt.read(), *columns) == want
 
 
-def test_versioned_view_keeps_two_versions(spark, tmp_path):
-    view = VersionedView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k")
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    view = BucketView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k", ["n"], buckets=8)
+    make = lambda *r: spark.createDataFrame(list(r), "k bigint, n bigint")
     assert view.read().count() == 0
-    for batch in range(4):
-        view.replace(spark.createDataFrame([(batch % 2, batch)], "k bigint, n bigint"), batch)
-    assert sorted(p.name for p in (tmp_path / "v").iterdir()) == ["v=2", "v=3"]
-    assert rows(view.read()) == [(0, 2), (1, 3)]
+    view.upsert(make(*[(k, 0) for k in range(100)]), 0)
+    folders = lambda: sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "v").glob("batch=*/bucket=*"))
+    assert len(folders()) == 8
+    files_before = {p: p.stat().st_mtime_ns for p in (tmp_path / "v").rglob("*.parquet")}
+    view.upsert(make((7, 5), (7, 3)), 1)
+    assert len([f for f in folders() if "batch=1" in f]) == 1
+    assert all(p.stat().st_mtime_ns == t for p, t in files_before.items())
+    want = sorted([(k, 0) for k in range(100) if k != 7] + [(7, 5)])
+    assert rows(view.read()) == sorted(want, key=repr)
+    view.upsert(make((7, 5), (7, 3)), 1)  # the batch is run again
+    assert rows(view.read()) == sorted(want, key=repr)
+    for batch in range(2, 6):
+        view.upsert(make((7, batch + 10)), batch)
+    assert dict(rows(view.read()))[7] == 15 and view.read().count() == 100
+    assert sorted(p.name for p in (tmp_path / "v" / "manifests").glob("*.json")) == ["4.json", "5.json"]
+
+
+def test_updates_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(UpdateTable, "COMPACT", 3)
+    table = UpdateTable(spark, str(tmp_path / "u"), "k bigint, n bigint", ["k"])
+    assert table.read().count() == 0
+    for batch in range(8):
+        update = spark.createDataFrame([(batch % 2, batch), (9, -batch)], "k bigint, n bigint")
+        for _ in range(2):  # a repeated batch replaces its own
+            table.write(update, batch, lambda rows: rows)
+        assert dict(rows(table.read())) == {k: v for k, v in ((0, batch - batch % 2), (1, batch - (batch + 1) % 2), (9, -batch)) if v >= 0 or k == 9}
+    assert [p.name for p in (tmp_path / "u" / "compacted").iterdir() if p.is_dir()] == ["v=5"]
+    assert sorted(p.name for p in (tmp_path / "u" / "updates").iterdir() if p.is_dir()) == ["batch_id=6", "batch_id=7"]
+
+
+def test_records_that_come_again_count_once(spark, make_events, tmp_path):
+    """The log with each record twice and in any order gives what the log with each record once gives."""
+    rng = random.Random(8)
+    data = [dict(station_id=rng.randint(1, 3), ts=START + rng.randint(0, 3000), bikes_delta=rng.randint(-2, 2), offset=i)
+            for i in range(60)]
+    path = str(tmp_path / "log")
+    log = jobs.LogJob(spark, str(tmp_path / "log-job"), state_partitions=2)
+    flows = jobs.FlowsJob(spark, str(tmp_path / "flows"), state_partitions=2)
+    minutes = jobs.ActivityJob(spark, str(tmp_path / "minutes"), state_partitions=2)
+    relay = jobs.RelayJob(spark, str(tmp_path / "relay"), DAY, state_partitions=2)
+    for part in (data[:30] + data[:10], data[20:] + data[::2], data):
+        part = list(part)
+        rng.shuffle(part)
+        land(make_events(*part), path)
+        for job in (log, flows, minutes):
+            job.start(path).awaitTermination()
+        relay.follow(path).awaitTermination()
+    events = make_events(*data)
+    assert rows(flows.flows()) == rows(activity.station_flows(events, DAY))
+    assert rows(minutes.minutes()) == rows(relay.minutes()) == rows(activity.activity_minutes(events, DAY))
+    assert rows(log.events.read(), "offset") == sorted([(i,) for i in range(60)], key=repr) == rows(relay.feed.read(), "offset")
+
+
+def test_repeated_poison_is_rejected_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    record = spark.createDataFrame([("1", "{", 0, 5, 60), ("1", "[", 0, 5, 60), ("1", "{", 0, 5, 60)], LOG_DDL)
+    job = jobs.LogJob(spark, str(tmp_path / "job"), state_partitions=2)
+    for _ in range(2):
+        record.write.mode("append").parquet(path)
+        job.start(path).awaitTermination()
+    assert rows(job.rejected.read(), "value") == [("[",), ("{",)]
 
 
 def test_poison_does_not_stop_the_log(spark, make_events, tmp_path):
