@@ -116,8 +116,10 @@ class UpdateTable:
 
     def write(self, rows: DataFrame, batch_id: int, keep: Callable[[DataFrame], DataFrame]) -> None:
         """`keep` picks the rows that a compaction takes over."""
+        if self._compacted() >= batch_id:
+            return  # a repeated batch that is in there
         rows.write.mode("overwrite").parquet(f"{self.base}/updates/batch_id={batch_id}")
-        if batch_id % self.COMPACT == self.COMPACT - 1 and self._compacted() < batch_id:
+        if batch_id % self.COMPACT == self.COMPACT - 1:
             keep(self.read()).write.mode("overwrite").parquet(f"{self.base}/compacted/v={batch_id}")
             for name in files.names(self.spark, f"{self.base}/updates"):
                 if int(name.removeprefix("batch_id=")) <= batch_id:
