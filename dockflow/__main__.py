@@ -27,6 +27,7 @@ from dockflow.session import build_session
 from dockflow.sources import archive, documents, kafka, log
 from dockflow.streaming import jobs
 from dockflow.streaming.queries import MAX_FILES
+from dockflow.streaming.supervisor import Supervisor
 
 
 def chosen_days(days: list[str], tz: str) -> tuple[date, date]:
@@ -78,19 +79,24 @@ def run_changes(spark: SparkSession, args) -> None:
 
     publish = kafka.publisher(args.servers, args.topic) if args.topic else None
     job = jobs.ChangeJob(spark, args.base, info, args.tz, publish=publish)
-    job.start(args.polls, args.interval, args.max_files).awaitTermination()
+    _keep_going(spark, args, lambda: job.start(args.polls, args.interval, args.max_files))
+
+
+def _keep_going(spark: SparkSession, args, start) -> None:
+    """A job at an interval is started again when it fails; one that works off what is there fails."""
+    Supervisor(spark, start, args.base, attempts=None if args.interval else 1).run()
 
 
 def run_latest(spark: SparkSession, args) -> None:
     job, _ = jobs.latest_view_job(spark, args.base)
-    job.start(stream_of(spark, args), args.interval, args.max_files).awaitTermination()
+    _keep_going(spark, args, lambda: job.start(stream_of(spark, args), args.interval, args.max_files))
 
 
 def _run_day_job(kind: type[jobs.DayJob]):
     def run(spark: SparkSession, args) -> None:
         job = kind(spark, args.base, args.tz, state_partitions=args.state_partitions)
         source = stream_of(job.session, args, args.since)
-        job.start(source, args.interval, args.max_files, args.since).awaitTermination()
+        _keep_going(spark, args, lambda: job.start(source, args.interval, args.max_files, args.since))
 
     return run
 

@@ -69,9 +69,10 @@ class Derived:
 
     # --- written once ---------------------------------------------------------
     def _table(self, name: str, schema: str, write: Callable[[str], None]) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._folder(name, write))
+        return self.spark.read.schema(schema).parquet(self.folder(name, write))
 
-    def _folder(self, name: str, write: Callable[[str], None]) -> str:
+    def folder(self, name: str, write: Callable[[str], None]) -> str:
+        """Where something lies that is written once for these sources and this session."""
         fit_shuffles(self.spark, self.source_bytes())
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
                name, self._sources)
@@ -90,7 +91,7 @@ class Derived:
         return self._table("changes", f"{RECORD_DDL}, date date", write)
 
     def _archive(self) -> str:
-        return self._folder("archive", lambda path: archive.archive_events(self.changes(), path, self.tz))
+        return self.folder("archive", lambda path: archive.archive_events(self.changes(), path, self.tz))
 
     def archive(self) -> DataFrame:
         """The event archive of every publish date."""

@@ -456,6 +456,10 @@ BODIES = {
         FROM profile_before)""",
     # streams: the batch results; those of the day work on the log as it is when the day ends
     "stream_changes": f'SELECT {EVENT}, "offset", publish_ts FROM changes',
+    "stream_state": """
+        SELECT station_id, ts, last_reported, mechanical, ebike, bikes_available, docks_available, is_installed, is_renting,
+               is_returning, "offset", publish_ts
+        FROM readings QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY ts DESC, "offset" DESC) = 1""",
     "stream_log_source": f"""
   SELECT {EVENT}, "offset", publish_ts FROM changes
   WHERE "offset" % 20 NOT IN (1, 4, 7, 10, 13, 16)""",

@@ -66,20 +66,32 @@ def _of_the_day(d: Derived) -> DataFrame:
 DELAY_HOURS = 36  # of polls behind the newest one
 
 
-def stream_changes(d: Derived) -> DataFrame:
+def _change_job(d: Derived) -> jobs.ChangeJob:
     """Polls land up to DELAY_HOURS late and so out of order; a last one without stations moves the clock."""
-    path = new_dir(d.spark, "polls")
-    job = jobs.ChangeJob(d.spark, new_dir(d.spark, "stream-changes"), d.info, d.tz, f"{DELAY_HOURS} hours", state_partitions=4)
-    polls = bindings.status_documents(d.facts())
-    late = F.pmod(F.xxhash64("offset"), F.lit(DELAY_HOURS * _HOUR))
-    arriving = polls.withColumn("arrival", F.col("lastUpdatedOther") + late)
-    for rows in _slices(arriving, "arrival", _days(d)):
-        rows.drop("arrival").write.mode("append").json(path)
-        job.start(path).awaitTermination()
-    ahead = (F.max("lastUpdatedOther") + DELAY_HOURS * _HOUR + 1).alias("lastUpdatedOther")
-    polls.agg(ahead).withColumn("data", F.struct(F.expr("array()").alias("stations"))).write.mode("append").json(path)
-    job.start(path).awaitTermination()
-    return job.changes.read().drop("batch_id")
+    def job(base: str) -> jobs.ChangeJob:
+        return jobs.ChangeJob(d.spark, base, d.info, d.tz, f"{DELAY_HOURS} hours", state_partitions=4)
+
+    def work(base: str) -> None:
+        path = new_dir(d.spark, "polls")
+        polls = bindings.status_documents(d.facts())
+        late = F.pmod(F.xxhash64("offset"), F.lit(DELAY_HOURS * _HOUR))
+        arriving = polls.withColumn("arrival", F.col("lastUpdatedOther") + late)
+        ahead = (F.max("lastUpdatedOther") + DELAY_HOURS * _HOUR + 1).alias("lastUpdatedOther")
+        end = polls.agg(ahead).withColumn("data", F.struct(F.expr("array()").alias("stations")))
+        for rows in [*_slices(arriving, "arrival", _days(d)), end]:
+            rows.drop("arrival").write.mode("append").json(path)
+            job(base).start(path).awaitTermination()
+
+    return job(d.folder("stream-changes", work))
+
+
+def stream_changes(d: Derived) -> DataFrame:
+    return _change_job(d).changes.read().drop("batch_id")
+
+
+def stream_state(d: Derived) -> DataFrame:
+    """The last reading per station, read from the state of the change job."""
+    return _change_job(d).last_readings()
 
 
 def stream_log_source(d: Derived) -> DataFrame:
@@ -136,6 +148,7 @@ def stream_replay_live(d: Derived) -> DataFrame:
 
 STREAMS = {
     "stream_changes": stream_changes,
+    "stream_state": stream_state,
     "stream_log_source": stream_log_source,
     "stream_latest_view": stream_latest_view,
     "stream_flows": stream_flows,

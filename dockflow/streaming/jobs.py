@@ -22,7 +22,7 @@ from dockflow.sources.log import (check_log, encode_log, good_events, monitor_li
                                   rejected_records)
 from dockflow.streaming.queries import (MAX_FILES, Chain, log_stream, parse_polls, poll_stream, reading_stream,
                                         start_query, state_session)
-from dockflow.streaming.station_state import changes_in_order
+from dockflow.streaming.station_state import changes_in_order, last_readings
 from dockflow.streaming.tables import BatchTable, BucketView, DatedTable, UpdateTable
 
 POLL_INTERVAL = "60 seconds"
@@ -96,6 +96,10 @@ class ChangeJob:
         """The checkpoint of the query that holds the state."""
         return f"{self.base}/state"
 
+    def last_readings(self) -> DataFrame:
+        """The last reading per station, as the state holds it."""
+        return last_readings(self.session, self.state_path())
+
 
 # --- log to tables and views ------------------------------------------------------
 def first_of_repeats(checked: DataFrame) -> DataFrame:

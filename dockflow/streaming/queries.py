@@ -91,8 +91,16 @@ class Chain:
         return any(q.isActive for q in self.queries)
 
     def awaitTermination(self) -> None:  # noqa: N802
-        for query in self.queries:
-            query.awaitTermination()
+        """Until all have ended; if one fails, the others are stopped and its error is raised."""
+        try:
+            while self.isActive:
+                for query in self.queries:
+                    query.awaitTermination(1)
+            for query in self.queries:
+                query.awaitTermination()
+        except Exception:
+            self.stop()
+            raise
 
     def stop(self) -> None:
         for query in self.queries:

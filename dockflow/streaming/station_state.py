@@ -8,7 +8,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dockflow.schemas import COUNTER_SCHEMA, TRACKED_FIELDS
@@ -76,3 +76,9 @@ def changes_in_order(readings: DataFrame, delay: str) -> DataFrame:
     timed = readings.withColumn("event_time", F.timestamp_seconds("ts")).withWatermark("event_time", delay)
     return timed.groupBy("station_id").transformWithState(
         StationChanges(), EMITTED, outputMode="Append", timeMode="EventTime")
+
+
+def last_readings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The reading of each station that was released last, out of a query's checkpoint; readings that wait are not in it."""
+    store = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "last").load()
+    return store.select("key.station_id", *[f"value.{c}" for c in FIELDS if c != "station_id"])

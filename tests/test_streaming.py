@@ -11,6 +11,7 @@ from dockflow.sources import kafka
 from dockflow.streaming import jobs
 from dockflow.streaming.queries import poll_stream
 from dockflow.schemas import LOG_DDL
+from dockflow.streaming.supervisor import Supervisor
 from dockflow.streaming.tables import BucketView, UpdateTable
 
 INFO = [(i, f"160{i:02d}", f"S{i}", 48.8, 2.3, 20) for i in range(1, 9)]
@@ -433,3 +434,39 @@ def test_micro_batches_are_bounded(spark, tmp_path):
                              str(tmp_path / "cp"))
     query.awaitTermination()
     assert seen == [2, 2, 1]
+
+
+def test_a_source_that_fails_once_is_started_again(spark, tmp_path):
+    """The tick is made up for, the state survives, and the failure is a row."""
+    (tmp_path / "polls").mkdir()
+    info = spark.createDataFrame(INFO, INFO_DDL)
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) == 3:  # while the second poll is landed
+            raise OSError("the feed is away")
+        return info
+
+    job = jobs.ChangeJob(spark, str(tmp_path / "job"), flaky, delay="0 seconds", state_partitions=2)
+    for n, bikes in enumerate((5, 3, 4)):
+        (tmp_path / "polls" / f"{n}.json").write_text(poll(60 * (n + 1), n, (1, bikes)))
+        keeper = Supervisor(spark, lambda: job.start(str(tmp_path / "polls")), str(tmp_path / "job"), first=0.01)
+        keeper.run()
+    assert emitted(job) == [(1, 120, -2), (1, 180, 1), (1, 60, 0)]
+    assert [("the feed is away" in r["message"], r["attempt"]) for r in keeper.failures.read().collect()] == [(True, 0)]
+    assert rows(job.last_readings(), "station_id", "ts", "bikes_available") == [(1, 180, 4)]
+
+
+def test_a_job_that_keeps_failing_waits_longer_and_gives_up(spark, tmp_path, monkeypatch):
+    waits = []
+
+    class Broken:
+        def awaitTermination(self):  # noqa: N802
+            raise OSError("no broker")
+
+    keeper = Supervisor(spark, Broken, str(tmp_path / "job"), first=2, longest=10, attempts=5)
+    monkeypatch.setattr(keeper.stopped, "wait", waits.append)
+    with pytest.raises(OSError, match="no broker"):
+        keeper.run()
+    assert waits == [2, 4, 8, 10] and keeper.failures.read().count() == 5
