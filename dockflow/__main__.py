@@ -78,7 +78,7 @@ def run_changes(spark: SparkSession, args) -> None:
             documents.read_documents(spark, args.info, INFORMATION_SCHEMA))
 
     publish = kafka.publisher(args.servers, args.topic) if args.topic else None
-    job = jobs.ChangeJob(spark, args.base, info, args.tz, publish=publish)
+    job = jobs.ChangeJob(spark, args.base, info, args.tz, args.delay, args.state_partitions, publish)
     _keep_going(spark, args, lambda: job.start(args.polls, args.interval, args.max_files))
 
 
@@ -143,7 +143,9 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--max-files", type=int, default=MAX_FILES, help="bound of a micro-batch")
         return sub
 
-    command("changes", run_changes, "polls", "info", "base", stream=True)
+    sub = command("changes", run_changes, "polls", "info", "base", stream=True)
+    sub.add_argument("--delay", default=jobs.DELAY, help="how far behind the newest poll one may land")
+    sub.add_argument("--state-partitions", type=int, help="partitions of the stations' state, fixed at the first start")
     command("latest", run_latest, "base", stream=True, reads_log=True)
     for name, kind in (("flows", jobs.FlowsJob), ("activity", jobs.ActivityJob)):
         sub = command(name, _run_day_job(kind), "base", stream=True, reads_log=True)

@@ -26,7 +26,7 @@ def test_polls_to_archive(spark, tmp_path, capsys):
     polls.mkdir()
     (polls / "a.json").write_text(poll(START + 60, 1, (1, 5), (2, 4)) + "\n" + poll(START + 120, 2, (1, 3)))
     base = str(tmp_path / "job")
-    main(["changes", "--polls", str(polls), "--info", info, "--base", base], spark)
+    main(["changes", "--polls", str(polls), "--info", info, "--base", base, "--delay", "0 seconds", "--state-partitions", "2"], spark)
     out, mirror = str(tmp_path / "events"), str(tmp_path / "mirror")
     main(["archive", "--log", f"{base}/log", "--base", out, "--mirror", mirror, DAY], spark)
     stored = archive.read_event_archive(spark, out)
