@@ -79,24 +79,24 @@ def run_changes(spark: SparkSession, args) -> None:
 
     publish = kafka.publisher(args.servers, args.topic) if args.topic else None
     job = jobs.ChangeJob(spark, args.base, info, args.tz, args.delay, args.state_partitions, publish)
-    _keep_going(spark, args, lambda: job.start(args.polls, args.interval, args.max_files))
+    _keep_going(spark, args, lambda: job.start(args.polls, args.interval, args.max_files), spark, job.session)
 
 
-def _keep_going(spark: SparkSession, args, start) -> None:
+def _keep_going(spark: SparkSession, args, start, *sessions: SparkSession) -> None:
     """A job at an interval is started again when it fails; one that works off what is there fails."""
-    Supervisor(spark, start, args.base, attempts=None if args.interval else 1).run()
+    Supervisor(spark, start, args.base, attempts=None if args.interval else 1, sessions=sessions).run()
 
 
 def run_latest(spark: SparkSession, args) -> None:
     job, _ = jobs.latest_view_job(spark, args.base)
-    _keep_going(spark, args, lambda: job.start(stream_of(spark, args), args.interval, args.max_files))
+    _keep_going(spark, args, lambda: job.start(stream_of(spark, args), args.interval, args.max_files), spark)
 
 
 def _run_day_job(kind: type[jobs.DayJob]):
     def run(spark: SparkSession, args) -> None:
         job = kind(spark, args.base, args.tz, state_partitions=args.state_partitions)
         source = stream_of(job.session, args, args.since)
-        _keep_going(spark, args, lambda: job.start(source, args.interval, args.max_files, args.since))
+        _keep_going(spark, args, lambda: job.start(source, args.interval, args.max_files, args.since), job.session)
 
     return run
 

@@ -17,11 +17,13 @@ class Supervisor(StreamingQueryListener):
 
     The wait before a start doubles with each failure up to `longest` seconds, and is the first again once
     a batch has gone through. Every failure is written as a row. After `attempts` failures without a batch between
-    them the last one is raised; without that number the job goes on for ever.
+    them the last one is raised; without that number the job goes on for ever. `sessions` are those that the job's
+    queries run in, if not the one given.
     """
 
     def __init__(self, spark: SparkSession, start: Callable[[], StreamingQuery | Chain], base: str, first: float = 1.0,
-                 longest: float = 300.0, attempts: int | None = None):
+                 longest: float = 300.0, attempts: int | None = None, sessions: tuple[SparkSession, ...] = ()):
+        self.sessions = sessions or (spark,)
         self.spark, self.start, self.first, self.longest, self.attempts = spark, start, first, longest, attempts
         self.failures = BatchTable(spark, f"{base}/failures", FAILURES_DDL)
         self.in_a_row = 0
@@ -45,7 +47,8 @@ class Supervisor(StreamingQueryListener):
 
     def run(self) -> None:
         """Until the job ends by itself or `stop` is called."""
-        self.spark.streams.addListener(self)
+        for session in self.sessions:
+            session.streams.addListener(self)
         attempt = self.failures.read().select(F.max("batch_id")).first()[0]
         attempt = 0 if attempt is None else attempt + 1
         try:
@@ -62,7 +65,8 @@ class Supervisor(StreamingQueryListener):
                         raise
                     self.stopped.wait(self.wait())
         finally:
-            self.spark.streams.removeListener(self)
+            for session in self.sessions:
+                session.streams.removeListener(self)
 
     def stop(self) -> None:
         self.stopped.set()

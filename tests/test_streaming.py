@@ -470,3 +470,6 @@ def test_a_job_that_keeps_failing_waits_longer_and_gives_up(spark, tmp_path, mon
     with pytest.raises(OSError, match="no broker"):
         keeper.run()
     assert waits == [2, 4, 8, 10] and keeper.failures.read().count() == 5
+    keeper.onQueryProgress(None)  # a batch went through
+    keeper.in_a_row += 1
+    assert keeper.wait() == 2
