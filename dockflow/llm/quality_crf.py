@@ -3,10 +3,15 @@
 Every line with a word is labelled good or bad from its own features and those of the lines
 before and after it; the chain's transitions tie neighbouring labels together. Forward-backward
 gives each line's probability of being good, and their mean, weighted by length, is the
-text's quality, which a logistic curve brings to the scale of the labels. Only texts carry labels,
-so in training every line has the label of its text.
+text's quality, which a logistic curve brings to the scale of the labels.
+
+Only texts carry labels, so in training line labels are hidden: a text of label y has the weight
+exp(AGREE * share of its characters in lines labelled y), summed over all labellings of its lines. That sum is
+a chain's normaliser, since the share is a sum over lines; the fit maximises the likelihood of the texts'
+labels by forward-backward over the chain tied to either label. A good text may so hold bad lines.
 """
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +23,11 @@ from dockflow.llm.common import fold, smallest
 from dockflow.llm.wordgrid import NOT_SPACE, Words, batches, count_before, mix, slices, span_hash
 
 TRAIN_DOCS = 2000  # labelled rows that are fitted on, at most
-TRAIN_LINES = 200  # longer texts are not fitted on (they are scored like all others)
+TRAIN_LINES = 200  # lines in a row that a longer text is fitted on, from a place drawn by its words
 FOLDS, HELD = 4, 2  # fixed values
 ACCEPT = 0.7  # fixed value
-STEPS, RATE, RIDGE = 120, 0.1, 1e-3
+AGREE = 12.0  # weight of a text's label on the share of its lines that agree with it
+STEPS, RATE, RIDGE, NEIGHBOUR_RIDGE = 150, 0.1, 1e-3, 2e-2
 
 _byte = np.arange(256)
 _upper = (_byte >= 0x41) & (_byte <= 0x5A)
@@ -101,7 +107,7 @@ def marginals(odds: np.ndarray, line_text: np.ndarray, link: np.ndarray) -> tupl
     """Forward-backward over all texts at once.
 
     odds: each line's score for good over bad; link: 2 x 2 scores of a label and the next.
-    Returns each line's probability of good, the expected transitions, and each text's log
+    Returns each line's probability of good, that of each transition within a text, and each text's log
     normaliser (in the order of `_layout`).
     """
     first, count, _ = _layout(line_text)
@@ -127,7 +133,7 @@ def marginals(odds: np.ndarray, line_text: np.ndarray, link: np.ndarray) -> tupl
     pair = np.flatnonzero(line_text[1:] == line_text[:-1])
     joint = (forward[pair][:, :, None] + link + (own[pair + 1] + backward[pair + 1])[:, None, :]
              - norm[pair][:, None, None])
-    return good, np.exp(joint).sum(axis=0), norm[first]
+    return good, np.exp(joint), norm[first]
 
 
 def text_quality(good: np.ndarray, characters: np.ndarray, line_text: np.ndarray, texts: int) -> np.ndarray:
@@ -141,28 +147,47 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def label_likelihood(odds: np.ndarray, share: np.ndarray, line_text: np.ndarray, link: np.ndarray,
+                     label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of each text's label, and its slopes in the lines' odds and in the transitions.
+
+    share is each line's part of its text. Texts without lines have a likelihood of one half.
+    """
+    texts = _layout(line_text)[2]
+    tied = []
+    log_sum = np.zeros((2, len(label)))
+    for y in (0, 1):
+        good, pairs, norm = marginals(odds + (2 * y - 1) * AGREE * share, line_text, link)
+        log_sum[y, texts] = norm + (0.0 if y else AGREE)
+        tied.append((good, pairs))
+    truth = log_sum[label, np.arange(len(label))] - np.logaddexp(*log_sum)
+    chance = np.exp(log_sum[1] - np.logaddexp(*log_sum))  # of label 1
+    error = (label - chance)[line_text]
+    by_odds = error * (tied[1][0] - tied[0][0])
+    pair = np.flatnonzero(line_text[1:] == line_text[:-1])
+    by_link = np.tensordot(error[pair], tied[1][1] - tied[0][1], axes=1)
+    return truth, by_odds, by_link
+
+
 def fit(features: np.ndarray, characters: np.ndarray, line_text: np.ndarray, label: np.ndarray) -> dict:
-    """Weights by gradient steps on the conditional likelihood, then the curve to the labels' scale.
+    """Weights by gradient steps on the labels' likelihood, then the curve to the labels' scale.
 
-    line_text numbers the texts 0 .. len(label) - 1; every text counts the same, whatever its length.
+    line_text numbers the texts 0 .. len(label) - 1; every text counts the same, whatever its length. Neighbours'
+    weights are held smaller than a line's own, as whole texts of one kind cannot tell them apart.
     """
     x = with_neighbours(features, line_text)
     middle, scale = x.mean(axis=0), x.std(axis=0)
     middle[-1], scale[scale < 1e-9] = 0.0, 1.0
     x = (x - middle) / scale
-    lines = np.bincount(line_text, minlength=len(label))
-    share = 1.0 / lines[line_text]
-    truth = label[line_text].astype(float)
-    pair = np.flatnonzero(line_text[1:] == line_text[:-1])
+    share = characters / np.maximum(np.bincount(line_text, characters, minlength=len(label)), 1)[line_text]
     weights, link = np.zeros(x.shape[1]), np.zeros((2, 2))
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (truth[pair].astype(int), truth[pair + 1].astype(int)), 1.0)
+    ridge = np.full(x.shape[1], NEIGHBOUR_RIDGE)
+    ridge[:features.shape[1]], ridge[-1] = RIDGE, 0.0
     slope = [np.zeros_like(weights), np.zeros_like(link)]
     square = [np.zeros_like(weights), np.zeros_like(link)]
     for step in range(1, STEPS + 1):
-        good, expected, _ = marginals(x @ weights, line_text, link)
-        gradient = [((truth - good) * share) @ x / len(label) - RIDGE * weights,
-                    (seen - expected) / max(len(truth), 1) - RIDGE * link]
+        _, by_odds, by_link = label_likelihood(x @ weights, share, line_text, link, label)
+        gradient = [by_odds @ x / len(label) - ridge * weights, by_link / len(label) - NEIGHBOUR_RIDGE * link]
         for k, value in enumerate((weights, link)):
             slope[k] = 0.9 * slope[k] + 0.1 * gradient[k]
             square[k] = 0.99 * square[k] + 0.01 * gradient[k] ** 2
@@ -200,29 +225,40 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "quality") -> dict | None:
     """A model from the TRAIN_DOCS labelled rows with the smallest hashes of their id.
 
-    Rows of the held-out fold are never read. None where the rows lack one of the two labels.
+    Rows of the held-out fold are never read. A text of more than TRAIN_LINES lines gives that many in a row. None where
+    the rows lack one of the two labels, or all have no words.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").filter(fold("doc_id", FOLDS) != HELD).dropDuplicates(["doc_id"])
     chosen = smallest(known, "doc_id", TRAIN_DOCS)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id").filter(
-        F.length(F.regexp_replace("text", r"[^\n]", "")) < TRAIN_LINES)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id")
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part, texts in batches(frame, "text"):
                 features, line_text, characters = line_features(texts)
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[line_text].astype(str),
-                                    "label": part["label"].to_numpy()[line_text],
-                                    "characters": characters, "features": list(features)})
-
-    lines = rows.mapInPandas(work, "doc_id string, label int, characters double, features array<double>").toPandas()
-    if lines["label"].nunique() < 2:
+                spans = []
+                for i in np.unique(line_text):
+                    a, b = np.searchsorted(line_text, [i, i + 1])
+                    a += zlib.crc32(texts[i]) % max(b - a - TRAIN_LINES + 1, 1)
+                    spans.append((i, slice(a, min(b, a + TRAIN_LINES))))
+                if not spans:
+                    continue
+                yield pd.DataFrame({"doc_id": [str(part["doc_id"].iloc[i]) for i, _ in spans],
+                                    "mark": [zlib.crc32(texts[i]) for i, _ in spans],
+                                    "label": [part["label"].iloc[i] for i, _ in spans],
+                                    "characters": [characters[s] for _, s in spans],
+                                    "features": [features[s].ravel() for _, s in spans]})
+
+    found = rows.mapInPandas(work, "doc_id string, mark long, label int, characters array<double>, "
+                                   "features array<double>").toPandas()
+    if found["label"].nunique() < 2:
         return None
-    lines = lines.sort_values("doc_id", kind="stable")
-    line_text, ids = pd.factorize(lines["doc_id"])
-    label = lines.groupby(line_text)["label"].first().to_numpy()
-    return fit(np.stack(lines["features"].to_numpy()), lines["characters"].to_numpy(), line_text, label)
+    found = found.sort_values(["doc_id", "mark"], kind="stable")
+    characters = found["characters"].tolist()
+    line_text = np.repeat(np.arange(len(found)), [len(c) for c in characters])
+    features = np.concatenate(found["features"].tolist()).reshape(len(line_text), -1)
+    return fit(features, np.concatenate(characters), line_text, found["label"].to_numpy())
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -256,7 +292,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """The rows of docs whose text is accepted, in one pass that carries the rows along.
 
-    Without labels of both kinds all rows stay.
+    Without labels of both kinds all rows stay; with a model, null, empty and blank texts go. Repeated rows
+    are judged alike, other columns are carried whatever their names, an empty table gives no rows.
     """
     model = train(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast(model)

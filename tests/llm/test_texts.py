@@ -117,6 +117,71 @@ def test_forward_backward():
         assert np.allclose(good[text == t], want) and np.isclose(norm[list(order).index(t)], log_total)
 
 
+def test_likelihood_of_hidden_lines():
+    draw = np.random.default_rng(2)
+    counts, label = [1, 3, 6], np.array([1, 0, 1])
+    text = np.repeat(np.arange(3), counts)
+    share = draw.random(len(text))
+    share /= np.bincount(text, share)[text]
+    odds, link = draw.normal(size=len(text)), draw.normal(size=(2, 2))
+
+    def brute(odds, link):
+        out = []
+        for t in range(3):
+            own, part, sums = odds[text == t], share[text == t], np.zeros(2)
+            for state in range(2 ** len(own)):
+                y = np.array([(state >> i) & 1 for i in range(len(own))])
+                chain = own @ y + sum(link[a, b] for a, b in zip(y, y[1:]))
+                for k in (0, 1):
+                    sums[k] += np.exp(chain + quality_crf.AGREE * part[y == k].sum())
+            out.append(np.log(sums[label[t]] / sums.sum()))
+        return np.array(out)
+
+    got, by_odds, by_link = quality_crf.label_likelihood(odds, share, text, link, label)
+    assert np.allclose(got, brute(odds, link))
+    for i in range(len(odds)):
+        step = np.eye(len(odds))[i] * 1e-5
+        assert np.isclose(by_odds[i], (brute(odds + step, link) - brute(odds - step, link)).sum() / 2e-5, atol=1e-6)
+    for a, b in np.ndindex(2, 2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-5
+        assert np.isclose(by_link[a, b], (brute(odds, link + step) - brute(odds, link - step)).sum() / 2e-5, atol=1e-6)
+
+
+def test_mixed_texts_get_mixed_lines(judged_docs):
+    """Lines of bad texts put into good ones, and texts that are longer than the run fitted on."""
+    docs, labels = judged_docs
+    texts = {r.doc_id: r.text.split("\n") for r in docs.filter("doc_id < 120").collect()}
+    model = quality_crf.train(docs, labels)
+    bad = [line for i, lines in texts.items() if i % 6 == 0 for line in lines[:-1]]
+    low, high, whole = [], [], []
+    for n, lines in enumerate(lines for i, lines in texts.items() if i % 6):
+        at = len(lines) // 2
+        value, good = quality_crf.score(["\n".join([*lines[:at], bad[n % len(bad)], *lines[at:]]).encode()], model)
+        low.append(good[0][at] < 0.5)
+        high.extend(np.delete(good[0], at) >= 0.5)
+        whole.append(value[0] >= quality_crf.ACCEPT)
+    assert sum(low) >= 0.95 * len(low) and sum(high) >= 0.95 * len(high) and sum(whole) >= 0.95 * len(whole)
+
+
+def test_long_labelled_texts_are_fitted_on(spark, monkeypatch):
+    monkeypatch.setattr(quality_crf, "TRAIN_LINES", 20)
+    docs = [(i, "\n".join([f"{'good words here now' if i % 2 else '### $$$ %%% x1'} {k}" for k in range(50 + i)]), "en", "a", 1)
+            for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = quality_crf.judge(documents(spark, docs), labels).collect()
+    assert all(r.predicted == r.doc_id % 2 and len(r.lines) == 50 + r.doc_id for r in got)
+    assert quality_crf.accepted(documents(spark, docs), labels).count() == 20
+
+
+def test_accepted_takes_odd_rows(spark, judged_docs):
+    labels = judged_docs[1]
+    odd = with_clashes(spark)
+    kept = quality_crf.accepted(odd, labels)
+    assert kept.columns == odd.columns and kept.count() <= len(ODD)
+    assert quality_crf.accepted(with_clashes(spark, []), labels).count() == 0
+
+
 def test_quality_on_held_out_rows(judged_docs):
     docs, labels = judged_docs
     got = quality_crf.judge(docs, labels).collect()
