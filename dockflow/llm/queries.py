@@ -59,7 +59,8 @@ def op9_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged.withColumn("n_passages", F.size("passages")).drop("passages")
+    return judged.withColumns({"n_passages": F.size("passages"), "passage_first": F.col("passages.first_word"),
+                               "passage_last": F.col("passages.last_word"), "passage_p": F.col("passages.p")}).drop("passages")
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

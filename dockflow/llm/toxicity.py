@@ -22,8 +22,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PRIOR = 3.0  # texts of each kind that the Dirichlet prior adds to a word
 SURE = 4.0  # standard errors that a word's log-odds is lowered by
 DRIFT = 0.05  # score of all other words, negative
-LEXICON = 50_000  # words in the model, at most: those with the highest scores
-TRAIN_DOCS = 40_000  # labelled rows that are fitted on, at most
+TRAIN_DOCS = 40_000  # labelled rows that are fitted on, at most; they bound the lexicon too, whatever the table
 SIGNIFICANT = 0.01  # p-value of a passage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -159,12 +158,32 @@ def lexicon_of(words: list[str], scores: list[float]) -> tuple[np.ndarray, np.nd
     return grid.hash[order], np.asarray(scores)[order]
 
 
+def gathered(scored: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Lexicons by `score` and by `inner`: words are hashed in tasks, 24 bytes each reach the driver."""
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                grid = Words([w.encode() for w in frame["word"]], ALNUM)
+                yield pd.DataFrame({"hash": grid.hash.view(np.int64), "score": frame["score"].to_numpy(),
+                                    "inner": frame["inner"].to_numpy()})
+
+    found = scored.mapInPandas(work, "hash long, score double, inner double").toPandas()
+    hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    out = {}
+    for kind in ("score", "inner"):
+        values = found[kind].to_numpy(float)[order]
+        out[kind] = hashes[order][values > 0], values[values > 0]
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
     """Word scores from the TRAIN_DOCS labelled rows outside the held-out fold with the smallest hashes of their id.
 
-    Their ids are broadcast, so that no other text moves. The curve is fitted on one fold, with word scores that do not know it. None where the rows lack one of
-    the two labels.
+    Their ids are broadcast, so that no other text moves. Every word of the sample with a positive score is in the
+    model. The curve is fitted on one fold, with word scores that do not know it. None where the rows lack one of the
+    two labels.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "doc_id is not null and label in (0, 1)").withColumn("fold", fold("doc_id", FOLDS)).filter(
@@ -172,10 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = settle(smallest(known, "doc_id", TRAIN_DOCS))
     texts = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         F.broadcast(chosen), "doc_id"))
-    top = word_scores(texts).orderBy(F.desc(F.greatest("score", "inner")), "word").limit(LEXICON).collect()
-    lexicon = lexicon_of([r["word"] for r in top if r["score"] > 0], [r["score"] for r in top if r["score"] > 0])
-    inner = lexicon_of([r["word"] for r in top if r["inner"] > 0], [r["inner"] for r in top if r["inner"] > 0])
-    held = docs.sparkSession.sparkContext.broadcast(inner)  # LEXICON words at most
+    lexicon = gathered(word_scores(texts))
+    held = docs.sparkSession.sparkContext.broadcast(lexicon["inner"])
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -187,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     seen = texts.filter(F.col("fold") == CURVE).mapInPandas(work, "label int, n long, best double").toPandas()
     if seen["label"].nunique() < 2:
         return None
-    return calibrate(seen["n"].to_numpy(), seen["best"].to_numpy(), seen["label"].to_numpy()) | {"lexicon": lexicon}
+    return calibrate(seen["n"].to_numpy(), seen["best"].to_numpy(), seen["label"].to_numpy()) | {"lexicon": lexicon["score"]}
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
