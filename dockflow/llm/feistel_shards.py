@@ -98,7 +98,7 @@ def shard(docs: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_id",
 
     The law is `rows`: counts of shards differ by one at most. Equal texts and repeated ids are
     dealt like any other rows. A null text counts as empty (size 16, crc32 0), a null id
-    is numbered first within its bucket, rows equal in id, size and crc32 are
+    is numbered first within its bucket (buckets come from id, size and crc32, so rows of one id lie in many), rows equal in id, size and crc32 are
     interchangeable, an empty table gives no rows. Other columns of docs, whatever their
     names, are not read.
     """

@@ -18,15 +18,16 @@ def numbered(df: DataFrame, key: list[str], rows: int, group: list[str] | None =
              ties: list[str] | None = None, lead: list[str] | None = None, out: str = "row") -> DataFrame:
     """Add `out`, the row's number within its group, from 0 without gaps.
 
-    The order is (lead, md5 bucket of the key, key, ties), nulls first, so it does not depend on
-    files or tasks. Rows that agree in key and ties are interchangeable. `rows` is the number
+    The order is (lead, md5 bucket of key and ties, key, ties), nulls first, so it does not depend on
+    files or tasks. Rows that agree in key and ties are interchangeable, those of one key with unlike ties lie
+    in many buckets. `rows` is the number
     of rows of df; there are about sqrt(rows) buckets of about sqrt(rows) rows, sorted each on
     its own, and a table of (group, bucket) counts gives each bucket its first number. A hot
     group is spread over as many buckets as the whole table.
     """
     group, lead = group or [], lead or []
     buckets = max(1, math.isqrt(max(rows - 1, 0)) + 1)
-    placed = df.withColumn("_bucket", spread(key, buckets))
+    placed = df.withColumn("_bucket", spread([*key, *(ties or [])], buckets))
     cells = placed.groupBy(*group, *lead, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*group or [F.lit(0)]).orderBy(*lead, "_bucket").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -75,7 +75,7 @@ narrow AS (
   FROM (SELECT *, hex(encode(coalesce(text, ''))) AS h FROM documents), crc),
 counted AS (SELECT narrow.*, n, 1 + floor(sqrt(greatest(n - 1, 0)))::BIGINT AS a FROM narrow, (SELECT count(*) AS n FROM narrow)),
 gridded AS (SELECT *, greatest(1, (n + a - 1) // a) AS b,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, chr(0))), 1, 8))::BIGINT % a AS bucket FROM counted),
+         ('0x' || substr(md5(concat_ws(chr(31), coalesce(doc_id::VARCHAR, chr(0)), size, text_crc32)), 1, 8))::BIGINT % a AS bucket FROM counted),
 numbered AS (SELECT *, row_number() OVER (ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS row FROM gridded)
 SELECT doc_id, size, text_crc32, 'rows' AS law, (p % {SHARDS})::INT AS shard, p // {SHARDS} AS slot,
        NULL::INT AS grown_shard

@@ -1,6 +1,7 @@
 """Exact dedup, sharding, mixing and the URL filter against brute force and on odd inputs."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cases import ODD, documents, rows, with_clashes, words
 from dockflow.llm import chunk_dedup, feistel_shards as fs, mixing, url_filter
-from dockflow.llm.common import row_key
-from dockflow.llm.numbering import numbered
+from dockflow.llm.common import row_key, unit
+from dockflow.llm.numbering import numbered, spread
 
 
 def sha(text):
@@ -152,6 +153,56 @@ def test_mix_meets_targets(spark, many):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+def paired(items, draw, fan, levels):
+    """The pairing in plain words: items of one source in order as [key, size, p]; draw(level, key) gives u."""
+    taken = {}
+    for level in range(levels):
+        left = []
+        for k in range(0, len(items), fan):
+            i, *others = [list(item) for item in items[k:k + fan]]
+            for j in others:
+                to_i, to_j = min((1 - i[2]) * i[1], j[2] * j[1]), min(i[2] * i[1], (1 - j[2]) * j[1])
+                if draw(level, j[0]) * (to_i + to_j) < to_j:  # i gains to_i words
+                    full = (1 - i[2]) * i[1] <= j[2] * j[1]
+                    i[2], j[2] = i[2] + to_i / i[1], j[2] - to_i / j[1]
+                    settled, other, copies = (i, j, 1) if full else (j, i, 0)
+                else:
+                    gone = i[2] * i[1] <= (1 - j[2]) * j[1]
+                    i[2], j[2] = i[2] - to_j / i[1], j[2] + to_j / j[1]
+                    settled, other, copies = (i, j, 0) if gone else (j, i, 1)
+                taken[settled[0]] = copies
+                other[2] = min(1.0, max(0.0, other[2]))
+                i = other
+            left.append(i)
+        items = left
+    return taken | {i[0]: int(draw(levels, i[0]) < i[2]) for i in items}
+
+
+def test_pairing_equals_a_plain_one(spark):
+    draw = random.Random(8)
+    sources = {"a": 700, "b": 64, "c": 65, None: 3, "d": 1}
+    items = [(s, k, (s or "") + str(k), draw.randrange(1, 900), draw.choice([draw.random(), 0.5]))
+             for s, n in sources.items() for k in range(n)]
+    df = spark.createDataFrame(items, "source string, row long, key string, size long, p double")
+    got = {r.key: r.extra for r in mixing.round_off(df, max(sources.values()), 5).collect()}
+    levels = df.select("key", *[unit(F.lit(5), F.lit(level), "key").alias(str(level)) for level in range(5)]).collect()
+    drawn = {(level, r.key): r[str(level)] for r in levels for level in range(5)}
+    for s in sources:
+        mine = [[key, size, p] for source, _, key, size, p in items if source == s]
+        want = paired(mine, lambda level, key: drawn[level, key], mixing.FAN, 2)  # 700 items, 11 blocks, one block
+        assert {k: got[k] for k in want} == want and len(want) == sources[s]
+    assert len(got) == len(items)
+
+
+def test_rows_of_one_id_lie_in_many_buckets(spark):
+    df = spark.range(2000).select(F.lit(None).cast("long").alias("id"), F.col("id").alias("tie"))
+    buckets = df.withColumn("b", spread(["id", "tie"], 45)).groupBy("b").count().collect()
+    assert len(buckets) == 45 and max(r["count"] for r in buckets) < 90
+    got = numbered(df, ["id"], 2000, ties=["tie"])
+    assert sorted(r.row for r in got.collect()) == list(range(2000))
+    assert rows(got) == rows(numbered(df.repartition(5), ["id"], 2000, ties=["tie"]))
+
+
 def test_pairings_are_unbiased(spark, many):
     sums, size = {}, {}
     for seed in range(12):
