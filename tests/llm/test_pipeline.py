@@ -35,7 +35,7 @@ def sf_dir(spark, tmp_path_factory):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries()] == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir):
