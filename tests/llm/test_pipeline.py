@@ -31,6 +31,8 @@ def sf_dir(spark, tmp_path_factory):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
     spark.createDataFrame([(1, "http://www.free-bets.example.com/en/1", None), (2, None, None)],
                           "page_id long, url string, html string").write.parquet(f"{base}/pages.parquet")
+    spark.createDataFrame([(k, t, ("user", "assistant")[t % 2], f"Turn {t}.") for k in range(40) for t in range(4)],
+                          "conv_id long, turn int, role string, text string").write.parquet(f"{base}/conversations.parquet")
     return base
 
 
@@ -79,13 +81,15 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
 @pytest.mark.parametrize("name", list(queries()))
 def test_queries_return_every_row(spark, sf_dir, name):
     got = queries()[name](spark, sf_dir)
-    key, source = ("page_id", "pages") if name.startswith("op6") else ("doc_id", "documents")
-    want = Counter(r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect())
+    key, source = {"op6": ("page_id", "pages"), "op11": ("conv_id", "conversations")}.get(
+        name.split("_")[0], ("doc_id", "documents"))
+    given = spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key)
+    want = Counter(r[0] for r in (given.distinct() if key == "conv_id" else given).collect())
     assert Counter(r[0] for r in got.select(key).collect()) == want
 
 
 def test_empty_tables(spark, sf_dir, tmp_path):
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "conversations"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, query in queries().items():
         assert query(spark, str(tmp_path)).collect() == [], name
