@@ -4,6 +4,7 @@ Every slice is landed and then worked off by a query that is started anew from
 its checkpoint, as a series of polls with restarts in between.
 """
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -63,13 +64,22 @@ def _of_the_day(d: Derived) -> DataFrame:
     return _log_table(encode_log(d.changes()), d).where(F.col("publish_ts") < day_bounds(d.day, d.tz)[1])
 
 
+STATE_INPUT_BYTES = 4 * 1024 ** 2  # source bytes per partition of a stream's state
+
+
+def _state_partitions(d: Derived) -> int:
+    """They stay as they are once a stream has started, so they are chosen by the input."""
+    return max(4, math.ceil(d.source_bytes() / STATE_INPUT_BYTES))
+
+
 DELAY_HOURS = 36  # of polls behind the newest one
+POLLS_PER_FILE = 10_000  # a task reads a landed file as one text, so its size is bounded
 
 
 def _change_job(d: Derived) -> jobs.ChangeJob:
     """Polls land up to DELAY_HOURS late and so out of order; a last one without stations moves the clock."""
     def job(base: str) -> jobs.ChangeJob:
-        return jobs.ChangeJob(d.spark, base, d.info, d.tz, f"{DELAY_HOURS} hours", state_partitions=4)
+        return jobs.ChangeJob(d.spark, base, d.info, d.tz, f"{DELAY_HOURS} hours", state_partitions=_state_partitions(d))
 
     def work(base: str) -> None:
         path = new_dir(d.spark, "polls")
@@ -79,7 +89,7 @@ def _change_job(d: Derived) -> jobs.ChangeJob:
         ahead = (F.max("lastUpdatedOther") + DELAY_HOURS * _HOUR + 1).alias("lastUpdatedOther")
         end = polls.agg(ahead).withColumn("data", F.struct(F.expr("array()").alias("stations")))
         for rows in [*_slices(arriving, "arrival", _days(d)), end]:
-            rows.drop("arrival").write.mode("append").json(path)
+            rows.drop("arrival").write.mode("append").option("maxRecordsPerFile", POLLS_PER_FILE).json(path)
             job(base).start(path).awaitTermination()
 
     return job(d.folder("stream-changes", work))

@@ -76,7 +76,9 @@ class ChangeJob:
 
     def emit(self, events: DataFrame, batch_id: int) -> None:
         # Written once and read from there: each use of the batch itself runs the state operator anew.
-        self.changes.write(describe(events, self.info()), batch_id)
+        # A batch in which only the watermark moved has no input, so Spark takes its events for none and would
+        # broadcast them through the driver; a merge join moves both sides among executors only.
+        self.changes.write(describe(events.hint("merge"), self.info()), batch_id)
         records = encode_log(self.changes.batch(batch_id))
         self.log.write(records.withColumn("date", local_date(F.col("publish_ts"), self.tz)), batch_id)
         if self.publish:

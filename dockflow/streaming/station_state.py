@@ -15,54 +15,58 @@ from dockflow.schemas import COUNTER_SCHEMA, TRACKED_FIELDS
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package installed
 
-ORDER = ["ts", "offset"]
-EMITTED = T.StructType(list(COUNTER_SCHEMA.fields) + [T.StructField("bikes_delta", T.IntegerType())])
 FIELDS = COUNTER_SCHEMA.fieldNames()
+TS, OFFSET, BIKES = (FIELDS.index(c) for c in ("ts", "offset", "bikes_available"))
+TRACKED = [FIELDS.index(c) for c in TRACKED_FIELDS]
+EMITTED = T.StructType(list(COUNTER_SCHEMA.fields) + [T.StructField("bikes_delta", T.IntegerType())])
+EVENT = Row(*EMITTED.fieldNames())
+LANDED = T.StructType([T.StructField("readings", T.ArrayType(COUNTER_SCHEMA))])
 
 
-def in_order(reading: Row) -> tuple:
+def in_order(reading: tuple) -> tuple:
     """Sort key of readings; nulls first, as in batches."""
-    return tuple((reading[c] is not None, reading[c] or 0) for c in ORDER)
+    return tuple((reading[c] is not None, reading[c] or 0) for c in (TS, OFFSET))
 
 
-def emitted(readings: list[Row], last: Row | None) -> Iterator[Row]:
+def emitted(readings: list[tuple], last: tuple | None) -> Iterator[Row]:
     """The events among readings in order, after the last one before them."""
     for reading in readings:
-        if last is None or any(reading[c] != last[c] for c in TRACKED_FIELDS):
-            delta = 0 if last is None else reading["bikes_available"] - last["bikes_available"]
-            yield Row(*FIELDS, "bikes_delta")(*reading, delta)
+        if last is None or any(reading[c] != last[c] for c in TRACKED):
+            yield EVENT(*reading, 0 if last is None else reading[BIKES] - last[BIKES])
         last = reading
 
 
 class StationChanges(StatefulProcessor):
-    """`last`: the reading released last; `waiting`: later ones than the watermark."""
+    """`last`: the reading released last; `waiting`: later ones than the watermark, as one value for all that landed together.
+
+    A value of its own for each reading would cost a call and a conversation with the state store for each.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", COUNTER_SCHEMA)
-        self.waiting = handle.getListState("waiting", COUNTER_SCHEMA)
+        self.waiting = handle.getListState("waiting", LANDED)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if key[0] is not None:  # without a station a row only moves the watermark
-            found = [tuple(row[c] for c in FIELDS) for row in rows]
-            self.waiting.appendList(found)
-            at = FIELDS.index("ts")
-            self.handle.registerTimer(max(min(r[at] for r in found) * 1000, timerValues.getCurrentWatermarkInMs() + 1))
+            found = [tuple(row[:len(FIELDS)]) for row in rows]
+            self.waiting.appendValue((found,))
+            self.handle.registerTimer(max(min(r[TS] for r in found) * 1000, timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() // 1000
-        waiting = [Row(*FIELDS)(*r) for r in self.waiting.get()]
-        due = sorted((r for r in waiting if r["ts"] <= passed), key=in_order)
-        later = [r for r in waiting if r["ts"] > passed]
+        waiting = [tuple(r) for landed in self.waiting.get() for r in landed[0]]
+        due = sorted((r for r in waiting if r[TS] <= passed), key=in_order)
+        later = [r for r in waiting if r[TS] > passed]
         if not due:
             return
-        last = Row(*FIELDS)(*self.last.get()) if self.last.exists() else None
+        last = tuple(self.last.get()) if self.last.exists() else None
         yield from emitted(due, last)
-        self.last.update(tuple(due[-1]))
+        self.last.update(due[-1])
         if later:
-            self.waiting.put([tuple(r) for r in later])
-            self.handle.registerTimer(min(r["ts"] for r in later) * 1000)
+            self.waiting.put([(later,)])
+            self.handle.registerTimer(min(r[TS] for r in later) * 1000)
         else:
             self.waiting.clear()
 
@@ -73,7 +77,7 @@ def changes_in_order(readings: DataFrame, delay: str) -> DataFrame:
     A reading may come `delay` later than the newest one; it is emitted when the newest one is that much ahead.
     Rows without a station move the clock only.
     """
-    timed = readings.withColumn("event_time", F.timestamp_seconds("ts")).withWatermark("event_time", delay)
+    timed = readings.select(*FIELDS, F.timestamp_seconds("ts").alias("event_time")).withWatermark("event_time", delay)
     return timed.groupBy("station_id").transformWithState(
         StationChanges(), EMITTED, outputMode="Append", timeMode="EventTime")
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tables import DAY, START, STATE, rows
-from dockflow.operators import activity, changes, state
+from dockflow.operators import activity, changes, readings, state
 from dockflow.sources.log import encode_log
 from dockflow.sources import kafka
 from dockflow.streaming import jobs
@@ -173,6 +173,16 @@ def test_a_missing_manifest_is_an_error(spark, tmp_path):
         view.upsert(one, 5)
 
 
+def test_events_that_timers_release_are_not_broadcast(poller, monkeypatch):
+    """A batch that only moves the clock has no input, but its events may be many."""
+    described = []
+    monkeypatch.setattr(jobs, "describe", lambda *a: described.append(readings.describe(*a)) or described[-1])
+    job = poller("a", poll(60, 1, (1, 5), (2, 5)), poll(120, 2, (1, 3), (2, 5)))
+    assert emitted(job) == [(1, 120, -2), (1, 60, 0), (2, 60, 0)]
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in described]
+    assert len(plans) >= 2 and not any("BroadcastExchange" in p for p in plans)
+
+
 def test_records_are_published_as_well(spark, tmp_path, make_events):
     sent = []
     info = spark.createDataFrame(INFO, INFO_DDL)
