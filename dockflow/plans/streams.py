@@ -17,6 +17,7 @@ from dockflow.sources.log import decode_log, encode_log
 from dockflow.streaming import jobs
 
 _HOUR = 3600
+RECORDS_PER_FILE = 100_000  # of a landed log: a file's row group is read by one task
 
 
 def _days(d: Derived) -> list[int]:
@@ -49,7 +50,7 @@ def _run(slices: list[DataFrame], path: str, start: Callable[[str], object]) ->
     for before, rows in zip([None, *slices], slices):
         rows = rows.unionByName(rows)
         rows = rows.unionByName(before) if before is not None else rows
-        writer = rows.write.mode("append")
+        writer = rows.write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)
         (writer.partitionBy("date") if "date" in rows.columns else writer).parquet(path)
         start(path).awaitTermination()
 

@@ -21,7 +21,7 @@ from dockflow.sources import documents, files
 from dockflow.sources.log import (check_log, encode_log, good_events, monitor_line,
                                   rejected_records)
 from dockflow.streaming.queries import (MAX_FILES, Chain, log_stream, parse_polls, poll_stream, reading_stream,
-                                        start_query, state_session)
+                                        start_query, state_session, stream_session)
 from dockflow.streaming.station_state import changes_in_order, last_readings
 from dockflow.streaming.tables import BatchTable, BucketView, DatedTable, UpdateTable
 
@@ -128,7 +128,7 @@ class LogJob:
                  handler: Callable[[DataFrame, int], None] | None = None, repeats: bool = False,
                  state_partitions: int | None = None):
         self.spark, self.base, self.repeats = spark, base, repeats
-        self.session = spark if repeats else state_session(spark, state_partitions)
+        self.session = stream_session(spark) if repeats else state_session(spark, state_partitions)
         self.events = BatchTable(spark, f"{base}/events", RECORD_DDL)
         self.rejected = BatchTable(spark, f"{base}/rejected", REJECTED_DDL)
         self.handler = handler or self.events.write

@@ -64,6 +64,18 @@ def start_query(stream: DataFrame, handler: Callable[[DataFrame, int], None], ch
     return writer.start()
 
 
+SPLIT_BYTES = "16m"  # of log files to a task: as text and decoded, records take tens of times what they take in Parquet
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a query over a log, whose tasks read little at a time however large the log is."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    session.conf.set("spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+    return session
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -73,10 +85,10 @@ def state_session(spark: SparkSession, state_partitions: int | None = None) -> S
     The partitions of its state stay as they were at the first start, so they are chosen for the
     job and set where no other query sees them.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session = stream_session(spark)
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    session.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    if state_partitions:
+        session.conf.set("spark.sql.shuffle.partitions", state_partitions)
     return session
 
 

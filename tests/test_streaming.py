@@ -264,6 +264,14 @@ def test_latest_view_is_idempotent_and_rebuilt_by_replay(spark, make_events, tmp
     assert rows(rebuilt.read(), *columns) == want
 
 
+def test_a_large_log_is_read_in_small_splits(spark, tmp_path):
+    """Records grow tens of times when they are decoded, so a job's tasks read less of a log than of other tables."""
+    for job in (jobs.latest_view_job(spark, str(tmp_path / "a"))[0], jobs.LogJob(spark, str(tmp_path / "b")),
+                jobs.RelayJob(spark, str(tmp_path / "c"), DAY)):
+        assert job.session.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != job.session.conf.get("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     view = BucketView(spark, str(tmp_path / "v"), "k bigint, n bigint", "k", ["n"], buckets=8)
     make = lambda *r: spark.createDataFrame(list(r), "k bigint, n bigint")
