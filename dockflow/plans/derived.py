@@ -25,6 +25,8 @@ from dockflow.session import fit_shuffles, new_dir, shuffle_partitions
 from dockflow.sources import archive, documents, files
 from dockflow.streaming.queries import parse_polls
 
+ROW_BYTES = 20  # of memory that rows take for a byte of their Parquet file
+
 _written: dict[tuple, str] = {}
 
 
@@ -53,7 +55,7 @@ class Derived:
     def detected(self) -> DataFrame:
         configured = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return changes_of(self.status(), self.info(),
-                          partitions=shuffle_partitions(self.source_bytes(), configured))
+                          partitions=shuffle_partitions(self.row_bytes(), configured))
 
     def paths(self) -> list[str]:
         """What the change events follow from."""
@@ -64,6 +66,10 @@ class Derived:
             self._sources = tuple(files.fingerprint(self.spark, path) for path in self.paths())
         return sum(size for _, size, _ in self._sources)
 
+    def row_bytes(self) -> int:
+        """What the sources take as rows, which decides how many partitions sort them without spilling."""
+        return ROW_BYTES * self.source_bytes()
+
     def weather(self) -> DataFrame:
         return documents.weather_hourly(bindings.weather_documents(self.facts()), self.tz)
 
@@ -73,7 +79,7 @@ class Derived:
 
     def folder(self, name: str, write: Callable[[str], None]) -> str:
         """Where something lies that is written once for these sources and this session."""
-        fit_shuffles(self.spark, self.source_bytes())
+        fit_shuffles(self.spark, self.row_bytes())
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.tz, self.day, self.now,
                name, self._sources)
         if key not in _written:
@@ -157,6 +163,9 @@ class Landed(Derived):
     def paths(self) -> list[str]:
         return [self.sf_dir, self.info_path]
 
+    def row_bytes(self) -> int:
+        return self.source_bytes()  # JSON text takes no less room than its rows
+
     def info(self) -> DataFrame:
         return documents.station_info(
             documents.read_documents(self.spark, self.info_path, INFORMATION_SCHEMA))

@@ -1,5 +1,7 @@
 """Physical plans: one narrow shuffle, pruned scans, no cross joins or Python."""
 
+import re
+
 import pytest
 
 from dockflow.plans.catalog import PLANS
@@ -100,3 +102,10 @@ def test_lists_are_taken_in_order_without_a_full_sort(derived):
 def test_no_cross_join_and_no_python(derived, name):
     text = plan(PLANS[name](derived))
     assert not [word for word in FORBIDDEN if word in text]
+
+
+def test_shuffles_follow_the_rows_and_not_their_files(spark, monkeypatch):
+    """Parquet files of 720 MB hold rows of many GB, which two or three partitions would not sort in memory."""
+    monkeypatch.setattr(Derived, "source_bytes", lambda d: 720 * 1024 ** 2)
+    detected = plan(Derived(spark, SF_DIR).detected())
+    assert re.search(r"hashpartitioning\(station_id#\d+L, _chunk#\d+L, 57\)", detected)
