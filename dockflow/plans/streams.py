@@ -45,10 +45,15 @@ def _slices(rows: DataFrame, column: str, cuts: list[int]) -> list[DataFrame]:
     return out
 
 
+def _twice(rows: DataFrame) -> DataFrame:
+    """Each row two times; a union with itself would compute the rows two times as well."""
+    return rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+
+
 def _run(slices: list[DataFrame], path: str, start: Callable[[str], object]) -> None:
     """Each slice lands twice, and once more with the next one."""
     for before, rows in zip([None, *slices], slices):
-        rows = rows.unionByName(rows)
+        rows = _twice(rows)
         rows = rows.unionByName(before) if before is not None else rows
         writer = rows.write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)
         (writer.partitionBy("date") if "date" in rows.columns else writer).parquet(path)
@@ -146,9 +151,10 @@ def stream_replay_live(d: Derived) -> DataFrame:
     job = jobs.RelayJob(d.spark, new_dir(d.spark, "stream-relay"), d.day, d.tz)
     past, live = _slices(_log_table(encode_log(d.changes()), d), "publish_ts", _hours(d)[1:])
     path = new_dir(d.spark, "log")
-    past.unionByName(past).write.partitionBy("date").parquet(path)
+    _twice(past).write.option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("date").parquet(path)
     job.replay(path).awaitTermination()
-    live.unionByName(live).unionByName(past).write.mode("append").partitionBy("date").parquet(path)
+    (_twice(live).unionByName(past).write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .partitionBy("date").parquet(path))
     job.follow(path).awaitTermination()
     minute = (F.col("ts") - F.pmod("ts", F.lit(60))).alias("t")
     fed, _ = decode_log(job.feed.read())

@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from dockflow.plans import streams
 from dockflow.plans.catalog import PLANS
 from dockflow.plans.derived import Derived
 
@@ -109,3 +111,9 @@ def test_shuffles_follow_the_rows_and_not_their_files(spark, monkeypatch):
     monkeypatch.setattr(Derived, "source_bytes", lambda d: 720 * 1024 ** 2)
     detected = plan(Derived(spark, SF_DIR).detected())
     assert re.search(r"hashpartitioning\(station_id#\d+L, _chunk#\d+L, 57\)", detected)
+
+
+def test_landing_computes_its_records_once(spark):
+    rows = streams._twice(spark.range(3).select(F.to_json(F.struct("id")).alias("value")))
+    assert sorted(r[0] for r in rows.collect()) == sorted(2 * [f'{{"id":{n}}}' for n in range(3)])
+    assert plan(rows).count("Range (") == 1
